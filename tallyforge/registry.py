@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as O
-from .plans import marts, staging
-from .sources import adapter
+from .operators import signals
+from .plans import marts, semantic, staging
+from .sources import adapter, documents
 
 AS_OF = O.AS_OF
 
@@ -62,6 +64,21 @@ class Silver:
     def risk(self):
         return staging.stg_risk_metrics(adapter.risk_metrics(self.spark, self.sf_dir))
 
+    def transcripts_raw(self):
+        return documents.transcripts_raw(adapter.document_stage(self.spark, self.sf_dir))
+
+    def transcripts(self):
+        return signals.stg_earnings_transcripts(self.transcripts_raw())
+
+    def portfolio(self):
+        return marts.portfolio_risk(self.customers(), self.trades(), self.prices(), self.transcripts())
+
+    def investor_360(self):
+        return marts.investor_360(self.customers(), self.transactions(), self.prices())
+
+    def investor_risk(self):
+        return marts.investor_risk(self.customers(), self.risk(), self.portfolio())
+
 
 def _q(body: str, *groups) -> str:
     return O.with_ctes(body, *groups)
@@ -126,3 +143,110 @@ def q_investor_360(spark, sf_dir):
 @register("trade_positions", _q("SELECT * FROM trade_positions"))
 def q_trade_positions(spark, sf_dir):
     return marts.trade_positions(Silver(spark, sf_dir).trades())
+
+
+# ------------------------------------------------------------ transcripts
+
+@register("transcripts_keys", _q("SELECT file_name, symbol, fiscal_period, loaded_at FROM transcripts_raw"))
+def q_transcripts_keys(spark, sf_dir):
+    return Silver(spark, sf_dir).transcripts_raw().select("file_name", "symbol", "fiscal_period", "loaded_at")
+
+
+@register("sentiment_labels", _q("SELECT * FROM t_sentiment"))
+def q_sentiment_labels(spark, sf_dir):
+    raw = Silver(spark, sf_dir).transcripts_raw()
+    return signals.with_sentiment(raw, keep_counts=True).select(
+        "file_name", "positive_hits", "negative_hits", "sentiment")
+
+
+@register("outlook_sentence", _q("SELECT * FROM t_summary"))
+def q_outlook_sentence(spark, sf_dir):
+    raw = Silver(spark, sf_dir).transcripts_raw()
+    return raw.select("file_name", signals.outlook_sentence("parsed_text").alias("summary")) \
+              .filter("summary IS NOT NULL")
+
+
+@register("stg_earnings_transcripts", _q("SELECT * FROM stg_earnings_transcripts"))
+def q_stg_earnings_transcripts(spark, sf_dir):
+    return Silver(spark, sf_dir).transcripts()
+
+
+@register("latest_earnings", _q("SELECT * FROM latest_earnings"))
+def q_latest_earnings(spark, sf_dir):
+    return marts.latest_earnings(Silver(spark, sf_dir).transcripts())
+
+
+# ------------------------------------------------------------ trading book
+
+@register("portfolio_risk", _q("SELECT * FROM portfolio_risk"))
+def q_portfolio_risk(spark, sf_dir):
+    return Silver(spark, sf_dir).portfolio()
+
+
+@register("investor_risk", _q("SELECT * FROM investor_risk"))
+def q_investor_risk(spark, sf_dir):
+    s = Silver(spark, sf_dir)
+    return marts.investor_risk(s.customers(), s.risk(), s.portfolio())
+
+
+# ------------------------------------------------------------ semantic layer
+
+_INV_METRICS = ["investor_count", "total_aum", "avg_aum", "total_holdings_value", "total_cash", "total_net_flows"]
+_INV_METRICS_SQL = """count(investor_id) AS investor_count, sum(assets_under_management) AS total_aum,
+       round(avg(CAST(assets_under_management AS DOUBLE)), 6) AS avg_aum,
+       sum(holdings_value) AS total_holdings_value, sum(cash_balance) AS total_cash,
+       sum(total_subscriptions) - sum(total_redemptions) AS total_net_flows"""
+
+
+def _avg_as_double(df):
+    return df.withColumn("avg_aum", F.round(F.col("avg_aum").cast("double"), 6)) if "avg_aum" in df.columns else df
+
+
+@register("aum_by_segment", _q("""SELECT investor_segment, count(investor_id) AS investor_count,
+       sum(assets_under_management) AS total_aum
+FROM investor_360 GROUP BY investor_segment ORDER BY total_aum DESC"""))
+def q_aum_by_segment(spark, sf_dir):
+    v = semantic.investors_view(Silver(spark, sf_dir).investor_360)
+    return v.query(["investors.investor_segment"], ["investors.investor_count", "investors.total_aum"],
+                   order=[F.col("total_aum").desc()])
+
+
+@register("investor_metrics_by_segment_risk", _q(f"""SELECT investor_segment, risk_rating, {_INV_METRICS_SQL}
+FROM investor_360 GROUP BY investor_segment, risk_rating"""))
+def q_investor_metrics_by_segment_risk(spark, sf_dir):
+    v = semantic.investors_view(Silver(spark, sf_dir).investor_360)
+    return _avg_as_double(v.query(["client segment", "risk level"], _INV_METRICS))
+
+
+@register("investor_metrics_total", _q(f"SELECT {_INV_METRICS_SQL} FROM investor_360"))
+def q_investor_metrics_total(spark, sf_dir):
+    v = semantic.investors_view(Silver(spark, sf_dir).investor_360)
+    return _avg_as_double(v.query([], _INV_METRICS))
+
+
+@register("exposure_by_asset_class", _q("""SELECT asset_class, count(investor_id) AS position_count,
+       sum(market_value) AS total_market_value, sum(gross_exposure) AS total_gross_exposure,
+       sum(unrealized_pnl) AS total_unrealized_pnl, CAST(sum(trade_count) AS BIGINT) AS total_trades
+FROM portfolio_risk GROUP BY asset_class"""))
+def q_exposure_by_asset_class(spark, sf_dir):
+    v = semantic.positions_view(Silver(spark, sf_dir).portfolio)
+    return v.query(["asset type"], ["position_count", "total_market_value", "total exposure",
+                                    "total_unrealized_pnl", "total_trades"])
+
+
+@register("pnl_by_sentiment", _q("""SELECT earnings_sentiment, count(investor_id) AS position_count,
+       sum(gross_exposure) AS total_gross_exposure, sum(unrealized_pnl) AS total_unrealized_pnl
+FROM portfolio_risk GROUP BY earnings_sentiment ORDER BY total_unrealized_pnl DESC"""))
+def q_pnl_by_sentiment(spark, sf_dir):
+    v = semantic.positions_view(Silver(spark, sf_dir).portfolio)
+    return v.query(["positions.earnings_sentiment"],
+                   ["positions.position_count", "positions.total_gross_exposure", "positions.total_unrealized_pnl"],
+                   order=[F.col("total_unrealized_pnl").desc()])
+
+
+@register("risk_breaches", _q("""SELECT investor_id, investor_segment, var_95, risk_limit, portfolio_gross_exposure
+FROM investor_risk WHERE limit_breach_flag"""))
+def q_risk_breaches(spark, sf_dir):
+    r = Silver(spark, sf_dir).investor_risk()
+    return r.filter(F.col("limit_breach_flag")).select(
+        "investor_id", "investor_segment", "var_95", "risk_limit", "portfolio_gross_exposure")
