@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .operators import signals
-from .plans import marts, semantic, staging
+from .operators import cdc, governance, quality, reports, signals
+from .plans import build, marts, semantic, staging
 from .sources import adapter, documents
 
 AS_OF = O.AS_OF
@@ -76,6 +76,11 @@ class Silver:
     def investor_360(self):
         return marts.investor_360(self.customers(), self.transactions(), self.prices())
 
+    def models(self):
+        """All nine models, lazily (gold without _built_at)."""
+        b = adapter.bronze(self.spark, self.sf_dir)
+        return build.lazy_models(b, as_of=self.as_of)
+
     def investor_risk(self):
         return marts.investor_risk(self.customers(), self.risk(), self.portfolio())
 
@@ -250,3 +255,199 @@ def q_risk_breaches(spark, sf_dir):
     r = Silver(spark, sf_dir).investor_risk()
     return r.filter(F.col("limit_breach_flag")).select(
         "investor_id", "investor_segment", "var_95", "risk_limit", "portfolio_gross_exposure")
+
+
+# ------------------------------------------------------- tests and metrics
+
+def _dq_tests_sql(specs) -> str:
+    parts = []
+    for model, tests in specs.items():
+        for t in tests:
+            c = t.column
+            if t.kind == "not_null":
+                q = f"SELECT count(*) FROM {model} WHERE {c} IS NULL"
+            elif t.kind == "unique":
+                q = (f"SELECT count(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL "
+                     f"GROUP BY {c} HAVING count(*) > 1)")
+            elif t.kind == "accepted_values":
+                vals = ", ".join(f"'{v}'" for v in t.values)
+                q = (f"SELECT count(*) FROM (SELECT {c} FROM {model} WHERE {t.where or 'TRUE'} GROUP BY {c}) "
+                     f"WHERE {c} NOT IN ({vals})")
+            else:
+                q = (f"SELECT count(*) FROM {model} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                     f"(SELECT 1 FROM {t.to} p WHERE p.{t.field} = ch.{c})")
+            parts.append(f"SELECT '{model}' AS model, '{t.kind}' AS test, '{c}' AS \"column\", ({q}) AS failures")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("dq_tests", _q(_dq_tests_sql(build.MODEL_TESTS)))
+def q_dq_tests(spark, sf_dir):
+    return quality.run_tests(Silver(spark, sf_dir).models(), build.MODEL_TESTS)
+
+
+DQ_METRICS = {
+    "investor_360": [
+        quality.count_where("negative_aum", "assets_under_management < 0", "assets_under_management"),
+        quality.duplicate_count("investor_id", "dup_investor_id"),
+        quality.null_count("email", "null_email"),
+    ],
+    "portfolio_risk": [quality.row_count(), quality.null_count("symbol", "null_symbol")],
+}
+
+
+@register("dq_metrics", _q("""
+SELECT 'investor_360' AS "table", 'negative_aum' AS metric, 'assets_under_management' AS "column",
+       (SELECT count(*) FROM investor_360 WHERE assets_under_management < 0) AS value
+UNION ALL SELECT 'investor_360', 'dup_investor_id', 'investor_id',
+       (SELECT count(*) - count(DISTINCT investor_id) - max(CASE WHEN investor_id IS NULL THEN 1 ELSE 0 END) FROM investor_360)
+UNION ALL SELECT 'investor_360', 'null_email', 'email', (SELECT count(*) FROM investor_360 WHERE email IS NULL)
+UNION ALL SELECT 'portfolio_risk', 'row_count', NULL, (SELECT count(*) FROM portfolio_risk)
+UNION ALL SELECT 'portfolio_risk', 'null_symbol', 'symbol', (SELECT count(*) FROM portfolio_risk WHERE symbol IS NULL)"""))
+def q_dq_metrics(spark, sf_dir):
+    s = Silver(spark, sf_dir)
+    m = {"investor_360": s.investor_360(), "portfolio_risk": s.portfolio()}
+    parts = [quality.metrics(m[t], specs, t) for t, specs in DQ_METRICS.items()]
+    return parts[0].unionByName(parts[1])
+
+
+# ------------------------------------------------------------- governance
+
+def _masked(spark, sf_dir, role):
+    inv = Silver(spark, sf_dir).investor_360().select("investor_id", "first_name", "last_name", "email", "country")
+    tagged = governance.tag_pii(inv, governance.INVESTOR_TAGS, governance.INVESTOR_PII)
+    return governance.apply_masking(tagged, role)
+
+
+@register("masked_investors_analyst", _q("""SELECT investor_id, '****MASKED****' AS first_name,
+       '****MASKED****' AS last_name, regexp_replace(email, '^[^@]+', '****') AS email, country
+FROM investor_360"""))
+def q_masked_investors_analyst(spark, sf_dir):
+    return _masked(spark, sf_dir, "FINANCE_ANALYST_RL")
+
+
+@register("masked_investors_admin", _q("SELECT investor_id, first_name, last_name, email, country FROM investor_360"))
+def q_masked_investors_admin(spark, sf_dir):
+    return _masked(spark, sf_dir, "ACCOUNTADMIN")
+
+
+def _classify_sql(table: str, cols, threshold: float = 0.8) -> str:
+    codes = ", ".join(f"'{c}'" for c in governance.iso_country_codes())
+    rules = {"EMAIL": ("IDENTIFIER", "regexp_matches({c}, '" + governance.EMAIL_PATTERN + "')"),
+             "COUNTRY": ("QUASI_IDENTIFIER", "upper({c}) IN (" + codes + ")")}
+    parts = []
+    for c in cols:
+        for cat, (priv, rule) in rules.items():
+            r = rule.replace("{c}", c)
+            parts.append(f"SELECT '{c}' AS \"column\", '{cat}' AS category, '{priv}' AS privacy, "
+                         f"CASE WHEN count({c}) > 0 THEN round(CAST(count(*) FILTER (WHERE {r}) AS DOUBLE) / count({c}), 6) "
+                         f"END AS hit_rate FROM {table}")
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE hit_rate >= {threshold}"
+
+
+_CUSTOMER_STRING_COLS = ["first_name", "last_name", "email", "segment", "kyc_status", "risk_rating", "country"]
+
+
+@register("classify_customer_columns", _q(_classify_sql("b_customers", _CUSTOMER_STRING_COLS)))
+def q_classify_customer_columns(spark, sf_dir):
+    return governance.classify_columns(adapter.customers(spark, sf_dir), threshold=0.8)
+
+
+# ---------------------------------------------------------------- reports
+
+@register("row_counts", _q("""SELECT 'CUSTOMERS' AS t, count(*) AS n FROM b_customers
+UNION ALL SELECT 'INSTRUMENT_PRICES', count(*) FROM b_instrument_prices
+UNION ALL SELECT 'TRANSACTIONS', count(*) FROM b_transactions
+UNION ALL SELECT 'TRADES', count(*) FROM b_trades
+UNION ALL SELECT 'RISK_METRICS', count(*) FROM b_risk_metrics
+UNION ALL SELECT 'EARNINGS_TRANSCRIPTS', count(*) FROM transcripts_raw"""))
+def q_row_counts(spark, sf_dir):
+    b = adapter.bronze(spark, sf_dir)
+    return reports.row_counts({
+        "CUSTOMERS": b["customers"], "INSTRUMENT_PRICES": b["instrument_prices"],
+        "TRANSACTIONS": b["transactions"], "TRADES": b["trades"], "RISK_METRICS": b["risk_metrics"],
+        "EARNINGS_TRANSCRIPTS": documents.transcripts_raw(b["doc_stage"])})
+
+
+@register("orphan_trades", _q("""SELECT t.* FROM stg_trades t
+WHERE t.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_customers c WHERE c.customer_id = t.customer_id)"""))
+def q_orphan_trades(spark, sf_dir):
+    s = Silver(spark, sf_dir)
+    return reports.orphans(s.trades(), s.customers(), "customer_id")
+
+
+@register("orphan_symbols", _q("""SELECT DISTINCT symbol FROM (
+  SELECT symbol FROM stg_trades UNION ALL SELECT symbol FROM stg_transactions) x
+WHERE symbol IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_instrument_prices p WHERE p.symbol = x.symbol)"""))
+def q_orphan_symbols(spark, sf_dir):
+    s = Silver(spark, sf_dir)
+    used = s.trades().select("symbol").unionByName(s.transactions().select("symbol"))
+    return reports.orphans(used, s.prices(), "symbol", distinct=True)
+
+
+@register("transcript_preview", _q("""SELECT file_name, symbol, sentiment, left(parsed_text, 80) AS preview,
+       left(summary, 90) AS outlook FROM stg_earnings_transcripts ORDER BY symbol"""))
+def q_transcript_preview(spark, sf_dir):
+    t = Silver(spark, sf_dir).transcripts()
+    t = documents.preview(t, "parsed_text", 80, "preview")
+    t = documents.preview(t, "summary", 90, "outlook")
+    return t.select("file_name", "symbol", "sentiment", "preview", "outlook").orderBy("symbol")
+
+
+_HTML_SQL = r"""SELECT page_id, url,
+  regexp_replace(regexp_replace(
+    replace(replace(replace(replace(replace(replace(
+      regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+        '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'),
+        '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'),
+    '[ \t\n\r\f]+', ' ', 'g'), '^ +| +$', '', 'g') AS text
+FROM pages"""
+
+
+@register("html_text", _q(_HTML_SQL))
+def q_html_text(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", "url", documents.html_to_text("html").alias("text"))
+
+
+# ------------------------------------------------- text signals, common words
+
+# Word lists made of frequent words of the driver corpus, so that
+# the registered check exercises every label (the finance lists find nothing
+# in invented prose). A mechanical check of the operator, not a sentiment model.
+COMMON_POSITIVE = ("of", "to", "in", "de")
+COMMON_NEGATIVE = ("and", "is", "was", "la")
+COMMON_OUTLOOK = ("the", "of", "le", "der")
+
+
+@register("sentiment_labels_common_words", _q("SELECT * FROM cw_sentiment", O.text_ctes(
+    positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, outlook=COMMON_OUTLOOK, prefix="cw")))
+def q_sentiment_labels_common_words(spark, sf_dir):
+    raw = Silver(spark, sf_dir).transcripts_raw()
+    return signals.with_sentiment(raw, positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, keep_counts=True) \
+                  .select("file_name", "positive_hits", "negative_hits", "sentiment")
+
+
+@register("outlook_sentence_common_words", _q("SELECT * FROM cw_summary", O.text_ctes(
+    positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, outlook=COMMON_OUTLOOK, prefix="cw")))
+def q_outlook_sentence_common_words(spark, sf_dir):
+    raw = Silver(spark, sf_dir).transcripts_raw()
+    return raw.select("file_name", signals.outlook_sentence("parsed_text", COMMON_OUTLOOK).alias("summary")) \
+              .filter("summary IS NOT NULL")
+
+
+# -------------------------------------------------------- change-feed apply
+
+@register("cdc_batch_apply", _q("""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC NULLS LAST,
+                                _ingested_at DESC NULLS LAST) AS rn FROM b_customers)
+WHERE rn = 1 AND coalesce(_deleted, FALSE) = FALSE"""))
+def q_cdc_batch_apply(spark, sf_dir):
+    """Two change batches (initial load, then the later updates) folded into state."""
+    changes = adapter.customers(spark, sf_dir)
+    cut = F.lit("2024-02-01").cast("timestamp_ntz")
+    state = cdc.apply_changes(None, changes.filter(F.col("updated_at") < cut), "customer_id",
+                              ["updated_at", "_ingested_at"])
+    state = cdc.apply_changes(state, changes.filter(F.col("updated_at") >= cut), "customer_id",
+                              ["updated_at", "_ingested_at"])
+    return cdc.live_view(state)
