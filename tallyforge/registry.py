@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .operators import cdc, governance, quality, reports, signals
+from .operators import cdc, governance, quality, reports, search, signals
 from .plans import build, marts, semantic, staging
 from .sources import adapter, documents
 
@@ -451,3 +451,80 @@ def q_cdc_batch_apply(spark, sf_dir):
     state = cdc.apply_changes(state, changes.filter(F.col("updated_at") >= cut), "customer_id",
                               ["updated_at", "_ingested_at"])
     return cdc.live_view(state)
+
+
+# ------------------------------------------------------------------ search
+
+def _bm25_sql(k: int, keep: str = "TRUE", k1: float = 1.2, b: float = 0.75) -> str:
+    tok = O.TOKEN_RE
+    return f"""
+, bm_docs AS (SELECT file_name AS doc_id, regexp_extract_all(lower(parsed_text), '{tok}') AS tok,
+                     coalesce({keep}, FALSE) AS keep FROM stg_earnings_transcripts)
+, bm_stats AS (SELECT count(*) AS n_docs, avg(len(tok)) AS avgdl FROM bm_docs)
+, bm_q AS (SELECT DISTINCT query_id, term FROM (
+             SELECT item_id AS query_id, unnest(regexp_extract_all(lower(text), '{tok}')) AS term FROM benchmark))
+, bm_tok AS (SELECT doc_id, keep, len(tok) AS dl, unnest(tok) AS term FROM bm_docs)
+, bm_hits AS (SELECT doc_id, term, count(*) AS tf, max(dl) AS dl, bool_or(keep) AS keep FROM bm_tok
+              WHERE term IN (SELECT term FROM bm_q) GROUP BY doc_id, term)
+, bm_df AS (SELECT term, count(*) AS df FROM bm_hits GROUP BY term)
+, bm_scored AS (
+    SELECT q.query_id, h.doc_id,
+           round(sum(ln(1.0 + (s.n_docs - d.df + 0.5) / (d.df + 0.5)) * CAST(h.tf AS DOUBLE) * {k1 + 1}
+                     / (CAST(h.tf AS DOUBLE) + {k1} * ({1 - b} + {b} * h.dl / s.avgdl))), 6) AS score
+    FROM bm_hits h JOIN bm_df d ON d.term = h.term JOIN bm_q q ON q.term = h.term, bm_stats s
+    WHERE h.keep GROUP BY q.query_id, h.doc_id)
+SELECT t.query_id, t.rank, t.doc_id AS file_name, t.score, e.symbol, e.sentiment
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS rank FROM bm_scored) t
+LEFT JOIN stg_earnings_transcripts e ON e.file_name = t.doc_id
+WHERE t.rank <= {k}"""
+
+
+def _with_tail(tail: str) -> str:
+    # tail starts with ", name AS (...)" CTEs followed by the final SELECT
+    return O.with_ctes("SELECT 1").replace("\nSELECT 1", tail)
+
+
+def _bm25(spark, sf_dir, filters=None):
+    corpus = Silver(spark, sf_dir).transcripts()
+    queries = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    out = search.bm25_topk(corpus, queries, k=3, id_col="file_name", text_col="parsed_text",
+                           qid_col="item_id", qtext_col="text", filters=filters,
+                           columns=("symbol", "sentiment"))
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("bm25_topk", _with_tail(_bm25_sql(3)))
+def q_bm25_topk(spark, sf_dir):
+    return _bm25(spark, sf_dir)
+
+
+BM25_FILTER = "fiscal_period >= '2025Q1'"
+
+
+@register("bm25_topk_filtered", _with_tail(_bm25_sql(3, BM25_FILTER)))
+def q_bm25_topk_filtered(spark, sf_dir):
+    return _bm25(spark, sf_dir, BM25_FILTER)
+
+
+_COSINE_SQL = """
+WITH cs_e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)
+, cs_q AS (SELECT label AS query_id, pos, avg(CAST(x AS DOUBLE)) AS qx FROM cs_e GROUP BY label, pos)
+, cs_qn AS (SELECT query_id, sqrt(sum(qx * qx)) AS qn FROM cs_q GROUP BY query_id)
+, cs_vn AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS vn FROM cs_e GROUP BY vec_id)
+, cs_dot AS (SELECT q.query_id, e.vec_id, sum(q.qx * CAST(e.x AS DOUBLE)) AS dot
+             FROM cs_q q JOIN cs_e e ON e.pos = q.pos GROUP BY q.query_id, e.vec_id)
+, cs_scored AS (SELECT d.query_id, d.vec_id, round(d.dot / (qn.qn * vn.vn), 6) AS score
+                FROM cs_dot d JOIN cs_qn qn ON qn.query_id = d.query_id JOIN cs_vn vn ON vn.vec_id = d.vec_id
+                WHERE qn.qn > 0 AND vn.vn > 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id ASC) AS rank FROM cs_scored)
+WHERE rank <= 5"""
+
+
+@register("cosine_topk", _COSINE_SQL)
+def q_cosine_topk(spark, sf_dir):
+    """The 5 vectors closest to each label's centroid (queries derived by Spark)."""
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    queries = search.centroids(emb, "label", "embedding").withColumnRenamed("label", "query_id")
+    out = search.cosine_topk(emb, queries, k=5, id_col="vec_id", vec_col="embedding")
+    return out.withColumn("rank", F.col("rank").cast("long"))
