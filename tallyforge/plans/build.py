@@ -66,14 +66,6 @@ DEPENDS_ON: dict[str, tuple[str, ...]] = {
 }
 GOLD = ("investor_360", "portfolio_risk", "investor_risk")
 
-# Layer namespaces; a configured schema name is used verbatim, else the target schema.
-LAYERS = ("raw", "staging", "marts", "semantic", "governance")
-
-
-def schema_name(custom: str | None, target: str) -> str:
-    return custom.strip() if custom else target
-
-
 def model_builders(bronze: Mapping[str, DataFrame], as_of=None, built_at=True,
                    text_options: Mapping | None = None) -> dict[str, Callable[[dict], DataFrame]]:
     """Model name -> function(built models) -> DataFrame."""
