@@ -84,7 +84,7 @@ def sentences(c: Column | str) -> Column:
     """Array of whitespace-normalised, trimmed sentences."""
     col = F.col(c) if isinstance(c, str) else c
     raw = F.regexp_extract_all(col, F.lit(SENTENCE_PATTERN), 0)
-    return F.transform(raw, lambda s: F.regexp_replace(F.regexp_replace(s, r"[ \t\n\r\f]+", " "), r"^ +| +$", ""))
+    return F.transform(raw, _normalise)
 
 
 def outlook_sentence(c: Column | str, terms=OUTLOOK_WORDS, pattern: str = TOKEN_PATTERN) -> Column:
@@ -98,11 +98,42 @@ def outlook_sentence(c: Column | str, terms=OUTLOOK_WORDS, pattern: str = TOKEN_
     return best.getField("sentence")
 
 
+def _normalise(s: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(s, r"[ \t\n\r\f]+", " "), r"^ +| +$", "")
+
+
+def with_signals(df: DataFrame, text_col: str = "parsed_text", positive=POSITIVE_WORDS,
+                 negative=NEGATIVE_WORDS, outlook_terms=OUTLOOK_WORDS, min_hits: int = MIN_HITS,
+                 mixed_pct: int = MIXED_PCT, pattern: str = TOKEN_PATTERN) -> DataFrame:
+    """Add ``sentiment`` and ``summary`` from ONE tokenisation of the text.
+
+    Sentences cover every token of the document (tokens never contain sentence
+    punctuation), so the document's lexicon hits are the sums of its sentences'
+    hits; only the chosen sentence is whitespace-normalised.
+    """
+    positive, negative = list(dict.fromkeys(positive)), list(dict.fromkeys(negative))
+    terms = list(dict.fromkeys(outlook_terms))
+    d = df.withColumn("_sent", F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_PATTERN), 0))
+    d = d.withColumn("_stok", F.transform("_sent", lambda s: tokens(s, pattern)))
+    hits = lambda words: F.aggregate("_stok", F.lit(0), lambda acc, ts: acc + _count_in(ts, words))
+    scored = F.transform("_stok", lambda ts, i: F.struct(
+        _count_in(ts, terms).alias("score"), (-i).alias("neg_pos"), i.alias("idx")))
+    best = F.array_max(F.filter(scored, lambda x: x["score"] > 0))
+    d = d.withColumn("_best", best.getField("idx"))
+    d = d.withColumn("_p", hits(positive)).withColumn("_n", hits(negative))
+    d = d.withColumn("sentiment", sentiment_label(F.col("_p"), F.col("_n"), min_hits, mixed_pct))
+    d = d.withColumn("summary", F.when(F.col("_best").isNotNull(),
+                                       _normalise(F.element_at("_sent", F.col("_best") + 1))))
+    return d.drop("_sent", "_stok", "_best", "_p", "_n")
+
+
 def stg_earnings_transcripts(raw: DataFrame, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS,
                              outlook_terms=OUTLOOK_WORDS, min_hits: int = MIN_HITS,
                              mixed_pct: int = MIXED_PCT, scorer=None) -> DataFrame:
     """Enriched transcripts: file_name, symbol, fiscal_period, parsed_text,
     sentiment, summary, loaded_at."""
-    d = with_sentiment(raw, "parsed_text", positive, negative, min_hits, mixed_pct, scorer=scorer)
-    return d.select("file_name", "symbol", "fiscal_period", "parsed_text", "sentiment",
-                    outlook_sentence("parsed_text", outlook_terms).alias("summary"), "loaded_at")
+    cols = ["file_name", "symbol", "fiscal_period", "parsed_text", "sentiment", "summary", "loaded_at"]
+    if scorer is not None:
+        d = with_sentiment(raw, "parsed_text", scorer=scorer)
+        return d.withColumn("summary", outlook_sentence("parsed_text", outlook_terms)).select(*cols)
+    return with_signals(raw, "parsed_text", positive, negative, outlook_terms, min_hits, mixed_pct).select(*cols)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import signals
-from ..session import scratch_root
+from ..session import materialize, scratch_root
 from ..sources import documents, schemas
 from . import marts, staging
 
@@ -87,12 +87,20 @@ def model_builders(bronze: Mapping[str, DataFrame], as_of=None, built_at=True,
     }
 
 
-def lazy_models(bronze: Mapping[str, DataFrame], as_of=None, built_at=None, text_options=None) -> dict[str, DataFrame]:
-    """All nine models as lazy DataFrames (no sink, no gating)."""
+STORED = ("stg_earnings_transcripts",) + GOLD
+
+
+def lazy_models(bronze: Mapping[str, DataFrame], as_of=None, built_at=None, text_options=None,
+                materialize_as=None) -> dict[str, DataFrame]:
+    """All nine models (no sink, no gating). With ``materialize_as(df, name)``
+    the enriched transcripts and the gold models are stored once."""
     builders = model_builders(bronze, as_of, built_at, text_options)
     built: dict[str, DataFrame] = {}
     for name in DEPENDS_ON:
-        built[name] = builders[name](built)
+        df = builders[name](built)
+        if materialize_as is not None and name in STORED:
+            df = materialize_as(df, name)
+        built[name] = df
     return built
 
 
@@ -120,6 +128,8 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], sink: str | None
             status[name] = "skipped"
             continue
         df = builders[name](built)
+        if name == "stg_earnings_transcripts":
+            df = materialize(df, name)   # the text job runs once per build
         if name in GOLD:
             path = f"{sink}/marts/{name}"
             df.write.mode("overwrite").format(fmt).save(path)

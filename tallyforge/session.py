@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package relies on. They are safe at any scale:
 # AQE re-plans joins from runtime sizes (broadcast only below the threshold,
@@ -72,3 +73,17 @@ def scratch_root(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd-checkpoints"))
     return root
+
+
+def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` once under the shared scratch root and read it back.
+
+    Cuts the lineage (a lost executor re-reads the files instead of
+    recomputing upstream stages) and lets several consumers share one
+    computation; unlike an RDD checkpoint the result stays columnar, so later
+    scans prune columns and push filters.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/materialized/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
