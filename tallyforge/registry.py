@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import cdc, governance, quality, reports, search, signals
 from .plans import build, marts, semantic, staging
-from .session import materialize
+from .session import materialize, spread
 from .sources import adapter, documents
 
 AS_OF = O.AS_OF
@@ -416,7 +416,7 @@ FROM pages"""
 
 @register("html_text", _q(_HTML_SQL))
 def q_html_text(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return pages.select("page_id", "url", documents.html_to_text("html").alias("text"))
 
 
@@ -534,7 +534,7 @@ WHERE rank <= 5"""
 @register("cosine_topk", _COSINE_SQL)
 def q_cosine_topk(spark, sf_dir):
     """The 5 vectors closest to each label's centroid (queries derived by Spark)."""
-    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    emb = spread(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     queries = search.centroids(emb, "label", "embedding").withColumnRenamed("label", "query_id")
     out = search.cosine_topk(emb, queries, k=5, id_col="vec_id", vec_col="embedding")
     return out.withColumn("rank", F.col("rank").cast("long"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
 from . import schemas as S
 
 # Mapping of driver categories to investor-model categories.
@@ -189,7 +190,7 @@ def document_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     (upper-case ``.PDF`` mostly, some ``.txt`` that the landing filter drops);
     every 50th document gets a name without keys.
     """
-    d = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     did = F.col("doc_id")
     ext = F.when(did % 10 == 9, F.lit(".txt")).otherwise(F.lit(".PDF"))
     earnings = F.concat(
