@@ -112,7 +112,7 @@ def instrument_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    o = spread(_read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     key = F.col("o_orderkey")
     kind = key % 5
     is_trade = kind.isin(2, 3)
@@ -135,9 +135,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select(
+    li = spread(_read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_returnflag", "l_shipdate"))
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     t = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     ln = F.col("l_linenumber") % 5
