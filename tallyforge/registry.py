@@ -548,3 +548,27 @@ def q_transcript_signals_common_words(spark, sf_dir):
     raw = Silver(spark, sf_dir).transcripts_raw()
     return signals.with_signals(raw, positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE,
                                 outlook_terms=COMMON_OUTLOOK).select("file_name", "sentiment", "summary")
+
+
+@register("cdc_stream_apply", _q("""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC NULLS LAST,
+                                _ingested_at DESC NULLS LAST) AS rn FROM b_customers)
+WHERE rn = 1 AND coalesce(_deleted, FALSE) = FALSE"""))
+def q_cdc_stream_apply(spark, sf_dir):
+    """The customer change feed landed as two files (later updates first, then
+    the initial load) and applied by the streaming job; must equal the batch."""
+    import uuid
+
+    from .session import scratch_root
+    from .sources import schemas
+    from .streaming import changefeed
+    root = f"{scratch_root(spark)}/cdc_stream_apply-{uuid.uuid4().hex}"
+    changes = adapter.customers(spark, sf_dir)
+    cut = F.lit("2024-02-01").cast("timestamp_ntz")
+    changes.filter(F.col("updated_at") >= cut).coalesce(1).write.parquet(f"{root}/landing/part1")
+    changes.filter(F.col("updated_at") < cut).coalesce(1).write.parquet(f"{root}/landing/part2")
+    keys, order = "customer_id", ["updated_at", "_ingested_at"]
+    # one file per micro-batch: the later updates are applied before the initial load
+    changefeed.stream_apply(spark, f"{root}/landing/*", schemas.CUSTOMERS, keys, order,
+                            f"{root}/state", f"{root}/checkpoint", max_files_per_trigger=1)
+    return changefeed.read_live(spark, f"{root}/state", keys, order)

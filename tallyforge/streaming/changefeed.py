@@ -41,14 +41,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def stream_apply(spark: SparkSession, src_dir: str, schema: T.StructType, keys: Sequence[str] | str,
                  order: Sequence[str] | str, state_dir: str, checkpoint: str,
                  tiebreak: Sequence[str] | str | None = None, fmt: str = "parquet",
-                 available_now: bool = True, processing_time: str | None = None):
+                 available_now: bool = True, processing_time: str | None = None,
+                 max_files_per_trigger: int | None = None):
     """Start the apply stream; with ``available_now`` it processes what is there
     and stops (returns after termination), else it runs on ``processing_time``."""
     def fold(batch: DataFrame, epoch_id: int) -> None:
         apply_changes(None, batch, keys, order, tiebreak) \
             .write.mode("overwrite").parquet(f"{state_dir}/log/epoch={epoch_id}")
 
-    reader = spark.readStream.schema(schema).format(fmt).load(src_dir)
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.load(src_dir)
     writer = reader.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time or "1 minute")
