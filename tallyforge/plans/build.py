@@ -104,6 +104,16 @@ def lazy_models(bronze: Mapping[str, DataFrame], as_of=None, built_at=None, text
     return built
 
 
+SILVER = tuple(n for n in DEPENDS_ON if n.startswith("stg_"))
+
+
+def register_views(models: Mapping[str, DataFrame], names=SILVER, prefix: str = "") -> None:
+    """Silver models are views: register them by name (evaluated on read)."""
+    for n in names:
+        if n in models:
+            models[n].createOrReplaceTempView(f"{prefix}{n}")
+
+
 @dataclass
 class BuildResult:
     models: dict[str, DataFrame]
@@ -145,6 +155,7 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], sink: str | None
                 results.append((r["model"], r["test"], r["column"], r["failures"], s))
                 failed |= r["failures"] > 0 and s == "error"
         status[name] = "failed_tests" if failed else "success"
+    register_views(built)
     return BuildResult(built, status, results)
 
 

@@ -54,6 +54,8 @@ def test_gated_build_on_driver_data(spark, scratch):
     assert spark.read.parquet(f"{scratch}/wh/marts/investor_360").count() > 0
     report = {r["model"]: r["status"] for r in build.build_report(spark, res).collect()}
     assert report["investor_360"] == "success"
+    # silver models are registered as views
+    assert spark.table("stg_customers").count() == res.models["stg_customers"].count()
 
 
 def test_warn_severity_does_not_gate(spark, scratch):
