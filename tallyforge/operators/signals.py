@@ -88,14 +88,15 @@ def sentences(c: Column | str) -> Column:
 
 
 def outlook_sentence(c: Column | str, terms=OUTLOOK_WORDS, pattern: str = TOKEN_PATTERN) -> Column:
-    """The sentence with most outlook-term tokens (earliest on ties), or NULL."""
+    """The sentence with most outlook-term tokens (earliest on ties), or NULL.
+    Sentences are scored raw; only the chosen one is whitespace-normalised."""
+    col = F.col(c) if isinstance(c, str) else c
     terms = list(dict.fromkeys(terms))
-    scored = F.transform(sentences(c), lambda s, i: F.struct(
-        F.size(F.filter(tokens(s, pattern), lambda t: t.isin(*terms))).alias("score"),
-        (-i).alias("neg_pos"),
-        s.alias("sentence")))
+    raw = F.regexp_extract_all(col, F.lit(SENTENCE_PATTERN), 0)
+    scored = F.transform(raw, lambda s, i: F.struct(
+        _count_in(tokens(s, pattern), terms).alias("score"), (-i).alias("neg_pos"), s.alias("sentence")))
     best = F.array_max(F.filter(scored, lambda x: x["score"] > 0))
-    return best.getField("sentence")
+    return _normalise(best.getField("sentence"))
 
 
 def _normalise(s: Column) -> Column:
