@@ -87,18 +87,21 @@ def model_builders(bronze: Mapping[str, DataFrame], as_of=None, built_at=True,
     }
 
 
-STORED = ("stg_earnings_transcripts",) + GOLD
+# Models read by more than one consumer downstream (the text job, and
+# portfolio_risk which feeds investor_risk): stored once when models are
+# evaluated together without a sink.
+SHARED = ("stg_earnings_transcripts", "portfolio_risk")
 
 
 def lazy_models(bronze: Mapping[str, DataFrame], as_of=None, built_at=None, text_options=None,
-                materialize_as=None) -> dict[str, DataFrame]:
+                materialize_as=None, store=SHARED) -> dict[str, DataFrame]:
     """All nine models (no sink, no gating). With ``materialize_as(df, name)``
-    the enriched transcripts and the gold models are stored once."""
+    the models named in ``store`` are computed once and stored."""
     builders = model_builders(bronze, as_of, built_at, text_options)
     built: dict[str, DataFrame] = {}
     for name in DEPENDS_ON:
         df = builders[name](built)
-        if materialize_as is not None and name in STORED:
+        if materialize_as is not None and name in store:
             df = materialize_as(df, name)
         built[name] = df
     return built

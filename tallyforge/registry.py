@@ -85,8 +85,7 @@ class Silver:
 
     def models(self):
         """All nine models (gold without _built_at); the enriched transcripts and
-        the three gold tables are stored once, as a build stores them, so
-        their tests read stored rows."""
+        portfolio_risk, which have several consumers, are computed once."""
         b = adapter.bronze(self.spark, self.sf_dir)
         m = build.lazy_models(b, as_of=self.as_of, materialize_as=materialize)
         return m
