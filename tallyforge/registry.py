@@ -69,12 +69,15 @@ class Silver:
     def transcripts_raw(self):
         return documents.transcripts_raw(adapter.document_stage(self.spark, self.sf_dir))
 
-    def transcripts(self):
-        """Enriched transcripts, computed once per query and stored (the text
-        job is the expensive step; every consumer reads the stored rows)."""
+    def transcripts(self, stored: bool = False):
+        """Enriched transcripts. Lazy by default, so plans that never read the
+        text signals let Catalyst prune the text job; ``stored=True`` computes
+        them once and stores them, for plans with several consumers."""
+        df = signals.stg_earnings_transcripts(self.transcripts_raw())
+        if not stored:
+            return df
         if self._transcripts is None:
-            self._transcripts = materialize(signals.stg_earnings_transcripts(self.transcripts_raw()),
-                                            "stg_earnings_transcripts")
+            self._transcripts = materialize(df, "stg_earnings_transcripts")
         return self._transcripts
 
     def portfolio(self):
@@ -396,7 +399,8 @@ def q_orphan_symbols(spark, sf_dir):
 @register("transcript_preview", _q("""SELECT file_name, symbol, sentiment, left(parsed_text, 80) AS preview,
        left(summary, 90) AS outlook FROM stg_earnings_transcripts ORDER BY symbol"""))
 def q_transcript_preview(spark, sf_dir):
-    t = Silver(spark, sf_dir).transcripts()
+    # stored: the range sort samples its input before shuffling it
+    t = Silver(spark, sf_dir).transcripts(stored=True)
     t = documents.preview(t, "parsed_text", 80, "preview")
     t = documents.preview(t, "summary", 90, "outlook")
     return t.select("file_name", "symbol", "sentiment", "preview", "outlook").orderBy("symbol")
