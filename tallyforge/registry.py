@@ -44,45 +44,65 @@ def oracle_sql() -> dict[str, str]:
 
 # ------------------------------------------------------------ silver inputs
 
+def _once(fn):
+    """Build a relation once per Silver instance (one query) and reuse it."""
+    def wrapper(self, *args, **kwargs):
+        key = (fn.__name__, args, tuple(sorted(kwargs.items())))
+        if key not in self._memo:
+            self._memo[key] = fn(self, *args, **kwargs)
+        return self._memo[key]
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
 class Silver:
-    """Lazily built silver relations for one driver directory."""
+    """Silver and gold relations for one driver directory, each built once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
-        self._transcripts = None
+        self._memo: dict = {}
 
+    @_once
     def customers(self):
         return staging.stg_customers(adapter.customers(self.spark, self.sf_dir), self.as_of)
 
+    @_once
     def prices(self):
         return staging.stg_instrument_prices(adapter.instrument_prices(self.spark, self.sf_dir))
 
+    @_once
     def transactions(self):
         return staging.stg_transactions(adapter.transactions(self.spark, self.sf_dir))
 
+    @_once
     def trades(self):
         return staging.stg_trades(adapter.trades(self.spark, self.sf_dir))
 
+    @_once
     def risk(self):
         return staging.stg_risk_metrics(adapter.risk_metrics(self.spark, self.sf_dir))
 
+    @_once
     def transcripts_raw(self):
         return documents.transcripts_raw(adapter.document_stage(self.spark, self.sf_dir))
 
+    @_once
     def transcripts(self, stored: bool = False):
         """Enriched transcripts. Lazy by default, so plans that never read the
         text signals let Catalyst prune the text job; ``stored=True`` computes
         them once and stores them, for plans with several consumers."""
         df = signals.stg_earnings_transcripts(self.transcripts_raw())
-        if not stored:
-            return df
-        if self._transcripts is None:
-            self._transcripts = materialize(df, "stg_earnings_transcripts")
-        return self._transcripts
+        return materialize(df, "stg_earnings_transcripts") if stored else df
 
-    def portfolio(self):
-        return marts.portfolio_risk(self.customers(), self.trades(), self.prices(), self.transcripts())
+    @_once
+    def portfolio(self, with_earnings: bool = True):
+        """portfolio_risk. ``with_earnings=False`` leaves out the earnings columns:
+        they come from a left join on a key that is unique on the right, so the
+        rows (and every other column) are the same."""
+        earnings = self.transcripts() if with_earnings else None
+        return marts.portfolio_risk(self.customers(), self.trades(), self.prices(), earnings)
 
+    @_once
     def investor_360(self):
         return marts.investor_360(self.customers(), self.transactions(), self.prices())
 
@@ -90,11 +110,12 @@ class Silver:
         """All nine models (gold without _built_at); the enriched transcripts and
         portfolio_risk, which have several consumers, are computed once."""
         b = adapter.bronze(self.spark, self.sf_dir)
-        m = build.lazy_models(b, as_of=self.as_of, materialize_as=materialize)
-        return m
+        return build.lazy_models(b, as_of=self.as_of, materialize_as=materialize)
 
+    @_once
     def investor_risk(self):
-        return marts.investor_risk(self.customers(), self.risk(), self.portfolio())
+        # the roll-up reads gross_exposure per position only
+        return marts.investor_risk(self.customers(), self.risk(), self.portfolio(False))
 
 
 def _q(body: str, *groups) -> str:
@@ -202,8 +223,7 @@ def q_portfolio_risk(spark, sf_dir):
 
 @register("investor_risk", _q("SELECT * FROM investor_risk"))
 def q_investor_risk(spark, sf_dir):
-    s = Silver(spark, sf_dir)
-    return marts.investor_risk(s.customers(), s.risk(), s.portfolio())
+    return Silver(spark, sf_dir).investor_risk()
 
 
 # ------------------------------------------------------------ semantic layer
@@ -419,7 +439,7 @@ FROM pages"""
 
 @register("html_text", _q(_HTML_SQL))
 def q_html_text(spark, sf_dir):
-    pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    pages = spread(adapter.read_table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", documents.html_to_text("html").alias("text"))
 
 
@@ -499,7 +519,7 @@ def _with_tail(tail: str) -> str:
 
 def _bm25(spark, sf_dir, filters=None):
     corpus = Silver(spark, sf_dir).transcripts()
-    queries = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    queries = adapter.read_table(spark, sf_dir, "benchmark")
     out = search.bm25_topk(corpus, queries, k=3, id_col="file_name", text_col="parsed_text",
                            qid_col="item_id", qtext_col="text", filters=filters,
                            columns=("symbol", "sentiment"))
@@ -537,7 +557,7 @@ WHERE rank <= 5"""
 @register("cosine_topk", _COSINE_SQL)
 def q_cosine_topk(spark, sf_dir):
     """The 5 vectors closest to each label's centroid (queries derived by Spark)."""
-    emb = spread(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    emb = spread(adapter.read_table(spark, sf_dir, "embeddings"))
     queries = search.centroids(emb, "label", "embedding").withColumnRenamed("label", "query_id")
     out = search.cosine_topk(emb, queries, k=5, id_col="vec_id", vec_col="embedding")
     return out.withColumn("rank", F.col("rank").cast("long"))

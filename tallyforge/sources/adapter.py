@@ -60,8 +60,12 @@ def _symbol(n: Column) -> Column:
     return F.concat(F.lit("SYM"), F.lpad(n.cast("string"), 3, "0"))
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table with its declared schema (no schema-inference job)."""
+    return spark.read.schema(S.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+_read = read_table
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
