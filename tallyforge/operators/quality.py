@@ -85,7 +85,8 @@ def _fused(model: str, df: DataFrame, specs: Sequence[DataTest]) -> DataFrame |
                .otherwise(F.lit(1).cast("long"))).alias("failures"))
     spec_rows = df.sparkSession.createDataFrame(
         [(i, model, t.kind, t.column) for i, t in local], "tid int, model string, test string, column string")
-    return (spec_rows.join(per_test, "tid", "left")
+    # per_test has at most one row per declared test: a proven bound
+    return (spec_rows.join(F.broadcast(per_test), "tid", "left")
                      .select("model", "test", "column",
                              F.coalesce(F.col("failures"), F.lit(0).cast("long")).alias("failures"), "tid"))
 
