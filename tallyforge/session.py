@@ -56,17 +56,20 @@ def get_spark(master: str | None = None, app_name: str = "tallyforge",
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, gold tables and streaming state.
 
-    Reads ``spark.checkpoint.dir`` from the session. If it is unset (tests,
-    a laptop) a new temporary folder is created and registered, so that
-    ``DataFrame.checkpoint()`` works too. On a cluster the setting must point
-    to shared storage (HDFS, object store); a machine-local folder would not
-    survive the loss of an executor.
+    Reads ``spark.checkpoint.dir`` from the session. If it is unset in local
+    mode (tests, a laptop) a new temporary folder is created and registered,
+    so that ``DataFrame.checkpoint()`` works too. On a cluster the setting must
+    point to shared storage (HDFS, object store) and an unset value is an
+    error: a machine-local folder would not survive the loss of an executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tallyforge-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store): "
+                               "stored intermediates must survive the loss of an executor")
+        root = tempfile.mkdtemp(prefix="tallyforge-")   # local mode only (tests, a laptop)
         spark.conf.set("spark.checkpoint.dir", root)
     else:
         root = root.rstrip("/")
