@@ -67,6 +67,8 @@ def classify_columns(df: DataFrame, threshold: float = 0.8, country_codes=None)
     share of matching non-NULL values is at least ``threshold``."""
     rules = category_rules(country_codes)
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, category string, privacy string, hit_rate double")
     aggs, meta = [], []
     for c in cols:
         aggs.append(F.count(F.col(c)).alias(f"n_{len(meta)}"))

@@ -111,6 +111,9 @@ def run_tests(models: Mapping[str, DataFrame], specs: Mapping[str, Sequence[Data
         for i, t in enumerate(tests):
             if t.kind == "relationships":
                 parts.append(_relationship(model, df, t, i, models))
+    if not parts:
+        spark = next(iter(models.values())).sparkSession
+        return spark.createDataFrame([], "model string, test string, column string, failures long")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

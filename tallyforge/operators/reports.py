@@ -13,6 +13,8 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     global aggregate with partial counts per task)."""
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("t"), "n")
              for name, df in tables.items()]
+    if not parts:
+        raise ValueError("row_counts needs at least one table")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
