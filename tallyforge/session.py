@@ -23,6 +23,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # target size of post-shuffle partitions; AQE coalesces towards it
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Broadcast only sides whose runtime size is under 32 MB; larger sides
     # fall back to a shuffled sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),

@@ -11,7 +11,8 @@ from tallyforge.session import get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", app_name="tallyforge-tests", shuffle_partitions=8)
+    s = get_spark("local[4]", app_name="tallyforge-tests", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tf-warehouse-")})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tf-tests-"))
     yield s
