@@ -88,6 +88,30 @@ def apply_changes(state: DataFrame | None, changes: DataFrame, keys: Sequence[st
     return _newest(merged, _as_list(keys), _as_list(order), _as_list(tiebreak))
 
 
+_EPOCH = "1970-01-01 00:00:00"
+_TS_SHIFT = 10 ** 17          # Spark timestamps span about -6.2e16 .. 2.6e17 microseconds
+_ID_SHIFT = 2 ** 63 + 1       # a shifted 64-bit id lies in 1 .. 2**64 < 10**20
+
+
+def newest_first_key(ts: str, id_col: str) -> Column:
+    """Exact single-value ordering key for (timestamp, 64-bit id), NULLs lowest.
+
+    ``decimal(38,0)`` = (microseconds + 1e17) * 1e20 + (id + 2**63 + 1); both parts
+    fit their digit ranges for every Spark timestamp and long, so ordering by the
+    key equals ordering by the pair. Unlike a struct it is a fixed-width
+    aggregation buffer, so ``max_by(value, key)`` stays a hash aggregate.
+    """
+    dec = "decimal(38,0)"
+
+    def big(n: int) -> Column:       # constants above 2**63 travel as text
+        return F.lit(str(n)).cast(dec)
+
+    us = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+    ts_part = F.coalesce(us.cast(dec) + big(_TS_SHIFT), big(0))
+    id_part = F.coalesce(F.col(id_col).cast(dec) + big(_ID_SHIFT), big(0))
+    return (ts_part * big(10 ** 20) + id_part).cast(dec)
+
+
 def live_view(state: DataFrame, flag: str = DELETED) -> DataFrame:
     """Rows of an applied state whose newest version is not a tombstone."""
     return live_rows(state, flag)

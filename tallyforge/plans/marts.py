@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.cdc import latest_by_key
+from ..operators.cdc import latest_by_key, newest_first_key
 from ..sources import schemas as S
 
 _EXACT_QTY = T.DecimalType(19, 4)     # qty x price then fits decimal(38,8) exactly
@@ -51,7 +51,8 @@ def cash_activity(tx: DataFrame) -> DataFrame:
     """Per customer: activity count, flow sums, last activity and newest balance.
 
     Newest balance = balance_after of the newest transaction by (txn_ts, txn_id),
-    NULL timestamps last. One hash aggregate covers flows and balance.
+    NULL timestamps last. One hash aggregate covers flows and balance (the
+    ordering pair is one fixed-width key, see ``newest_first_key``).
     """
     amount = F.col("amount")
     kind = F.col("txn_type")
@@ -61,7 +62,7 @@ def cash_activity(tx: DataFrame) -> DataFrame:
         F.sum(F.when(kind == "WITHDRAWAL", amount).otherwise(F.lit(0))).cast(S.MONEY_SUM).alias("total_redemptions"),
         F.sum(F.when(kind == "FEE", amount).otherwise(F.lit(0))).cast(S.MONEY_SUM).alias("total_fees"),
         F.max("txn_ts").alias("last_activity_ts"),
-        F.max_by("balance_after", F.struct("txn_ts", "txn_id")).alias("cash_balance"),
+        F.max_by("balance_after", newest_first_key("txn_ts", "txn_id")).alias("cash_balance"),
     )
 
 

@@ -62,3 +62,24 @@ def test_latest_by_key_is_one_partial_aggregate(spark):
     df = spark.createDataFrame([(1, ts(1), "a", False)], SCHEMA)
     plan = cdc.latest_by_key(df, "k", ["t"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_newest_first_key_orders_like_the_pair(spark):
+    import itertools
+    stamps = [None, dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
+              dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59)]
+    ids = [None, -2 ** 63, -1, 0, 2 ** 63 - 1]
+    rows = list(itertools.product(stamps, ids))
+    df = spark.createDataFrame(rows, "t timestamp_ntz, id long")
+    got = [(r["t"], r["id"]) for r in df.orderBy(cdc.newest_first_key("t", "id")).collect()]
+    exp = sorted(rows, key=lambda x: (x[0] is not None, x[0] or dt.datetime(1, 1, 1),
+                                      x[1] is not None, x[1] if x[1] is not None else 0))
+    assert got == exp
+
+
+def test_cash_activity_is_hash_aggregate(spark):
+    from tallyforge.plans import marts
+    from tallyforge.registry import Silver
+    plan = marts.cash_activity(Silver(spark, "/root/testdata/sf0.001").transactions()) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
