@@ -144,23 +144,38 @@ def trade_positions(trades: DataFrame) -> DataFrame:
                        F.count(F.lit(1)).alias("trade_count")))
 
 
-def latest_earnings(transcripts: DataFrame) -> DataFrame:
-    """Newest enriched transcript per symbol by fiscal period (string order),
-    ties broken by file name; only the carried columns travel."""
-    e = transcripts.select("symbol", "fiscal_period", "file_name", "sentiment", "summary")
-    return latest_by_key(e, "symbol", order=["fiscal_period"], tiebreak=["file_name"]) \
-        .select("symbol", "sentiment", "summary")
+def latest_earnings(transcripts: DataFrame, enrich=None) -> DataFrame:
+    """Newest transcript per symbol by fiscal period (string order), ties broken
+    by file name, with its sentiment and summary.
+
+    ``transcripts`` are enriched transcripts, or — with ``enrich`` (raw ->
+    enriched) — the raw landing rows: then the newest file per symbol is chosen
+    first (file names are unique, so the choice does not depend on the text
+    signals) and only those files go through the text job, one per symbol
+    instead of the whole corpus.
+    """
+    if enrich is None:
+        e = transcripts.select("symbol", "fiscal_period", "file_name", "sentiment", "summary")
+        return latest_by_key(e, "symbol", order=["fiscal_period"], tiebreak=["file_name"]) \
+            .select("symbol", "sentiment", "summary")
+    keys = transcripts.select("symbol", "fiscal_period", "file_name")
+    newest = latest_by_key(keys, "symbol", order=["fiscal_period"], tiebreak=["file_name"]).select("file_name")
+    chosen = transcripts.join(newest, "file_name", "left_semi")       # <= one file per symbol
+    return enrich(chosen).select("symbol", "sentiment", "summary")
 
 
 def portfolio_risk(customers: DataFrame, trades: DataFrame, prices: DataFrame,
-                   earnings: DataFrame | None, built_at=None) -> DataFrame:
+                   earnings: DataFrame | None, built_at=None, enrich=None) -> DataFrame:
+    """Positions valued at the newest price, with the newest earnings signals.
+    ``earnings`` are enriched transcripts, or raw ones with ``enrich`` (see
+    :func:`latest_earnings`)."""
     pos = trade_positions(trades).filter(F.col("net_quantity") != 0).alias("p")
     pr = prices.select("symbol", "price", "asset_class").alias("pr")
     c = customers.select("customer_id", "segment", "risk_rating").alias("c")
     j = (pos.join(pr, F.col("p.symbol") == F.col("pr.symbol"), "inner")
             .join(c, F.col("p.customer_id") == F.col("c.customer_id"), "inner"))
     if earnings is not None:
-        e = latest_earnings(earnings).alias("e")
+        e = latest_earnings(earnings, enrich).alias("e")
         j = j.join(e, F.col("p.symbol") == F.col("e.symbol"), "left")
         sentiment, summary = F.col("e.sentiment"), F.col("e.summary")
     else:

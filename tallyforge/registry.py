@@ -7,6 +7,7 @@ limit is the feature (top-k search).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,11 +97,14 @@ class Silver:
 
     @_once
     def portfolio(self, with_earnings: bool = True):
-        """portfolio_risk. ``with_earnings=False`` leaves out the earnings columns:
-        they come from a left join on a key that is unique on the right, so the
-        rows (and every other column) are the same."""
-        earnings = self.transcripts() if with_earnings else None
-        return marts.portfolio_risk(self.customers(), self.trades(), self.prices(), earnings)
+        """portfolio_risk. The text signals are computed only for the newest
+        transcript of each symbol. ``with_earnings=False`` leaves out the earnings
+        columns: they come from a left join on a key that is unique on the
+        right, so the rows (and every other column) are the same."""
+        if not with_earnings:
+            return marts.portfolio_risk(self.customers(), self.trades(), self.prices(), None)
+        return marts.portfolio_risk(self.customers(), self.trades(), self.prices(), self.transcripts_raw(),
+                                    enrich=signals.stg_earnings_transcripts)
 
     @_once
     def investor_360(self):
@@ -211,7 +215,7 @@ def q_stg_earnings_transcripts(spark, sf_dir):
 
 @register("latest_earnings", _q("SELECT * FROM latest_earnings"))
 def q_latest_earnings(spark, sf_dir):
-    return marts.latest_earnings(Silver(spark, sf_dir).transcripts())
+    return marts.latest_earnings(Silver(spark, sf_dir).transcripts_raw(), enrich=signals.stg_earnings_transcripts)
 
 
 # ------------------------------------------------------------ trading book
@@ -518,12 +522,17 @@ def _with_tail(tail: str) -> str:
 
 
 def _bm25(spark, sf_dir, filters=None):
-    corpus = Silver(spark, sf_dir).transcripts()
+    """Rank the transcripts, then label only the ranked files with their
+    sentiment (the label is per document, so ranking does not depend on it)."""
+    raw = Silver(spark, sf_dir).transcripts_raw()
     queries = adapter.read_table(spark, sf_dir, "benchmark")
-    out = search.bm25_topk(corpus, queries, k=3, id_col="file_name", text_col="parsed_text",
-                           qid_col="item_id", qtext_col="text", filters=filters,
-                           columns=("symbol", "sentiment"))
-    return out.withColumn("rank", F.col("rank").cast("long"))
+    top = search.bm25_topk(raw, queries, k=3, id_col="file_name", text_col="parsed_text",
+                           qid_col="item_id", qtext_col="text", filters=filters, columns=("symbol",))
+    ranked = raw.join(top.select("file_name").distinct(), "file_name", "left_semi")   # <= queries x k files
+    labels = signals.stg_earnings_transcripts(ranked).select("file_name", "sentiment")
+    out = top.join(labels, "file_name", "left")
+    return out.select("query_id", F.col("rank").cast("long").alias("rank"), "file_name", "score",
+                      "symbol", "sentiment")
 
 
 @register("bm25_topk", _with_tail(_bm25_sql(3)))
@@ -595,3 +604,16 @@ def q_cdc_stream_apply(spark, sf_dir):
     changefeed.stream_apply(spark, f"{root}/landing/*", schemas.CUSTOMERS, keys, order,
                             f"{root}/state", f"{root}/checkpoint", max_files_per_trigger=1)
     return changefeed.read_live(spark, f"{root}/state", keys, order)
+
+
+@register("latest_earnings_common_words", _q("""SELECT symbol, sentiment, summary FROM (
+  SELECT r.symbol, s.sentiment, m.summary,
+         row_number() OVER (PARTITION BY r.symbol ORDER BY r.fiscal_period DESC NULLS LAST, r.file_name DESC) AS rn
+  FROM transcripts_raw r JOIN cw_sentiment s ON s.file_name = r.file_name
+  LEFT JOIN cw_summary m ON m.file_name = r.file_name) WHERE rn = 1""", O.text_ctes(
+    positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, outlook=COMMON_OUTLOOK, prefix="cw")))
+def q_latest_earnings_common_words(spark, sf_dir):
+    """Newest transcript per symbol, enriched after the choice (one file per symbol)."""
+    enrich = functools.partial(signals.stg_earnings_transcripts, positive=COMMON_POSITIVE,
+                               negative=COMMON_NEGATIVE, outlook_terms=COMMON_OUTLOOK)
+    return marts.latest_earnings(Silver(spark, sf_dir).transcripts_raw(), enrich=enrich)
