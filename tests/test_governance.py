@@ -28,3 +28,11 @@ def test_classify_detects_email_and_country_not_names(spark):
 def test_country_codes_from_tz_database():
     codes = G.iso_country_codes()
     assert len(codes) > 240 and {"US", "GB", "DE", "SG", "CA"} <= set(codes)
+
+
+def test_mask_non_string_column(spark):
+    df = spark.createDataFrame([(1, 42)], "id long, account long")
+    t = G.tag(df, "account", pii="Y")
+    r = G.apply_masking(t, "ANALYST").first()
+    assert r["account"] == "****MASKED****"
+    assert G.apply_masking(t, "ACCOUNTADMIN").first()["account"] == 42
