@@ -8,14 +8,14 @@ follows the usual generic-test definitions:
 * accepted_values(c, vs, w)   distinct non-NULL values of c outside vs (rows filtered by w)
 * relationships(c, to, f)     non-NULL child rows whose c has no parent row with f = c
 
-Execution: all not_null / unique / accepted_values tests of one model run in
-ONE pass over the model: every row emits ``(test, value)`` pairs only for
-what the tests need (a NULL marker, an invalid value, or the key value of a
-uniqueness test), and a single ``groupBy(test, value)`` with map-side partial
-aggregation counts them. A value that holds a third of all rows is reduced
-per map task before the shuffle; no value list is ever collected into one
-task. Relationship tests are anti-joins against the parent's distinct keys
-(AQE broadcasts the parent side only when its runtime size is small).
+Execution: all tests of one model run in ONE pass over the model: every row
+emits ``(test, value)`` pairs only for what the tests need (a NULL marker, an
+invalid value, or the key of a uniqueness or relationship test), and a single
+``groupBy(test, value)`` with map-side partial aggregation counts them. A value
+that holds a third of all rows is reduced per map task before the shuffle; no
+value list is ever collected into one task. Relationship tests then anti-join
+the child's distinct keys (with their row counts) against the parent's
+distinct keys (AQE broadcasts a side only when its runtime size is small).
 """
 
 from __future__ import annotations
@@ -57,67 +57,64 @@ def relationships(column: str, to: str, field: str, severity: str = "error") ->
     return DataTest("relationships", column, to=to, field=field, severity=severity)
 
 
-def _fused(model: str, df: DataFrame, specs: Sequence[DataTest]) -> DataFrame | None:
-    """not_null, unique and accepted_values of one model in one pass + one shuffle."""
-    local = [(i, t) for i, t in enumerate(specs) if t.kind in ("not_null", "unique", "accepted_values")]
-    if not local:
+def _fused(model: str, df: DataFrame, specs: Sequence[DataTest],
+           parents: Mapping[str, DataFrame]) -> DataFrame | None:
+    """All tests of one model from one pass over it and one shuffle."""
+    if not specs:
         return None
     emits = []
-    for i, t in local:
+    for i, t in enumerate(specs):
         c = F.col(t.column)
         if t.kind == "not_null":
             cond, val = c.isNull(), F.lit("")
-        elif t.kind == "unique":
+        elif t.kind in ("unique", "relationships"):
             cond, val = c.isNotNull(), c.cast("string")
         else:
-            ok = c.isin(*t.values)
-            cond = c.isNotNull() & ~ok
+            cond = c.isNotNull() & ~c.isin(*t.values)
             if t.where:
                 cond = cond & F.coalesce(F.expr(t.where), F.lit(False))
             val = c.cast("string")
         emits.append(F.when(cond, F.struct(F.lit(i).alias("tid"), val.alias("v"))))
     pairs = df.select(F.explode(F.array_compact(F.array(*emits))).alias("e")).select("e.tid", "e.v")
+    # distinct (test, value) with their row counts; partial aggregation per task
     counted = pairs.groupBy("tid", "v").agg(F.count(F.lit(1)).alias("n"))
-    kinds = F.create_map(*[x for i, t in local for x in (F.lit(i), F.lit(t.kind))])
-    per_test = counted.groupBy("tid").agg(
-        F.sum(F.when(F.element_at(kinds, F.col("tid")) == "not_null", F.col("n"))
-               .when(F.element_at(kinds, F.col("tid")) == "unique", (F.col("n") > 1).cast("long"))
-               .otherwise(F.lit(1).cast("long"))).alias("failures"))
+    kinds = F.create_map(*[x for i, t in enumerate(specs) for x in (F.lit(i), F.lit(t.kind))])
+    kind = F.element_at(kinds, F.col("tid"))
+    parts = [counted.filter(kind != "relationships").groupBy("tid").agg(
+        F.sum(F.when(kind == "not_null", F.col("n"))
+               .when(kind == "unique", (F.col("n") > 1).cast("long"))
+               .otherwise(F.lit(1).cast("long"))).alias("failures"))]
+    for i, t in enumerate(specs):
+        if t.kind == "relationships":
+            # orphans: distinct child keys without a parent key, weighted by their rows
+            pk = (parents[t.to].select(F.col(t.field).cast("string").alias("pk"))
+                  .filter(F.col("pk").isNotNull()).distinct())
+            child = counted.filter(F.col("tid") == i)
+            parts.append(child.join(pk, child["v"] == pk["pk"], "left_anti")
+                              .agg(F.lit(i).alias("tid"), F.sum("n").alias("failures")))
+    per_test = parts[0]
+    for p in parts[1:]:
+        per_test = per_test.unionByName(p)
     spec_rows = df.sparkSession.createDataFrame(
-        [(i, model, t.kind, t.column) for i, t in local], "tid int, model string, test string, column string")
+        [(i, model, t.kind, t.column) for i, t in enumerate(specs)],
+        "tid int, model string, test string, column string")
     # per_test has at most one row per declared test: a proven bound
     return (spec_rows.join(F.broadcast(per_test), "tid", "left")
                      .select("model", "test", "column",
-                             F.coalesce(F.col("failures"), F.lit(0).cast("long")).alias("failures"), "tid"))
-
-
-def _relationship(model: str, df: DataFrame, t: DataTest, tid: int, parents: Mapping[str, DataFrame]) -> DataFrame:
-    parent = parents[t.to].select(F.col(t.field).alias("_pk")).filter(F.col("_pk").isNotNull()).distinct()
-    child = df.select(F.col(t.column).alias("_fk")).filter(F.col("_fk").isNotNull())
-    orphans = child.join(parent, child["_fk"] == parent["_pk"], "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(t.kind).alias("test"), F.lit(t.column).alias("column"),
-        "failures", F.lit(tid).alias("tid"))
+                             F.coalesce(F.col("failures"), F.lit(0).cast("long")).alias("failures")))
 
 
 def run_tests(models: Mapping[str, DataFrame], specs: Mapping[str, Sequence[DataTest]]) -> DataFrame:
     """``DataFrame[model, test, column, failures]`` for every spec (lazy)."""
-    parts = []
-    for model, tests in specs.items():
-        df = models[model]
-        fused = _fused(model, df, tests)
-        if fused is not None:
-            parts.append(fused)
-        for i, t in enumerate(tests):
-            if t.kind == "relationships":
-                parts.append(_relationship(model, df, t, i, models))
+    parts = [p for model, tests in specs.items()
+             if (p := _fused(model, models[model], tests, models)) is not None]
     if not parts:
         spark = next(iter(models.values())).sparkSession
         return spark.createDataFrame([], "model string, test string, column string, failures long")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.drop("tid")
+    return out
 
 
 # ------------------------------------------------------------------ metrics
