@@ -291,3 +291,13 @@ def with_ctes(body: str, *groups: dict) -> str:
         ctes.update(g)
     parts = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in ctes.items())
     return f"WITH {parts}\n{body}"
+
+
+def with_ctes_and(more: str) -> str:
+    """Like :func:`with_ctes`, for a ``more`` text that continues the CTE list
+    (``, name AS (...) ...``) and ends with the final SELECT."""
+    ctes = {}
+    for g in (BRONZE, STAGING, TRANSCRIPTS, MARTS):
+        ctes.update(g)
+    parts = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in ctes.items())
+    return f"WITH {parts}\n{more}"

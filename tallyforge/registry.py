@@ -516,11 +516,6 @@ LEFT JOIN stg_earnings_transcripts e ON e.file_name = t.doc_id
 WHERE t.rank <= {k}"""
 
 
-def _with_tail(tail: str) -> str:
-    # tail starts with ", name AS (...)" CTEs followed by the final SELECT
-    return O.with_ctes("SELECT 1").replace("\nSELECT 1", tail)
-
-
 def _bm25(spark, sf_dir, filters=None):
     """Rank the transcripts, then label only the ranked files with their
     sentiment (the label is per document, so ranking does not depend on it)."""
@@ -535,7 +530,7 @@ def _bm25(spark, sf_dir, filters=None):
                       "symbol", "sentiment")
 
 
-@register("bm25_topk", _with_tail(_bm25_sql(3)))
+@register("bm25_topk", O.with_ctes_and(_bm25_sql(3)))
 def q_bm25_topk(spark, sf_dir):
     return _bm25(spark, sf_dir)
 
@@ -543,7 +538,7 @@ def q_bm25_topk(spark, sf_dir):
 BM25_FILTER = "fiscal_period >= '2025Q1'"
 
 
-@register("bm25_topk_filtered", _with_tail(_bm25_sql(3, BM25_FILTER)))
+@register("bm25_topk_filtered", O.with_ctes_and(_bm25_sql(3, BM25_FILTER)))
 def q_bm25_topk_filtered(spark, sf_dir):
     return _bm25(spark, sf_dir, BM25_FILTER)
 
