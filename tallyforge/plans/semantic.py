@@ -82,6 +82,14 @@ class SemanticView:
                 cols.append(F.col(c))
         return df.select(*cols)
 
+    def create_view(self, name: str | None = None) -> str:
+        """Register the base rows under the logical fact and dimension names as a
+        temp view (default: the table name), so SQL can aggregate them directly:
+        ``SELECT investor_segment, sum(aum) FROM investors GROUP BY 1``."""
+        view = name or self.table
+        self._projected().createOrReplaceTempView(view)
+        return view
+
     def query(self, dimensions: Sequence[str] = (), metrics: Sequence[str] = (),
               where: str | Column | None = None, order: Sequence[str | Column] | None = None) -> DataFrame:
         dims = [self.resolve(d, "dimension") for d in dimensions]

@@ -46,3 +46,11 @@ def test_positions_total_trades_accepts_fact_and_physical_name(spark):
     v = semantic.positions_view(df)
     assert v.query([], ["total_trades"]).first()[0] == 3
     assert v.query(["ticker"], ["number of positions"]).first()["position_count"] == 1
+
+
+def test_semantic_view_in_sql(spark, investors):
+    investors.create_view()
+    got = {r[0]: r[1] for r in spark.sql(
+        "SELECT investor_segment, sum(aum) AS total_aum FROM investors GROUP BY investor_segment").collect()}
+    api = {r["investor_segment"]: r["total_aum"] for r in investors.query(["investor_segment"], ["total_aum"]).collect()}
+    assert got == api
