@@ -46,6 +46,13 @@ def html_to_text(c: Column | str) -> Column:
     return F.regexp_replace(t, r"^ +| +$", "")
 
 
+def extract_text(name_col: str = "file_name", content_col: str = "content") -> Column:
+    """Text of a document by its file type: HTML pages are reduced to their
+    visible text, text files pass through unchanged."""
+    is_html = F.lower(F.col(name_col)).rlike(r"\.(html?|xhtml)$")
+    return F.when(is_html, html_to_text(content_col)).otherwise(F.col(content_col))
+
+
 def document_keys(df: DataFrame, name_col: str = "file_name") -> DataFrame:
     """Add ``symbol`` (SYMnnn) and ``fiscal_period`` (20yyQn) parsed from the
     file name; NULL where the name carries no such key."""

@@ -65,3 +65,9 @@ def test_read_documents_from_folder(spark, scratch):
     df = documents.read_documents(spark, scratch)
     assert sorted((r["file_name"], r["content"]) for r in df.collect()) == [
         ("A_SYM001_2026Q1.pdf", "alpha"), ("b.PDF", "beta")]
+
+
+def test_extract_text_by_file_type(spark):
+    df = spark.createDataFrame([("a.HTML", "<p>Hi&amp;bye</p>"), ("b.txt", "<p>kept</p>")], "file_name string, content string")
+    got = dict(df.select("file_name", documents.extract_text().alias("t")).collect())
+    assert got == {"a.HTML": "Hi&bye", "b.txt": "<p>kept</p>"}
