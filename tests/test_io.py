@@ -55,3 +55,13 @@ def test_layers_and_table_sink(spark, scratch):
     assert spark.table(name).count() == 2
     assert sinks.schema_name("  custom ", "marts") == "custom" and sinks.schema_name(None, "marts") == "marts"
     assert os.path.isdir(os.path.join(scratch, "marts.db"))
+
+
+def test_variant_path_access_on_results(spark):
+    top = spark.createDataFrame([(1, 1, "SYM1", "mixed"), (1, 2, "SYM2", "negative")],
+                                "query_id long, rank int, symbol string, sentiment string")
+    js = search.results_json(top, ["symbol", "sentiment"])
+    v = js.select(F.parse_json("json").alias("v"))
+    got = v.select(F.variant_get("v", "$.results[1].symbol", "string").alias("s"),
+                   F.variant_get("v", "$.results[0].sentiment", "string").alias("t")).first()
+    assert (got["s"], got["t"]) == ("SYM2", "mixed")
