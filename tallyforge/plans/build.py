@@ -1,17 +1,19 @@
 """Ordered, gated build of the silver and gold models.
 
 ``build`` walks the model list in dependency order. Silver models stay lazy
-(views); gold models are written once to the sink (parquet by default, any
-format the catalog supports otherwise) and re-read, so their tests and their
-dependants read the stored table instead of re-running the upstream plan —
-which also cuts the lineage: a lost executor never recomputes more than the
-stage it was running. After each model its tests run; when an error-severity
+(views); gold models are published once to the sink as a new version
+(parquet by default, any format the catalog supports otherwise; see
+``sinks.publish``) and re-read, so their tests and their dependants read the
+stored table instead of re-running the upstream plan — which also cuts the
+lineage: a lost executor never recomputes more than the stage it was running,
+and a failed build never replaces the current version. After each model its tests run; when an error-severity
 test fails, every model downstream of it is skipped (reported, not built).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators import signals
 from ..session import materialize, scratch_root
-from ..sources import documents, schemas
+from ..sources import documents, schemas, sinks
 from . import marts, staging
 
 # The data contracts: 32 tests over 9 models.
@@ -132,6 +134,7 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], sink: str | None
     tests = MODEL_TESTS if tests is None else tests
     sink = sink or f"{scratch_root(spark)}/warehouse"
     built_at = built_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    version = f"{built_at:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
     builders = model_builders(bronze, as_of, built_at, text_options)
     built: dict[str, DataFrame] = {}
     status: dict[str, str] = {}
@@ -144,9 +147,8 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], sink: str | None
         if name == "stg_earnings_transcripts":
             df = materialize(df, name)   # the text job runs once per build
         if name in GOLD:
-            path = f"{sink}/marts/{name}"
-            df.write.mode("overwrite").format(fmt).save(path)
-            df = spark.read.format(fmt).load(path)
+            # a new version per build, committed only after a complete write
+            df = sinks.publish(df, f"{sink}/marts", name, version, fmt)
         built[name] = df
         specs = tests.get(name, [])
         failed = False

@@ -65,3 +65,13 @@ def test_variant_path_access_on_results(spark):
     got = v.select(F.variant_get("v", "$.results[1].symbol", "string").alias("s"),
                    F.variant_get("v", "$.results[0].sentiment", "string").alias("t")).first()
     assert (got["s"], got["t"]) == ("SYM2", "mixed")
+
+
+def test_publish_versions(spark, scratch):
+    root = f"{scratch}/pub"
+    sinks.publish(spark.createDataFrame([(1,)], "x int"), root, "t", "20260101000000-a")
+    sinks.publish(spark.createDataFrame([(1,), (2,)], "x int"), root, "t", "20260102000000-b")
+    assert sinks.read_published(spark, root, "t").count() == 2
+    # a version whose write never committed is invisible
+    spark.createDataFrame([(9,)], "x int").write.parquet(f"{root}/t/v=20260103000000-c")
+    assert sinks.read_published(spark, root, "t").count() == 2

@@ -51,7 +51,8 @@ def test_gated_build_on_driver_data(spark, scratch):
     assert res.status["stg_trades"] == "failed_tests"
     assert res.status["portfolio_risk"] == "skipped" and res.status["investor_risk"] == "skipped"
     assert res.status["investor_360"] == "success"
-    assert spark.read.parquet(f"{scratch}/wh/marts/investor_360").count() > 0
+    from tallyforge.sources import sinks
+    assert sinks.read_published(spark, f"{scratch}/wh/marts", "investor_360").count() > 0
     report = {r["model"]: r["status"] for r in build.build_report(spark, res).collect()}
     assert report["investor_360"] == "success"
     # silver models are registered as views
