@@ -18,7 +18,6 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import signals
