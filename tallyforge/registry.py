@@ -423,11 +423,13 @@ def q_orphan_symbols(spark, sf_dir):
 @register("transcript_preview", _q("""SELECT file_name, symbol, sentiment, left(parsed_text, 80) AS preview,
        left(summary, 90) AS outlook FROM stg_earnings_transcripts ORDER BY symbol"""))
 def q_transcript_preview(spark, sf_dir):
-    # stored: the range sort samples its input before shuffling it
-    t = Silver(spark, sf_dir).transcripts(stored=True)
+    t = Silver(spark, sf_dir).transcripts()
     t = documents.preview(t, "parsed_text", 80, "preview")
     t = documents.preview(t, "summary", 90, "outlook")
-    return t.select("file_name", "symbol", "sentiment", "preview", "outlook").orderBy("symbol")
+    # the range sort samples its input before shuffling it: store the short
+    # preview rows once (not the texts) so the text job runs once
+    rows = materialize(t.select("file_name", "symbol", "sentiment", "preview", "outlook"), "transcript_preview")
+    return rows.orderBy("symbol")
 
 
 _HTML_SQL = r"""SELECT page_id, url,
