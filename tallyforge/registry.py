@@ -614,3 +614,13 @@ def q_latest_earnings_common_words(spark, sf_dir):
     enrich = functools.partial(signals.stg_earnings_transcripts, positive=COMMON_POSITIVE,
                                negative=COMMON_NEGATIVE, outlook_terms=COMMON_OUTLOOK)
     return marts.latest_earnings(Silver(spark, sf_dir).transcripts_raw(), enrich=enrich)
+
+
+@register("aum_by_segment_sql", _q("""SELECT investor_segment, count(investor_id) AS investor_count,
+       sum(assets_under_management) AS total_aum
+FROM investor_360 GROUP BY investor_segment"""))
+def q_aum_by_segment_sql(spark, sf_dir):
+    """The flagship metric through SQL over the semantic view's logical names."""
+    view = semantic.investors_view(Silver(spark, sf_dir).investor_360).create_view("investors_sv_sql")
+    return spark.sql(f"SELECT investor_segment, count(investor_id) AS investor_count, sum(aum) AS total_aum "
+                     f"FROM {view} GROUP BY investor_segment")
