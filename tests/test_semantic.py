@@ -54,3 +54,13 @@ def test_semantic_view_in_sql(spark, investors):
         "SELECT investor_segment, sum(aum) AS total_aum FROM investors GROUP BY investor_segment").collect()}
     api = {r["investor_segment"]: r["total_aum"] for r in investors.query(["investor_segment"], ["total_aum"]).collect()}
     assert got == api
+
+
+def test_comments_travel_as_metadata_and_ambiguity_is_an_error(spark, investors):
+    proj = investors._projected()
+    assert proj.schema["aum"].metadata.get("comment") == "Cash balance plus market value of holdings"
+    import dataclasses
+    clash = dataclasses.replace(investors, metrics=investors.metrics + [
+        semantic.Member("aum_total_2", "sum(aum)", ("total AUM",))])
+    with pytest.raises(KeyError, match="ambiguous"):
+        clash.resolve("total aum")
