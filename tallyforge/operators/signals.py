@@ -114,18 +114,19 @@ def with_signals(df: DataFrame, text_col: str = "parsed_text", positive=POSITIVE
     """
     positive, negative = list(dict.fromkeys(positive)), list(dict.fromkeys(negative))
     terms = list(dict.fromkeys(outlook_terms))
-    d = df.withColumn("_sent", F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_PATTERN), 0))
-    d = d.withColumn("_stok", F.transform("_sent", lambda s: tokens(s, pattern)))
+    keep = [F.col(c) for c in df.columns]
+    # three projection levels: sentences, their tokens, then counts and choices
+    d = df.select(*keep, F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_PATTERN), 0).alias("_sent"))
+    d = d.select(*keep, "_sent", F.transform("_sent", lambda s: tokens(s, pattern)).alias("_stok"))
     hits = lambda words: F.aggregate("_stok", F.lit(0), lambda acc, ts: acc + _count_in(ts, words))
     scored = F.transform("_stok", lambda ts, i: F.struct(
         _count_in(ts, terms).alias("score"), (-i).alias("neg_pos"), i.alias("idx")))
-    best = F.array_max(F.filter(scored, lambda x: x["score"] > 0))
-    d = d.withColumn("_best", best.getField("idx"))
-    d = d.withColumn("_p", hits(positive)).withColumn("_n", hits(negative))
-    d = d.withColumn("sentiment", sentiment_label(F.col("_p"), F.col("_n"), min_hits, mixed_pct))
-    d = d.withColumn("summary", F.when(F.col("_best").isNotNull(),
-                                       _normalise(F.element_at("_sent", F.col("_best") + 1))))
-    return d.drop("_sent", "_stok", "_best", "_p", "_n")
+    best = F.array_max(F.filter(scored, lambda x: x["score"] > 0)).getField("idx")
+    d = d.select(*keep, "_sent", hits(positive).alias("_p"), hits(negative).alias("_n"), best.alias("_best"))
+    return d.select(*keep,
+                    sentiment_label(F.col("_p"), F.col("_n"), min_hits, mixed_pct).alias("sentiment"),
+                    F.when(F.col("_best").isNotNull(),
+                           _normalise(F.element_at("_sent", F.col("_best") + 1))).alias("summary"))
 
 
 def stg_earnings_transcripts(raw: DataFrame, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS,
