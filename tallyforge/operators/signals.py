@@ -71,13 +71,13 @@ def with_sentiment(df: DataFrame, text_col: str = "parsed_text", positive=POSITI
     """Add a sentiment label column (and optionally the pos/neg hit counts)."""
     if scorer is not None:
         return df.withColumn(out, scorer(F.col(text_col)))
-    d = df.withColumn("_tok", tokens(text_col, pattern))
-    d = d.withColumn("_pos", _count_in(F.col("_tok"), positive)) \
-         .withColumn("_neg", _count_in(F.col("_tok"), negative)).drop("_tok")
-    d = d.withColumn(out, sentiment_label(F.col("_pos"), F.col("_neg"), min_hits, mixed_pct))
-    if keep_counts:
-        return d.withColumnRenamed("_pos", "positive_hits").withColumnRenamed("_neg", "negative_hits")
-    return d.drop("_pos", "_neg")
+    keep = [F.col(c) for c in df.columns]
+    d = df.select(*keep, tokens(text_col, pattern).alias("_tok"))
+    d = d.select(*keep, _count_in(F.col("_tok"), positive).alias("positive_hits"),
+                 _count_in(F.col("_tok"), negative).alias("negative_hits"))
+    label = sentiment_label(F.col("positive_hits"), F.col("negative_hits"), min_hits, mixed_pct).alias(out)
+    counts = ["positive_hits", "negative_hits"] if keep_counts else []
+    return d.select(*keep, *counts, label)
 
 
 def sentences(c: Column | str) -> Column:
