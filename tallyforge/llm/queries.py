@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, tokens
+from . import packing, rules, tokens
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,40 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(pieces)
 
 
+_LINE_RULES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, host, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+win AS (SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS k FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM win) WHERE n > 1),
+cov AS (SELECT r, count(DISTINCT i + j) AS n FROM rep, range(5) AS g(j) GROUP BY r),
+ln AS (SELECT r, host, t, x, row_number() OVER (PARTITION BY r, x) AS nth,
+              trim(regexp_replace(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g')) AS norm,
+              len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS words
+       FROM (SELECT r, host, t, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+dup AS (SELECT r, count(*) AS n FROM ln WHERE nth > 1 GROUP BY r),
+hosts AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
+freq AS (SELECT l.host, l.norm FROM ln l JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host
+         GROUP BY l.host, l.norm, h.docs HAVING count(DISTINCT l.t) > 20 AND count(DISTINCT l.t) * 100 > h.docs),
+gone AS (SELECT l.r, sum(l.words) AS n FROM ln l JOIN freq f ON l.host IS NOT DISTINCT FROM f.host AND l.norm = f.norm GROUP BY l.r),
+s AS (SELECT w.r, w.doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars,
+             len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+             coalesce(dup.n, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS removed_words
+      FROM w LEFT JOIN dup USING (r) LEFT JOIN cov USING (r) LEFT JOIN gone USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+           AND NOT (n_words - removed_words < 10 OR 100 * removed_words > 50 * n_words) AS kept,
+       CAST(removed_words AS BIGINT) AS removed_words
+FROM s
+"""
+
+
+@register(sql=_LINE_RULES_SQL)
+def op4_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every text and the verdict of the line-frequency rule."""
+    return rules.line_rules(table(spark, sf_dir, "documents"))
+
+
 @register
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the word-level vocabulary."""
