@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, rules, tokens
+from . import chat, packing, rules, tokens
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,31 @@ def op4_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.line_rules(table(spark, sf_dir, "documents"))
 
 
+_ROTATION_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS body FROM conversations),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, body) - 1 AS seq FROM t),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+v AS (SELECT o.*, perspective,
+             CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role,
+             CASE WHEN speaker NOT IN ('system', perspective) THEN regexp_replace(speaker, '[\s<>|]+', '_', 'g') END AS name
+      FROM o JOIN p ON o.conv_id IS NOT DISTINCT FROM p.conv_id),
+h AS (SELECT *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) AS head FROM v),
+s AS (SELECT *, head || body || '<|im_end|>' || chr(10) AS segment FROM h),
+r AS (SELECT *, coalesce(sum(len(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY seq
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM s)
+SELECT conv_id, perspective, CAST(seq AS BIGINT) AS seq, turn, role, name, segment, CAST(start AS BIGINT) AS start,
+       CAST(CASE WHEN role = 'assistant' THEN start + len(head) END AS BIGINT) AS train_start,
+       CAST(CASE WHEN role = 'assistant' THEN len(segment) - len(head) - 1 ELSE 0 END AS BIGINT) AS train_chars
+FROM r
+"""
+
+
+@register(sql=_ROTATION_SQL)
+def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered from each participant's perspective, turn by turn."""
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 @register
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the word-level vocabulary."""
