@@ -33,6 +33,18 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES,
         yield batch.slice(begin)
 
 
+def runs(texts: list[str], max_chars: int) -> Iterator[list[str]]:
+    """Cut a list of texts into runs of about ``max_chars`` characters."""
+    begin, held = 0, 0
+    for i, t in enumerate(texts):
+        if i > begin and held + len(t) > max_chars:
+            yield texts[begin:i]
+            begin, held = i, 0
+        held += len(t)
+    if begin < len(texts):
+        yield texts[begin:]
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

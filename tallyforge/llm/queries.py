@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, packing, rules, tokens
+from . import chat, decontamination, packing, quality, rules, tokens, toxicity
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,18 @@ def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+@register
+def op5_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from confirmed examples and unlabelled text."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op9_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document under the trained subword embeddings."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the word-level vocabulary."""
