@@ -47,7 +47,8 @@ win AS (SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS k FROM (SELECT r, ws,
 rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM win) WHERE n > 1),
 cov AS (SELECT r, count(DISTINCT i + j) AS n FROM rep, range(5) AS g(j) GROUP BY r),
 ln AS (SELECT r, host, t, x, row_number() OVER (PARTITION BY r, x) AS nth,
-              trim(regexp_replace(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g')) AS norm,
+              array_to_string(list_filter(regexp_split_to_array(translate(lower(x), '123456789', '000000000'), '[\x20\x09-\x0D]+'),
+                                          lambda y: y <> ''), ' ') AS norm,
               len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS words
        FROM (SELECT r, host, t, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 dup AS (SELECT r, count(*) AS n FROM ln WHERE nth > 1 GROUP BY r),

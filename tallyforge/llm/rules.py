@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPACES = "[\\x20\\x09-\\x0D]+"
+from ..session import materialize
+
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -26,7 +27,7 @@ MAX_REMOVED_PERCENT = 50
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACES), lambda w: w != "")
+    return F.filter(F.split(F.translate(text, SPACE_CHARS, " " * len(SPACE_CHARS)), " "), lambda w: w != "")
 
 
 def _let(value: Column, body) -> Column:
@@ -52,7 +53,7 @@ def _repeat_words(hashes: Column, size: int) -> Column:
 def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Per row: doc_id, host, text_key, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words and the array ``lines`` of (hash, words) of its lines with a
-    word. Null texts count as empty; ids and hosts may be null or repeated."""
+    word, hashed in lower case with single spaces and every digit as 0. Null texts count as empty; ids and hosts may be null or repeated."""
     ascii_space = F.translate(F.col("t"), SPACE_CHARS, "")
     base = (docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
@@ -64,9 +65,8 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.length(ascii_space).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("raw") - F.size(F.array_distinct("raw"))).cast("long").alias("n_dup_lines"),
-        F.transform("raw", lambda x: F.struct(
-            F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(F.lower(x), SPACES, " "), "[0-9]+", "0"))).alias("hash"),
-            F.size(_words(x)).alias("words"))).alias("lines"),
+        F.transform(F.transform("raw", lambda x: _words(F.translate(F.lower(x), "123456789", "0" * 9))), lambda w: F.struct(
+            F.xxhash64(F.array_join(w, " ")).alias("hash"), F.size(w).alias("words"))).alias("lines"),
         F.transform("w", lambda x: F.xxhash64(x)).alias("wh"))
     windows = hashed.withColumn("windows", F.when(F.size("wh") >= WINDOW, F.transform(
         F.slice("wh", 1, F.size("wh") - (WINDOW - 1)),
@@ -105,7 +105,8 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids are judged by their own text; an empty table gives no rows; only the
     three named columns are read.
     """
-    stats = text_stats(docs, id_col, text_col, host_col)
+    # one pass over the texts; the line counts then work on hashes only
+    stats = materialize(text_stats(docs, id_col, text_col, host_col), "text-stats")
     lines, frequent = frequent_lines(stats, min_docs, max_percent)
     removed = (lines.alias("l").join(
         frequent.alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.hash") == F.col("f.hash")), "left_semi")
