@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, packing, quality, rules, tokens, toxicity
+from . import chat, decontamination, packing, pii, quality, rules, tokens, toxicity
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,13 @@ def op5_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op8_lstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base patterns and the trained tagger's spans."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_spans(docs, pii.fit(docs))
+
+
 @register
 def op9_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document under the trained subword embeddings."""
