@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, packing, pii, quality, rules, tokens, toxicity
+from . import chat, decontamination, packing, pii, quality, rules, tokens, toxicity, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,25 @@ FROM s
 """
 
 
+_REVISITS_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+g AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM g
+"""
+
+
+@register(sql=_REVISITS_SQL)
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, indexed, looked up by its URL and read back."""
+    pages, folder = table(spark, sf_dir, "pages"), warc.new_archive_folder(spark)
+    index = warc.write_index(warc.write_archives(pages, folder), folder)
+    return warc.fetch(warc.lookup(pages, index, folder), folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register(sql=_LINE_RULES_SQL)
 def op4_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every text and the verdict of the line-frequency rule."""
