@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,3 +54,20 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 def held_out(doc_id: Column) -> Column:
     """Rows kept out of training: crc32 of the id as text, divisible by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
+
+
+def hash_bitmap(df: DataFrame, column: str, bits: int):
+    """Broadcast bitmap of the top ``bits`` bits of a long column, as uint64 words. At
+    most 2 ** (bits - 6) words reach the driver, however many rows there are."""
+    top = F.shiftrightunsigned(F.col(column), 64 - bits)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{column}`, {64 - bits}) & 63 as int))")
+    words = df.groupBy(F.shiftright(top, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
+    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return df.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each uint64 hash may be in the bitmap."""
+    top = hashes >> np.uint64(64 - (6 + len(bitmap).bit_length() - 1))
+    return (bitmap[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1) == 1

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import hash_bitmap, in_bitmap, slices, texts_of
 
 WINDOW = 8
 MIN_LITERALS = 5        # a window with fewer literal tokens is too general to count
@@ -127,8 +127,7 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, keep=None) -> Da
                 doc, place, hashes, usable, slots = canonical.windows(texts_of(batch, "text"))
                 at = np.flatnonzero(usable)
                 if keep is not None:
-                    top = hashes[at] >> np.uint64(64 - FILTER_BITS)
-                    at = at[(keep.value[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1) == 1]
+                    at = at[in_bitmap(keep.value, hashes[at])]
                 rows = pa.array(doc[at])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(rows), batch.column("text_key").take(rows), pa.array(place[at], pa.int32()),
@@ -140,18 +139,6 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, keep=None) -> Da
                      text.alias("text")).mapInArrow(run, _SCHEMA)
 
 
-def hash_filter(windows: DataFrame):
-    """Broadcast bitmap of the window hashes: 2**24 bits (2 MB). At most 2**18 words
-    of it reach the driver, however many windows there are."""
-    top = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    words = (windows.groupBy(F.shiftright(top, 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(hash, %d) & 63 as int))" % (64 - FILTER_BITS))).alias("bits"))
-             .toPandas())
-    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    return windows.sparkSession.sparkContext.broadcast(bitmap)
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """One row per (document, benchmark item) leak: doc_id, text_key, item_id, matched,
@@ -173,7 +160,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """
     items = template_windows(benchmark, item_col, item_text_col).select(
         F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots")).distinct()
-    found = template_windows(docs, id_col, text_col, hash_filter(items))
+    found = template_windows(docs, id_col, text_col, hash_bitmap(items, "hash", FILTER_BITS))
     pairs = found.join(items, "hash").filter(F.size("slots") == F.size("item_slots"))
     aligned = (pairs.groupBy(F.col("id").alias("doc_id"), "text_key", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
                .agg(F.collect_set("item_place").alias("places"),
