@@ -173,3 +173,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return (matched.join(sizes, matched.item_id.eqNullSafe(sizes.item_id)).drop(sizes.item_id)
             .withColumn("coverage", F.round(F.col("matched") / F.col("item_windows"), 6))
             .filter(F.col("matched") >= min_coverage * F.col("item_windows")))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item. Columns are unchanged;
+    rows with a null id are matched by their text."""
+    found = leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, min_coverage).select(
+        F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct()
+    same = (F.col(f"docs.`{id_col}`").cast("long").eqNullSafe(F.col("leak_id"))
+            & (F.xxhash64(F.col(f"docs.`{text_col}`").cast("string")) == F.col("leak_key")))
+    return docs.alias("docs").join(found, same, "left_anti")

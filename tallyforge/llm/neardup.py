@@ -342,3 +342,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("target", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, the one with the least id, and one
+    of each set of rows that repeat both id and text. Rows with a null id stay.
+    Columns are unchanged."""
+    judged = materialize(near_duplicates(docs, id_col, text_col, percent).select("doc_id", "kept"), "judged")
+    key = F.col(f"docs.`{id_col}`").cast("long")
+    dropped = judged.filter("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
+    kept = docs.alias("docs").join(dropped, key == F.col("dropped_id"), "left_anti")
+    repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(
+        F.col("doc_id").alias("repeated_id"))
+    if repeated.isEmpty():
+        return kept
+    key = F.col(f"kept.`{id_col}`").cast("long")
+    once = kept.alias("kept").join(repeated, key == F.col("repeated_id"), "left_anti")
+    again = kept.alias("kept").join(repeated, key == F.col("repeated_id"), "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(again)
