@@ -97,6 +97,8 @@ def parse(data: bytes) -> dict:
         return out
 
     head = headers()
+    if "content-length" not in head:
+        raise ValueError("damaged WARC record")
     block = stream.read(int(head["content-length"]))
     if f"sha1:{hashlib.sha1(block).hexdigest()}" != head["warc-block-digest"] or stream.read() != b"\r\n\r\n":
         raise ValueError("damaged WARC record")
