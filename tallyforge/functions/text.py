@@ -1,7 +1,8 @@
 """Column expressions for text: word capitalisation, tokens, file-name keys.
 
-All are built-in Spark expressions (higher-order functions, regex), so they
-run inside whole-stage code generation with no Python in the data path.
+All are built-in Spark expressions with no Python in the data path. Higher-order
+functions (``transform``, ``filter``) are evaluated row by row in the JVM,
+outside whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ def initcap_words(c: Column | str, delimiters: str = INITCAP_DELIMITERS) -> Colu
 
     A word starts at the beginning of the string or after any delimiter
     character, so ``mary-jane o'neil`` -> ``Mary-Jane O'neil`` (Spark's own
-    ``initcap`` splits on spaces only).
+    ``initcap`` splits on spaces only). Values of ASCII letters, digits, spaces and
+    apostrophes go through that built-in; only the others are taken apart.
     """
     col = F.col(c) if isinstance(c, str) else c
     chars = F.split(col, "")
@@ -34,7 +36,9 @@ def initcap_words(c: Column | str, delimiters: str = INITCAP_DELIMITERS) -> Colu
     # element_at is 1-based: for the 0-based index i it returns the previous char
     fixed = F.transform(chars, lambda ch, i: F.when(
         (i == 0) | F.array_contains(delims, F.element_at(chars, i)), F.upper(ch)).otherwise(F.lower(ch)))
-    return F.when(col.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(fixed, ""))
+    return (F.when(col.isNull(), F.lit(None).cast("string"))
+             .when(~col.rlike("[^A-Za-z0-9 ']"), F.initcap(col))
+             .otherwise(F.array_join(fixed, "")))
 
 
 def tokens(c: Column | str, pattern: str = TOKEN_PATTERN) -> Column:

@@ -133,8 +133,9 @@ def stg_earnings_transcripts(raw: DataFrame, positive=POSITIVE_WORDS, negative=N
                              outlook_terms=OUTLOOK_WORDS, min_hits: int = MIN_HITS,
                              mixed_pct: int = MIXED_PCT, scorer=None) -> DataFrame:
     """Enriched transcripts: file_name, symbol, fiscal_period, parsed_text,
-    sentiment, summary, loaded_at."""
-    cols = ["file_name", "symbol", "fiscal_period", "parsed_text", "sentiment", "summary", "loaded_at"]
+    sentiment, summary, loaded_at, and path where the landing has it."""
+    cols = ["file_name", "symbol", "fiscal_period", "parsed_text", "sentiment", "summary", "loaded_at",
+            *(["path"] if "path" in raw.columns else [])]
     if scorer is not None:
         d = with_sentiment(raw, "parsed_text", scorer=scorer)
         return d.withColumn("summary", outlook_sentence("parsed_text", outlook_terms)).select(*cols)

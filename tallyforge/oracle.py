@@ -10,13 +10,29 @@ registered by the caller). Fixed parameters: as_of = 2026-01-01, ordering
 
 from __future__ import annotations
 
-from .functions.text import FISCAL_PERIOD_PATTERN, SYMBOL_PATTERN
+from .functions.text import FISCAL_PERIOD_PATTERN, INITCAP_DELIMITERS, SYMBOL_PATTERN
+from .sources import adapter as A
 
 AS_OF = "2026-01-01"
 
 _VER2 = "(SELECT 0 AS ver UNION ALL SELECT 1 AS ver) v"
 
 
+def _planted() -> str:
+    return " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(A.PLANTED_SENTENCES))
+
+
+def html_text(c: str) -> str:
+    """Visible text of an HTML column."""
+    return rf"""regexp_replace(regexp_replace(
+    replace(replace(replace(replace(replace(replace(
+      regexp_replace(regexp_replace(regexp_replace(regexp_replace({c},
+        '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'),
+        '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'),
+    '[ \t\n\r\f]+', ' ', 'g'), '^ +| +$', '', 'g')"""
+
+
 def _sym(expr: str) -> str:
     return f"'SYM' || lpad(CAST({expr} AS VARCHAR), 3, '0')"
 
@@ -24,8 +40,10 @@ def _sym(expr: str) -> str:
 BRONZE = {
     "b_customers": f"""
   SELECT c_custkey AS customer_id,
-         'FIRST' || CAST(c_custkey AS VARCHAR) AS first_name,
-         'last' || CAST(c_custkey AS VARCHAR) AS last_name,
+         CASE c_custkey % 4 WHEN 0 THEN 'FIRST' || c_custkey WHEN 1 THEN 'mary-jane ' || c_custkey
+              WHEN 2 THEN 'o''NEIL ann' || c_custkey ELSE 'JEAN luc.' || c_custkey || 'x' END AS first_name,
+         CASE c_custkey % 3 WHEN 0 THEN 'last' || c_custkey WHEN 1 THEN 'van DER berg-' || c_custkey || 'b'
+              ELSE 'd''ARC (smith) ' || c_custkey END AS last_name,
          'Cust' || CAST(c_custkey AS VARCHAR) || '@Example.com' AS email,
          CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'institutional' WHEN 'BUILDING' THEN 'pension'
               WHEN 'FURNITURE' THEN 'endowment' WHEN 'HOUSEHOLD' THEN 'hnw' WHEN 'MACHINERY' THEN 'wealth' END AS segment,
@@ -39,23 +57,24 @@ BRONZE = {
   FROM customer, {_VER2}
   WHERE ver = 0 OR c_custkey % 10 = 0""",
     "b_instrument_prices": f"""
-  SELECT {_sym('p_partkey')} AS symbol,
+  SELECT {_sym(f'p_partkey % {A.PRICED_SYMBOLS}')} AS symbol,
          CASE split_part(p_type, ' ', 1) WHEN 'ECONOMY' THEN 'equity' WHEN 'MEDIUM' THEN 'equity'
               WHEN 'STANDARD' THEN 'etf' WHEN 'PROMO' THEN 'bond' WHEN 'SMALL' THEN 'fx' WHEN 'LARGE' THEN 'crypto' END AS asset_class,
          CAST(CAST(p_retailprice AS DECIMAL(18,4)) + 9 * ver AS DECIMAL(18,4)) AS price,
          'usd' AS currency,
-         DATE '2024-01-01' + ver AS as_of_date,
-         TIMESTAMP '2024-01-02 00:00:00' AS updated_at,
-         TIMESTAMP '2024-01-02 00:00:00' AS _ingested_at,
+         DATE '2024-01-01' + CAST(p_partkey // {A.PRICED_SYMBOLS} AS INTEGER) AS as_of_date,
+         TIMESTAMP '2024-01-02 00:00:00' + to_days(CAST(ver AS INTEGER)) AS updated_at,
+         TIMESTAMP '2024-01-02 00:00:00' + to_days(CAST(ver AS INTEGER)) AS _ingested_at,
          FALSE AS _deleted
   FROM part, {_VER2}
-  WHERE p_partkey < 200 AND p_partkey % 100 <> 99 AND (ver = 0 OR p_partkey % 3 = 0)""",
+  WHERE ver = 0 OR p_partkey % 3 = 0""",
     "b_transactions": f"""
-  SELECT o_orderkey AS txn_id, 100000 + o_custkey AS account_id, o_custkey AS customer_id,
+  SELECT o_orderkey AS txn_id, 100000 + o_custkey AS account_id,
+         o_custkey + CASE WHEN o_orderkey % 103 = 0 THEN {A.UNKNOWN_ID} ELSE 0 END AS customer_id,
          CAST(o_orderdate AS TIMESTAMP) AS txn_ts,
          CASE o_orderkey % 5 WHEN 0 THEN 'deposit' WHEN 1 THEN 'withdrawal' WHEN 2 THEN 'trade_buy'
               WHEN 3 THEN 'trade_sell' ELSE 'fee' END AS txn_type,
-         CASE WHEN o_orderkey % 5 IN (2, 3) THEN {_sym('(o_orderkey + o_custkey) % 200')} END AS symbol,
+         CASE WHEN o_orderkey % 5 IN (2, 3) THEN {_sym(f'(o_orderkey + o_custkey) % {A.SYMBOLS}')} END AS symbol,
          CASE WHEN o_orderkey % 5 IN (2, 3) THEN CAST(1 + o_orderkey % 100 AS DECIMAL(18,4)) END AS quantity,
          CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
          'usd' AS currency,
@@ -65,8 +84,9 @@ BRONZE = {
          o_orderkey % 97 = 0 AS _deleted
   FROM orders""",
     "b_trades": f"""
-  SELECT l_orderkey * 10 + l_linenumber AS trade_id, o_custkey AS customer_id,
-         {_sym('l_partkey % 200')} AS symbol,
+  SELECT l_orderkey * 10 + l_linenumber AS trade_id,
+         o_custkey + CASE WHEN l_orderkey % 101 = 0 THEN {A.UNKNOWN_ID} ELSE 0 END AS customer_id,
+         {_sym(f'l_partkey % {A.SYMBOLS}')} AS symbol,
          CASE WHEN l_returnflag = 'R' THEN 'sell' ELSE 'buy' END AS side,
          CAST(l_quantity AS DECIMAL(18,4)) AS quantity,
          CAST(l_extendedprice AS DECIMAL(18,4)) AS price,
@@ -91,13 +111,16 @@ BRONZE = {
          FALSE AS _deleted
   FROM customer, {_VER2}
   WHERE (ver = 0 AND c_custkey % 40 <> 39) OR (ver = 1 AND c_custkey % 4 = 0)""",
-    "b_doc_stage": f"""
-  SELECT CASE WHEN doc_id % 50 = 7 THEN 'NOTES_d' || CAST(doc_id AS VARCHAR) || '.PDF'
-              ELSE 'EARNINGS_' || {_sym('doc_id % 200')} || '_' || CAST(2024 + doc_id % 3 AS VARCHAR)
-                   || 'Q' || CAST(1 + doc_id % 4 AS VARCHAR) || '_d' || CAST(doc_id AS VARCHAR)
-                   || CASE WHEN doc_id % 10 = 9 THEN '.txt' ELSE '.PDF' END END AS file_name,
-         text AS content
-  FROM documents""",
+    "b_doc_named": f"""
+  SELECT doc_id, text || CASE doc_id % 5 {_planted()} END AS text,
+         CASE WHEN doc_id % 50 = 7 THEN 'NOTES_d' || doc_id || '.PDF'
+              ELSE 'EARNINGS_' || {_sym(f'own % {A.SYMBOLS}')} || '_' || (2024 + own % 3) || 'Q' || (1 + own % 4) || '_d' || own
+                   || CASE own % 10 WHEN 3 THEN '.html' WHEN 6 THEN '.txt' ELSE '.PDF' END END AS file_name
+  FROM (SELECT doc_id, text, doc_id - CASE WHEN doc_id % 100 = 9 THEN 1 ELSE 0 END AS own FROM documents)""",
+    "b_doc_stage": """
+  SELECT 'stage/' || doc_id || '/' || file_name AS path, file_name,
+         CASE WHEN file_name LIKE '%.html' THEN '<html><body><p>' || text || '</p></body></html>' ELSE text END AS content
+  FROM b_doc_named""",
 }
 
 
@@ -106,14 +129,16 @@ def _latest(src: str, key: str, order: str) -> str:
             f"FROM {src} WHERE coalesce(_deleted, FALSE) = FALSE) WHERE rn = 1")
 
 
-def _initcap1(c: str) -> str:
-    # single-word values: first letter up, rest down
-    return f"upper(left({c}, 1)) || lower(substr({c}, 2))"
+def _initcap(c: str) -> str:
+    # a letter is upper-case after a delimiter or at the start, lower-case elsewhere
+    marks = " || ".join(f"chr({ord(ch)})" for ch in INITCAP_DELIMITERS)
+    return (f"array_to_string(list_transform(range(1, length({c}) + 1), lambda i: CASE WHEN i = 1 OR "
+            f"contains({marks}, substr({c}, i - 1, 1)) THEN upper(substr({c}, i, 1)) ELSE lower(substr({c}, i, 1)) END), '')")
 
 
 STAGING = {
     "stg_customers": f"""
-  SELECT customer_id, {_initcap1('first_name')} AS first_name, {_initcap1('last_name')} AS last_name,
+  SELECT customer_id, {_initcap('first_name')} AS first_name, {_initcap('last_name')} AS last_name,
          lower(email) AS email, upper(segment) AS segment, upper(kyc_status) AS kyc_status,
          upper(risk_rating) AS risk_rating, upper(country) AS country, onboarded_date,
          CAST(datediff('day', onboarded_date, DATE '{AS_OF}') AS INTEGER) AS tenure_days
@@ -136,9 +161,9 @@ STAGING = {
   SELECT file_name,
          nullif(regexp_extract(file_name, '{SYMBOL_PATTERN}'), '') AS symbol,
          nullif(regexp_extract(file_name, '{FISCAL_PERIOD_PATTERN}'), '') AS fiscal_period,
-         content AS parsed_text,
-         TIMESTAMP '2026-01-01 00:00:00' AS loaded_at
-  FROM b_doc_stage WHERE file_name ILIKE '%.pdf'""",
+         CASE WHEN file_name LIKE '%.html' THEN {html_text('content')} ELSE content END AS parsed_text,
+         TIMESTAMP '2026-01-01 00:00:00' AS loaded_at, path
+  FROM b_doc_stage""",
 }
 
 MARTS = {
@@ -202,7 +227,7 @@ TOKEN_RE = r"[\p{L}\p{N}]+"
 SENTENCE_RE = r"[^.!?]+[.!?]*"
 
 
-def text_ctes(src: str = "transcripts_raw", text_col: str = "parsed_text", key: str = "file_name",
+def text_ctes(src: str = "transcripts_raw", text_col: str = "parsed_text", key: str = "path",
               positive=None, negative=None, outlook=None, min_hits: int = 4, mixed_pct: int = 80,
               prefix: str = "t") -> dict:
     """CTEs ``{prefix}_sentiment(key, positive_hits, negative_hits, sentiment)`` and
@@ -244,14 +269,15 @@ def text_ctes(src: str = "transcripts_raw", text_col: str = "parsed_text", key:
 TRANSCRIPTS = {
     **text_ctes(),
     "stg_earnings_transcripts": """
-  SELECT r.file_name, r.symbol, r.fiscal_period, r.parsed_text, s.sentiment, m.summary, r.loaded_at
+  SELECT r.file_name, r.symbol, r.fiscal_period, r.parsed_text, s.sentiment, m.summary, r.loaded_at, r.path
   FROM transcripts_raw r
-  JOIN t_sentiment s ON s.file_name = r.file_name
-  LEFT JOIN t_summary m ON m.file_name = r.file_name""",
+  JOIN t_sentiment s ON s.path = r.path
+  LEFT JOIN t_summary m ON m.path = r.path""",
     "latest_earnings": """
   SELECT symbol, sentiment, summary FROM (
     SELECT symbol, sentiment, summary,
-           row_number() OVER (PARTITION BY symbol ORDER BY fiscal_period DESC NULLS LAST, file_name DESC) AS rn
+           row_number() OVER (PARTITION BY symbol ORDER BY fiscal_period DESC NULLS LAST, file_name DESC,
+                                                           md5(parsed_text) DESC) AS rn
     FROM stg_earnings_transcripts) WHERE rn = 1""",
 }
 

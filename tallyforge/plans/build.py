@@ -78,7 +78,7 @@ def model_builders(bronze: Mapping[str, DataFrame], as_of=None, built_at=True,
         "stg_trades": lambda m: staging.stg_trades(bronze["trades"]),
         "stg_risk_metrics": lambda m: staging.stg_risk_metrics(bronze["risk_metrics"]),
         "stg_earnings_transcripts": lambda m: signals.stg_earnings_transcripts(
-            documents.transcripts_raw(bronze["doc_stage"]), **text_options),
+            documents.transcripts_raw(bronze["doc_stage"], pattern="%"), **text_options),
         "investor_360": lambda m: marts.investor_360(
             m["stg_customers"], m["stg_transactions"], m["stg_instrument_prices"], built_at=built_at),
         "portfolio_risk": lambda m: marts.portfolio_risk(

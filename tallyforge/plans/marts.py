@@ -146,22 +146,26 @@ def trade_positions(trades: DataFrame) -> DataFrame:
 
 def latest_earnings(transcripts: DataFrame, enrich=None) -> DataFrame:
     """Newest transcript per symbol by fiscal period (string order), ties broken
-    by file name, with its sentiment and summary.
+    by file name, then by a digest of the text: exactly one row per symbol, also
+    when a file name repeats.
 
     ``transcripts`` are enriched transcripts, or — with ``enrich`` (raw ->
     enriched) — the raw landing rows: then the newest file per symbol is chosen
-    first (file names are unique, so the choice does not depend on the text
-    signals) and only those files go through the text job, one per symbol
-    instead of the whole corpus.
+    first and only those files go through the text job, one per symbol instead of
+    the whole corpus.
     """
+    rows = transcripts.withColumn("_digest", F.md5("parsed_text"))
+    order = {"order": ["fiscal_period"], "tiebreak": ["file_name", "_digest"]}
     if enrich is None:
-        e = transcripts.select("symbol", "fiscal_period", "file_name", "sentiment", "summary")
-        return latest_by_key(e, "symbol", order=["fiscal_period"], tiebreak=["file_name"]) \
-            .select("symbol", "sentiment", "summary")
-    keys = transcripts.select("symbol", "fiscal_period", "file_name")
-    newest = latest_by_key(keys, "symbol", order=["fiscal_period"], tiebreak=["file_name"]).select("file_name")
-    chosen = transcripts.join(newest, "file_name", "left_semi")       # <= one file per symbol
-    return enrich(chosen).select("symbol", "sentiment", "summary")
+        e = rows.select("symbol", "fiscal_period", "file_name", "_digest", "sentiment", "summary")
+        return latest_by_key(e, "symbol", **order).select("symbol", "sentiment", "summary")
+    newest = latest_by_key(rows.select("symbol", "fiscal_period", "file_name", "_digest"), "symbol", **order).select(
+        F.col("symbol").alias("s"), F.col("file_name").alias("f"), F.col("_digest").alias("d"))
+    chosen = rows.join(newest, F.col("symbol").eqNullSafe(F.col("s")) & F.col("file_name").eqNullSafe(F.col("f"))
+                       & F.col("_digest").eqNullSafe(F.col("d")), "left_semi").drop("_digest")
+    # a file delivered twice with the same text is chosen twice: one row of the equal ones
+    signals = enrich(chosen).select("symbol", "sentiment", "summary")
+    return signals.groupBy("symbol").agg(F.max(F.struct("sentiment", "summary")).alias("e")).select("symbol", "e.sentiment", "e.summary")
 
 
 def portfolio_risk(customers: DataFrame, trades: DataFrame, prices: DataFrame,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import cdc, governance, quality, reports, search, signals
 from .plans import build, marts, semantic, staging
-from .session import materialize, spread
+from .session import materialize
 from .sources import adapter, documents
 
 AS_OF = O.AS_OF
@@ -85,7 +85,8 @@ class Silver:
 
     @_once
     def transcripts_raw(self):
-        return documents.transcripts_raw(adapter.document_stage(self.spark, self.sf_dir))
+        """All staged documents; the landing's extension filter is a query of its own."""
+        return documents.transcripts_raw(adapter.document_stage(self.spark, self.sf_dir), pattern="%")
 
     @_once
     def transcripts(self, stored: bool = False):
@@ -189,28 +190,32 @@ def q_trade_positions(spark, sf_dir):
 
 # ------------------------------------------------------------ transcripts
 
-@register("transcripts_keys", _q("SELECT file_name, symbol, fiscal_period, loaded_at FROM transcripts_raw"))
+@register("transcripts_keys", _q("""SELECT file_name, symbol, fiscal_period, loaded_at
+FROM transcripts_raw WHERE file_name ILIKE '%.pdf'"""))
 def q_transcripts_keys(spark, sf_dir):
-    return Silver(spark, sf_dir).transcripts_raw().select("file_name", "symbol", "fiscal_period", "loaded_at")
+    """The landing: files matched by extension, any case."""
+    return documents.transcripts_raw(adapter.document_stage(spark, sf_dir)).select("file_name", "symbol", "fiscal_period", "loaded_at")
 
 
-@register("sentiment_labels", _q("SELECT * FROM t_sentiment"))
+@register("sentiment_labels", _q("""SELECT r.file_name, s.* EXCLUDE (path)
+FROM t_sentiment s JOIN transcripts_raw r ON r.path = s.path"""))
 def q_sentiment_labels(spark, sf_dir):
     raw = Silver(spark, sf_dir).transcripts_raw()
     return signals.with_sentiment(raw, keep_counts=True).select(
         "file_name", "positive_hits", "negative_hits", "sentiment")
 
 
-@register("outlook_sentence", _q("SELECT * FROM t_summary"))
+@register("outlook_sentence", _q("""SELECT r.file_name, m.summary
+FROM t_summary m JOIN transcripts_raw r ON r.path = m.path"""))
 def q_outlook_sentence(spark, sf_dir):
     raw = Silver(spark, sf_dir).transcripts_raw()
     return raw.select("file_name", signals.outlook_sentence("parsed_text").alias("summary")) \
               .filter("summary IS NOT NULL")
 
 
-@register("stg_earnings_transcripts", _q("SELECT * FROM stg_earnings_transcripts"))
+@register("stg_earnings_transcripts", _q("SELECT * EXCLUDE (path) FROM stg_earnings_transcripts"))
 def q_stg_earnings_transcripts(spark, sf_dir):
-    return Silver(spark, sf_dir).transcripts()
+    return Silver(spark, sf_dir).transcripts().drop("path")
 
 
 @register("latest_earnings", _q("SELECT * FROM latest_earnings"))
@@ -395,7 +400,7 @@ UNION ALL SELECT 'INSTRUMENT_PRICES', count(*) FROM b_instrument_prices
 UNION ALL SELECT 'TRANSACTIONS', count(*) FROM b_transactions
 UNION ALL SELECT 'TRADES', count(*) FROM b_trades
 UNION ALL SELECT 'RISK_METRICS', count(*) FROM b_risk_metrics
-UNION ALL SELECT 'EARNINGS_TRANSCRIPTS', count(*) FROM transcripts_raw"""))
+UNION ALL SELECT 'EARNINGS_TRANSCRIPTS', count(*) FROM transcripts_raw WHERE file_name ILIKE '%.pdf'"""))
 def q_row_counts(spark, sf_dir):
     b = adapter.bronze(spark, sf_dir)
     return reports.row_counts({
@@ -432,20 +437,9 @@ def q_transcript_preview(spark, sf_dir):
     return rows.orderBy("symbol")
 
 
-_HTML_SQL = r"""SELECT page_id, url,
-  regexp_replace(regexp_replace(
-    replace(replace(replace(replace(replace(replace(
-      regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-        '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'),
-        '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
-      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'),
-    '[ \t\n\r\f]+', ' ', 'g'), '^ +| +$', '', 'g') AS text
-FROM pages"""
-
-
-@register("html_text", _q(_HTML_SQL))
+@register("html_text", _q(f"SELECT page_id, url, {O.html_text('html')} AS text FROM pages"))
 def q_html_text(spark, sf_dir):
-    pages = spread(adapter.read_table(spark, sf_dir, "pages"))
+    pages = adapter.read_table(spark, sf_dir, "pages")
     return pages.select("page_id", "url", documents.html_to_text("html").alias("text"))
 
 
@@ -459,7 +453,8 @@ COMMON_NEGATIVE = ("and", "is", "was", "la")
 COMMON_OUTLOOK = ("the", "of", "le", "der")
 
 
-@register("sentiment_labels_common_words", _q("SELECT * FROM cw_sentiment", O.text_ctes(
+@register("sentiment_labels_common_words", _q("""SELECT r.file_name, s.* EXCLUDE (path)
+FROM cw_sentiment s JOIN transcripts_raw r ON r.path = s.path""", O.text_ctes(
     positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, outlook=COMMON_OUTLOOK, prefix="cw")))
 def q_sentiment_labels_common_words(spark, sf_dir):
     raw = Silver(spark, sf_dir).transcripts_raw()
@@ -467,7 +462,8 @@ def q_sentiment_labels_common_words(spark, sf_dir):
                   .select("file_name", "positive_hits", "negative_hits", "sentiment")
 
 
-@register("outlook_sentence_common_words", _q("SELECT * FROM cw_summary", O.text_ctes(
+@register("outlook_sentence_common_words", _q("""SELECT r.file_name, m.summary
+FROM cw_summary m JOIN transcripts_raw r ON r.path = m.path""", O.text_ctes(
     positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, outlook=COMMON_OUTLOOK, prefix="cw")))
 def q_outlook_sentence_common_words(spark, sf_dir):
     raw = Silver(spark, sf_dir).transcripts_raw()
@@ -497,7 +493,7 @@ def q_cdc_batch_apply(spark, sf_dir):
 def _bm25_sql(k: int, keep: str = "TRUE", k1: float = 1.2, b: float = 0.75) -> str:
     tok = O.TOKEN_RE
     return f"""
-, bm_docs AS (SELECT file_name AS doc_id, regexp_extract_all(lower(parsed_text), '{tok}') AS tok,
+, bm_docs AS (SELECT path AS doc_id, regexp_extract_all(lower(parsed_text), '{tok}') AS tok,
                      coalesce({keep}, FALSE) AS keep FROM stg_earnings_transcripts)
 , bm_stats AS (SELECT count(*) AS n_docs, avg(len(tok)) AS avgdl FROM bm_docs)
 , bm_q AS (SELECT DISTINCT query_id, term FROM (
@@ -512,9 +508,9 @@ def _bm25_sql(k: int, keep: str = "TRUE", k1: float = 1.2, b: float = 0.75) -> s
                      / (CAST(h.tf AS DOUBLE) + {k1} * ({1 - b} + {b} * h.dl / s.avgdl))), 6) AS score
     FROM bm_hits h JOIN bm_df d ON d.term = h.term JOIN bm_q q ON q.term = h.term, bm_stats s
     WHERE h.keep GROUP BY q.query_id, h.doc_id)
-SELECT t.query_id, t.rank, t.doc_id AS file_name, t.score, e.symbol, e.sentiment
+SELECT t.query_id, t.rank, e.file_name, t.score, e.symbol, e.sentiment
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS rank FROM bm_scored) t
-LEFT JOIN stg_earnings_transcripts e ON e.file_name = t.doc_id
+LEFT JOIN stg_earnings_transcripts e ON e.path = t.doc_id
 WHERE t.rank <= {k}"""
 
 
@@ -523,11 +519,11 @@ def _bm25(spark, sf_dir, filters=None):
     sentiment (the label is per document, so ranking does not depend on it)."""
     raw = Silver(spark, sf_dir).transcripts_raw()
     queries = adapter.read_table(spark, sf_dir, "benchmark")
-    top = search.bm25_topk(raw, queries, k=3, id_col="file_name", text_col="parsed_text",
-                           qid_col="item_id", qtext_col="text", filters=filters, columns=("symbol",))
-    ranked = raw.join(top.select("file_name").distinct(), "file_name", "left_semi")   # <= queries x k files
-    labels = signals.stg_earnings_transcripts(ranked).select("file_name", "sentiment")
-    out = top.join(labels, "file_name", "left")
+    top = search.bm25_topk(raw, queries, k=3, id_col="path", text_col="parsed_text",
+                           qid_col="item_id", qtext_col="text", filters=filters, columns=("file_name", "symbol"))
+    ranked = raw.join(top.select("path").distinct(), "path", "left_semi")   # <= queries x k files
+    labels = signals.stg_earnings_transcripts(ranked).select("path", "sentiment")
+    out = top.join(labels, "path", "left")
     return out.select("query_id", F.col("rank").cast("long").alias("rank"), "file_name", "score",
                       "symbol", "sentiment")
 
@@ -563,14 +559,14 @@ WHERE rank <= 5"""
 @register("cosine_topk", _COSINE_SQL)
 def q_cosine_topk(spark, sf_dir):
     """The 5 vectors closest to each label's centroid (queries derived by Spark)."""
-    emb = spread(adapter.read_table(spark, sf_dir, "embeddings"))
+    emb = adapter.read_table(spark, sf_dir, "embeddings")
     queries = search.centroids(emb, "label", "embedding").withColumnRenamed("label", "query_id")
     out = search.cosine_topk(emb, queries, k=5, id_col="vec_id", vec_col="embedding")
     return out.withColumn("rank", F.col("rank").cast("long"))
 
 
-@register("transcript_signals_common_words", _q("""SELECT s.file_name, s.sentiment, m.summary
-FROM cw_sentiment s LEFT JOIN cw_summary m ON m.file_name = s.file_name""", O.text_ctes(
+@register("transcript_signals_common_words", _q("""SELECT r.file_name, s.sentiment, m.summary
+FROM cw_sentiment s JOIN transcripts_raw r ON r.path = s.path LEFT JOIN cw_summary m ON m.path = s.path""", O.text_ctes(
     positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, outlook=COMMON_OUTLOOK, prefix="cw")))
 def q_transcript_signals_common_words(spark, sf_dir):
     """Sentiment and outlook from one tokenisation (the enrichment path)."""
@@ -605,9 +601,10 @@ def q_cdc_stream_apply(spark, sf_dir):
 
 @register("latest_earnings_common_words", _q("""SELECT symbol, sentiment, summary FROM (
   SELECT r.symbol, s.sentiment, m.summary,
-         row_number() OVER (PARTITION BY r.symbol ORDER BY r.fiscal_period DESC NULLS LAST, r.file_name DESC) AS rn
-  FROM transcripts_raw r JOIN cw_sentiment s ON s.file_name = r.file_name
-  LEFT JOIN cw_summary m ON m.file_name = r.file_name) WHERE rn = 1""", O.text_ctes(
+         row_number() OVER (PARTITION BY r.symbol ORDER BY r.fiscal_period DESC NULLS LAST, r.file_name DESC,
+                                                           md5(r.parsed_text) DESC) AS rn
+  FROM transcripts_raw r JOIN cw_sentiment s ON s.path = r.path
+  LEFT JOIN cw_summary m ON m.path = r.path) WHERE rn = 1""", O.text_ctes(
     positive=COMMON_POSITIVE, negative=COMMON_NEGATIVE, outlook=COMMON_OUTLOOK, prefix="cw")))
 def q_latest_earnings_common_words(spark, sf_dir):
     """Newest transcript per symbol, enriched after the choice (one file per symbol)."""

@@ -92,12 +92,3 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     path = f"{scratch_root(spark)}/materialized/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over all cores when a scan yields fewer partitions
-    than the cluster has cores (e.g. a file with a single row group before a
-    CPU-heavy text job). Large inputs already have many splits and pass
-    through untouched, so no shuffle is added at scale."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
 from . import schemas as S
 
 # Mapping of driver categories to investor-model categories.
@@ -40,6 +39,20 @@ BOOK_BY_MOD4 = ["equity", "fixed_income", "fx", "derivatives"]
 
 LOADED_AT = "2026-01-01 00:00:00"
 
+# Fixed values of the derivation: symbols SYM000 .. SYM999, of which the last two
+# never get a price; customer ids from UNKNOWN_ID on belong to nobody.
+SYMBOLS = 1000
+PRICED_SYMBOLS = 998
+UNKNOWN_ID = 10_000_000
+# Sentences added to the texts by doc_id % 5: positive, negative, mixed, outlook, none.
+PLANTED_SENTENCES = (
+    " We had a record quarter with strong growth and robust momentum. We expect further gains next year.",
+    " Demand was weak and margins declined under pressure. Losses and headwinds will persist.",
+    " Strong growth met weak demand and losses.",
+    " Our guidance and outlook for the coming year follow in due course.",
+    "",
+)
+
 
 def _ts(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
@@ -60,6 +73,11 @@ def _symbol(n: Column) -> Column:
     return F.concat(F.lit("SYM"), F.lpad(n.cast("string"), 3, "0"))
 
 
+def _owner(unknown: Column) -> Column:
+    """The order's customer, or nobody's id where ``unknown`` holds (a broken reference)."""
+    return F.when(unknown, F.col("o_custkey") + UNKNOWN_ID).otherwise(F.col("o_custkey"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table with its declared schema (no schema-inference job)."""
     return spark.read.schema(S.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
@@ -74,14 +92,20 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     # version 0 for every customer, version 1 (a later update) for every tenth
     c = c.withColumn("ver", F.explode(F.when(key % 10 == 0, F.array(F.lit(0), F.lit(1)))
                                       .otherwise(F.array(F.lit(0)))))
-    ver = F.col("ver")
+    ver, text = F.col("ver"), key.cast("string")
     risk = (key + ver) % 4
     nat6 = F.col("c_nationkey") % 6
     updated = F.when(ver == 1, _ts("2024-02-01 00:00:00")).otherwise(_ts("2024-01-01 00:00:00"))
     return c.select(
         key.alias("customer_id"),
-        F.concat(F.lit("FIRST"), key.cast("string")).alias("first_name"),
-        F.concat(F.lit("last"), key.cast("string")).alias("last_name"),
+        # several words, hyphens, apostrophes and brackets: work for the word rule
+        F.when(key % 4 == 0, F.concat(F.lit("FIRST"), text))
+         .when(key % 4 == 1, F.concat(F.lit("mary-jane "), text))
+         .when(key % 4 == 2, F.concat(F.lit("o'NEIL ann"), text))
+         .otherwise(F.concat(F.lit("JEAN luc."), text, F.lit("x"))).alias("first_name"),
+        F.when(key % 3 == 0, F.concat(F.lit("last"), text))
+         .when(key % 3 == 1, F.concat(F.lit("van DER berg-"), text, F.lit("b")))
+         .otherwise(F.concat(F.lit("d'ARC (smith) "), text)).alias("last_name"),
         F.concat(F.lit("Cust"), key.cast("string"), F.lit("@Example.com")).alias("email"),
         _lookup(SEGMENT_BY_MKTSEGMENT, F.col("c_mktsegment")).alias("segment"),
         F.when(key % 5 <= 2, "verified").when(key % 5 == 3, "pending").otherwise("review").alias("kyc_status"),
@@ -97,26 +121,28 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instrument_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = (_read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
-         .filter((F.col("p_partkey") < 200) & (F.col("p_partkey") % 100 != 99)))
+    """Every part is a price version of the symbol ``p_partkey % 998`` for the day
+    ``p_partkey div 998``; every third has a later correction of the same day."""
+    p = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
     key = F.col("p_partkey")
     p = p.withColumn("ver", F.explode(F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1)))
                                       .otherwise(F.array(F.lit(0)))))
     ver = F.col("ver")
+    updated = F.when(ver == 1, _ts("2024-01-03 00:00:00")).otherwise(_ts("2024-01-02 00:00:00"))
     return p.select(
-        _symbol(key).alias("symbol"),
+        _symbol(key % PRICED_SYMBOLS).alias("symbol"),
         _lookup(ASSET_CLASS_BY_PTYPE, F.split(F.col("p_type"), " ").getItem(0)).alias("asset_class"),
         (F.col("p_retailprice").cast(S.PRICE) + 9 * ver).cast(S.PRICE).alias("price"),
         F.lit("usd").alias("currency"),
-        F.date_add(_date("2024-01-01"), ver).alias("as_of_date"),
-        _ts("2024-01-02 00:00:00").alias("updated_at"),
-        _ts("2024-01-02 00:00:00").alias("_ingested_at"),
+        F.date_add(_date("2024-01-01"), F.floor(key / PRICED_SYMBOLS).cast("int")).alias("as_of_date"),
+        updated.alias("updated_at"),
+        updated.alias("_ingested_at"),
         F.lit(False).alias("_deleted"),
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(_read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     key = F.col("o_orderkey")
     kind = key % 5
     is_trade = kind.isin(2, 3)
@@ -124,10 +150,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         key.alias("txn_id"),
         (F.lit(100000) + F.col("o_custkey")).alias("account_id"),
-        F.col("o_custkey").alias("customer_id"),
+        _owner(key % 103 == 0).alias("customer_id"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("txn_ts"),
         F.element_at(F.array(*[F.lit(t) for t in TXN_TYPE_BY_MOD5]), (kind + 1).cast("int")).alias("txn_type"),
-        F.when(is_trade, _symbol((key + F.col("o_custkey")) % 200)).alias("symbol"),
+        F.when(is_trade, _symbol((key + F.col("o_custkey")) % SYMBOLS)).alias("symbol"),
         F.when(is_trade, (F.lit(1) + key % 100).cast(S.QTY)).alias("quantity"),
         amount.alias("amount"),
         F.lit("usd").alias("currency"),
@@ -139,16 +165,16 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(_read(spark, sf_dir, "lineitem").select(
+    li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate"))
+        "l_extendedprice", "l_returnflag", "l_shipdate")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     t = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     ln = F.col("l_linenumber") % 5
     return t.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trade_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _symbol(F.col("l_partkey") % 200).alias("symbol"),
+        _owner(F.col("l_orderkey") % 101 == 0).alias("customer_id"),
+        _symbol(F.col("l_partkey") % SYMBOLS).alias("symbol"),
         F.when(F.col("l_returnflag") == "R", "sell").otherwise("buy").alias("side"),
         F.col("l_quantity").cast(S.QTY).alias("quantity"),
         F.col("l_extendedprice").cast(S.PRICE).alias("price"),
@@ -188,21 +214,28 @@ def risk_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The document stage: one file per driver document, ``(file_name, content)``.
+    """The document stage: one file per driver document, ``(path, file_name, content)``.
 
     Names follow the transcript convention ``EARNINGS_SYMnnn_yyyyQn_d<id>.<ext>``
-    (upper-case ``.PDF`` mostly, some ``.txt`` that the landing filter drops);
-    every 50th document gets a name without keys.
+    (upper-case ``.PDF`` mostly, some ``.txt`` and ``.html``); every 50th document
+    gets a name without keys, every 100th the name of the document before it, in
+    another folder. HTML files hold the text as a page.
     """
-    d = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = _read(spark, sf_dir, "documents").select("doc_id", "text")
     did = F.col("doc_id")
-    ext = F.when(did % 10 == 9, F.lit(".txt")).otherwise(F.lit(".PDF"))
+    own = F.when(did % 100 == 9, did - 1).otherwise(did)      # the id in the name
+    ext = F.when(own % 10 == 3, F.lit(".html")).when(own % 10 == 6, F.lit(".txt")).otherwise(F.lit(".PDF"))
     earnings = F.concat(
-        F.lit("EARNINGS_"), _symbol(did % 200), F.lit("_"), (F.lit(2024) + did % 3).cast("string"),
-        F.lit("Q"), (F.lit(1) + did % 4).cast("string"), F.lit("_d"), did.cast("string"), ext)
+        F.lit("EARNINGS_"), _symbol(own % SYMBOLS), F.lit("_"), (F.lit(2024) + own % 3).cast("string"),
+        F.lit("Q"), (F.lit(1) + own % 4).cast("string"), F.lit("_d"), own.cast("string"), ext)
     notes = F.concat(F.lit("NOTES_d"), did.cast("string"), F.lit(".PDF"))
-    return d.select(F.when(did % 50 == 7, notes).otherwise(earnings).alias("file_name"),
-                    F.col("text").alias("content"))
+    planted = F.element_at(F.array(*[F.lit(x) for x in PLANTED_SENTENCES]), (did % 5 + 1).cast("int"))
+    text = F.concat("text", planted)
+    named = d.select(did, F.when(did % 50 == 7, notes).otherwise(earnings).alias("file_name"), text.alias("text"))
+    return named.select(
+        F.concat(F.lit("stage/"), did.cast("string"), F.lit("/"), "file_name").alias("path"), "file_name",
+        F.when(F.col("file_name").endswith(".html"), F.concat(F.lit("<html><body><p>"), "text", F.lit("</p></body></html>")))
+         .otherwise(F.col("text")).alias("content"))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

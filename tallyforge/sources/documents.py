@@ -17,18 +17,35 @@ from ..functions.text import FISCAL_PERIOD_PATTERN, SYMBOL_PATTERN, regex_key
 LOADED_AT = "2026-01-01 00:00:00"
 
 
+def _glob(pattern: str) -> str:
+    """A LIKE pattern as a case-insensitive file glob."""
+    out = []
+    for ch in pattern:
+        if ch.isalpha():
+            out.append(f"[{ch.lower()}{ch.upper()}]")
+        else:
+            out.append({"%": "*", "_": "?"}.get(ch, "\\" + ch if ch in "*?[]{}\\" else ch))
+    return "".join(out)
+
+
 def read_documents(spark: SparkSession, path: str, pattern: str = "%.pdf",
                    recursive: bool = True) -> DataFrame:
     """One row per file under ``path`` whose name matches ``pattern``
-    case-insensitively: ``(file_name, path, content)`` with content decoded as
-    UTF-8 text."""
+    case-insensitively: ``(file_name, path, content, error)``.
+
+    Other files are left out at listing time, so their bytes are never read. The
+    content is decoded as UTF-8; a file that is no UTF-8 text (a binary PDF, say)
+    has NULL content and says so in ``error`` instead of ending the job.
+    """
     df = (spark.read.format("binaryFile")
           .option("recursiveFileLookup", str(recursive).lower())
+          .option("pathGlobFilter", _glob(pattern))
           .load(path))
     name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    return (df.filter(name.ilike(pattern))
-              .select(name.alias("file_name"), "path",
-                      F.decode(F.col("content"), "UTF-8").alias("content")))
+    text = F.col("content").cast("string")
+    valid = F.is_valid_utf8(text)
+    return df.select(name.alias("file_name"), "path", F.when(valid, text).alias("content"),
+                     F.when(~valid, F.lit("not UTF-8 text")).alias("error"))
 
 
 def html_to_text(c: Column | str) -> Column:
@@ -62,12 +79,14 @@ def document_keys(df: DataFrame, name_col: str = "file_name") -> DataFrame:
 
 def transcripts_raw(stage: DataFrame, pattern: str = "%.pdf", loaded_at: str = LOADED_AT) -> DataFrame:
     """Landing relation of the transcripts: files matching ``pattern``
-    (case-insensitive), keys from the name, text, load time."""
+    (case-insensitive), keys from the name, text by file type, load time, and the
+    file's path where the stage has one (a file name may repeat in other folders)."""
     kept = stage.filter(F.col("file_name").ilike(pattern))
     return document_keys(kept).select(
         "file_name", "symbol", "fiscal_period",
-        F.col("content").alias("parsed_text"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
+        extract_text("file_name", "content").alias("parsed_text"),
+        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
+        *(["path"] if "path" in stage.columns else []))
 
 
 def land_documents(stage: DataFrame, path: str, pattern: str = "%.pdf",

@@ -86,3 +86,18 @@ def test_exposure_rollup_invariant(spark):
     b = ir.agg(F.sum("portfolio_gross_exposure")).first()[0]
     assert a == b
     assert pr.filter(F.abs("market_value") != F.col("gross_exposure")).count() == 0
+
+
+def test_repeated_file_names_give_one_row_per_symbol(spark):
+    """Two files of one name in different folders, and one delivered twice: one newest row."""
+    from tallyforge.operators import signals
+    raw = spark.createDataFrame(
+        [("E_SYM001_2025Q1.pdf", "SYM001", "2025Q1", "Old text."),
+         ("E_SYM001_2025Q2.pdf", "SYM001", "2025Q2", "We expect growth."), ("E_SYM001_2025Q2.pdf", "SYM001", "2025Q2", "We expect losses."),
+         ("E_SYM002_2025Q2.pdf", "SYM002", "2025Q2", "Same."), ("E_SYM002_2025Q2.pdf", "SYM002", "2025Q2", "Same."),
+         ("x.pdf", None, None, "No key.")],
+        "file_name string, symbol string, fiscal_period string, parsed_text string").selectExpr("*", "timestamp_ntz'2026-01-01' AS loaded_at")
+    late = marts.latest_earnings(raw, enrich=signals.stg_earnings_transcripts).collect()
+    early = marts.latest_earnings(signals.stg_earnings_transcripts(raw)).collect()
+    assert sorted(map(repr, late)) == sorted(map(repr, early))
+    assert sorted(str(r.symbol) for r in late) == ["None", "SYM001", "SYM002"]

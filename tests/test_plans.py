@@ -79,7 +79,7 @@ def test_investor_360_joins_reuse_customer_partitioning(spark):
         s = Silver(spark, "/root/testdata/sf0.001")
         plan = _plan(s.investor_360())
         # customers, flows and holdings are each aggregated by customer_id once and
-        # joined without re-shuffling (positions, prices and the scan spread aside)
+        # joined without re-shuffling (positions and prices aside)
         assert len(re.findall(r"hashpartitioning\(customer_id#\d+L, \d+\)", plan)) == 3
         assert plan.count("SortMergeJoin") == 3
     finally:
@@ -91,3 +91,12 @@ def test_text_signals_are_map_only(spark):
     s = Silver(spark, "/root/testdata/sf0.001")
     plan = _plan(s.transcripts().select("file_name", "sentiment", "summary"))
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_no_registered_plan_deals_rows_round_robin(spark):
+    """Splits decide the parallelism of scans: no query shuffles rows only to spread them."""
+    from tallyforge import registry
+    for name in ("stg_trades", "stg_transactions", "investor_360", "portfolio_risk", "sentiment_labels", "html_text", "dq_metrics"):
+        plan = _plan(registry.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert "RoundRobin" not in plan, name
+        assert "p_partkey <" not in plan.replace("isnotnull", ""), name

@@ -46,19 +46,27 @@ def test_append_results_accumulates(spark, scratch):
 def test_gated_build_on_driver_data(spark, scratch):
     b = adapter.bronze(spark, "/root/testdata/sf0.001")
     res = build.build(spark, b, sink=f"{scratch}/wh", as_of="2026-01-01")
-    # trade ids of the driver data are not unique and some transcript names have
-    # no symbol: their tests fail and every model downstream is skipped
-    assert res.status["stg_trades"] == "failed_tests"
-    assert res.status["portfolio_risk"] == "skipped" and res.status["investor_risk"] == "skipped"
-    assert res.status["investor_360"] == "success"
-    from tallyforge.sources import sinks
-    assert sinks.read_published(spark, f"{scratch}/wh/marts", "investor_360").count() > 0
+    # the driver data has trade ids that repeat, owners that do not exist and transcript
+    # names without a symbol: these tests fail and every model downstream is skipped
+    assert res.status["stg_trades"] == res.status["stg_transactions"] == "failed_tests"
+    assert all(res.status[m] == "skipped" for m in build.GOLD)
+    orphans = {t[0]: t[3] for t in res.tests if t[1] == "relationships"}
+    assert orphans["stg_trades"] > 0 and orphans["stg_transactions"] > 0
     report = {r["model"]: r["status"] for r in build.build_report(spark, res).collect()}
-    assert report["investor_360"] == "success"
+    assert report["investor_360"] == "skipped" and report["stg_customers"] == "success"
     # silver models are registered as views
     assert spark.table("stg_customers").count() == res.models["stg_customers"].count()
 
 
+def test_failed_model_gates_only_what_depends_on_it(spark, scratch):
+    b = adapter.bronze(spark, "/root/testdata/sf0.001")
+    known = b["transactions"].filter("customer_id < 10000000")
+    res = build.build(spark, {**b, "transactions": known}, sink=f"{scratch}/wh", as_of="2026-01-01")
+    assert res.status["investor_360"] == "success" and res.status["portfolio_risk"] == "skipped"
+    from tallyforge.sources import sinks
+    assert sinks.read_published(spark, f"{scratch}/wh/marts", "investor_360").count() > 0
+
+
 def test_warn_severity_does_not_gate(spark, scratch):
     b = adapter.bronze(spark, "/root/testdata/sf0.001")
     tests = {k: [Q.DataTest(t.kind, t.column, t.values, t.where, t.to, t.field, "warn") for t in v]

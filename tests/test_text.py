@@ -71,3 +71,17 @@ def test_extract_text_by_file_type(spark):
     df = spark.createDataFrame([("a.HTML", "<p>Hi&amp;bye</p>"), ("b.txt", "<p>kept</p>")], "file_name string, content string")
     got = dict(df.select("file_name", documents.extract_text().alias("t")).collect())
     assert got == {"a.HTML": "Hi&bye", "b.txt": "<p>kept</p>"}
+
+
+def test_folder_scan_reads_only_matching_files_and_reports_binary_ones(spark, scratch):
+    import os
+
+    from tallyforge.sources import documents
+    root = f"{scratch}/stage"
+    os.makedirs(f"{root}/sub")
+    for name, data in (("a.PDF", b"plain text"), ("sub/b.pdf", b"%PDF-1.7 \xff\xfe\x00binary"), ("c.txt", b"other"), ("d[1].Pdf", "é".encode())):
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(data)
+    rows = {r.file_name: (r.content, r.error) for r in documents.read_documents(spark, root).collect()}
+    assert rows == {"a.PDF": ("plain text", None), "b.pdf": (None, "not UTF-8 text"), "d[1].Pdf": ("é", None)}
+    assert {r.file_name for r in documents.read_documents(spark, root, "c.%").collect()} == {"c.txt"}
