@@ -28,7 +28,7 @@ EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$"
 PRIVACY_BY_CATEGORY = {"EMAIL": "IDENTIFIER", "NAME": "IDENTIFIER", "COUNTRY": "QUASI_IDENTIFIER"}
 MASK = "****MASKED****"
 EMAIL_LOCAL_MASK = "****"
-PRIVILEGED_ROLES = ("ACCOUNTADMIN",)
+PRIVILEGED_ROLES = ("admin",)
 
 SEMANTIC_TAG = "semantic_category"
 PRIVACY_TAG = "privacy_category"

@@ -2,15 +2,14 @@
 
 Plan shape (per model):
 
-* investor_360 — transactions are aggregated once per customer (flow sums,
-  last activity and the newest balance in the same hash aggregate via
-  ``max_by``) and once per (customer, symbol) for cash-book positions. Both
-  aggregates are partial before their shuffle, so a customer holding a third
-  of all rows is pre-reduced on every map task. The price dimension is joined
-  without a hint: AQE broadcasts it when its runtime size is under the
-  session threshold and falls back to a sort-merge join otherwise. All
-  joins to customers are on customer_id, where every side is already
-  hash-partitioned by its aggregate.
+* investor_360 — transactions are scanned once and aggregated per (customer,
+  symbol), then per customer (flow sums, last activity, newest balance via
+  ``max_by``, holdings). Both aggregates are partial before their shuffle, so a
+  customer holding a third of all rows is pre-reduced on every map task. The
+  price dimension is joined without a hint: AQE broadcasts it when its runtime
+  size is under the session threshold and falls back to a sort-merge join
+  otherwise. The join to customers is on customer_id, where both sides are
+  already hash-partitioned by their aggregate.
 * portfolio_risk — trade executions -> positions per (customer, symbol),
   priced, joined to customers and to the newest earnings record per symbol.
 * investor_risk — positions rolled up per investor, joined with the newest
@@ -100,14 +99,37 @@ def holdings(positions: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
+def cash_book(tx: DataFrame, prices: DataFrame) -> DataFrame:
+    """Flows, newest balance and holdings per customer from ONE scan of the transactions:
+    first per (customer, symbol), where net quantities meet their price, then
+    rolled up per customer. Both aggregates are partial before their exchange; the
+    newest balance travels with its ordering key."""
+    kind, amount, q = F.col("txn_type"), F.col("amount"), F.col("quantity")
+
+    def flow(name: str) -> Column:
+        return F.sum(F.when(kind == name, amount).otherwise(F.lit(0))).cast(S.MONEY_SUM)
+
+    newest = newest_first_key("txn_ts", "txn_id")
+    per_symbol = tx.groupBy("customer_id", "symbol").agg(
+        F.count(F.lit(1)).alias("n"), flow("DEPOSIT").alias("deposits"), flow("WITHDRAWAL").alias("withdrawals"),
+        flow("FEE").alias("fees"), F.max("txn_ts").alias("ts"), F.max(newest).alias("newest"),
+        F.max_by("balance_after", newest).alias("balance"),
+        F.sum(F.when(kind == "TRADE_BUY", q).when(kind == "TRADE_SELL", -q).otherwise(F.lit(0))).cast(S.QTY_SUM).alias("net"))
+    priced = per_symbol.join(prices.select(F.col("symbol").alias("s"), "price"), F.col("symbol") == F.col("s"), "left")
+    value = F.col("net").cast(_EXACT_QTY) * F.col("price")
+    return priced.groupBy("customer_id").agg(
+        F.sum("n").alias("activity_count"), F.sum("deposits").cast(S.MONEY_SUM).alias("total_subscriptions"),
+        F.sum("withdrawals").cast(S.MONEY_SUM).alias("total_redemptions"), F.sum("fees").cast(S.MONEY_SUM).alias("total_fees"),
+        F.max("ts").alias("last_activity_ts"), F.max_by("balance", "newest").alias("cash_balance"),
+        F.sum(value).cast(S.VALUE_SUM).alias("holdings_value"),
+        F.count_if(F.col("price").isNotNull() & (F.col("net") != 0)).alias("instruments_held"))
+
+
 def investor_360(customers: DataFrame, tx: DataFrame, prices: DataFrame, built_at=None) -> DataFrame:
     c = customers.alias("c")
-    flows = cash_activity(tx).alias("f")
-    h = holdings(cash_positions(tx), prices).alias("h")
-    j = (c.join(flows, F.col("c.customer_id") == F.col("f.customer_id"), "left")
-          .join(h, F.col("c.customer_id") == F.col("h.customer_id"), "left"))
+    j = c.join(cash_book(tx, prices).alias("f"), F.col("c.customer_id") == F.col("f.customer_id"), "left")
     cash = F.coalesce(F.col("f.cash_balance"), F.lit(0).cast(S.MONEY)).cast(S.MONEY)
-    hold = F.coalesce(F.col("h.holdings_value"), F.lit(0).cast(S.VALUE_SUM)).cast(S.VALUE_SUM)
+    hold = F.coalesce(F.col("f.holdings_value"), F.lit(0).cast(S.VALUE_SUM)).cast(S.VALUE_SUM)
     cols = [
         F.col("c.customer_id").alias("investor_id"),
         F.col("c.first_name"), F.col("c.last_name"), F.col("c.email"),
@@ -120,7 +142,7 @@ def investor_360(customers: DataFrame, tx: DataFrame, prices: DataFrame, built_a
         F.coalesce(F.col("f.total_fees"), F.lit(0).cast(S.MONEY_SUM)).alias("total_fees"),
         cash.alias("cash_balance"),
         hold.alias("holdings_value"),
-        F.coalesce(F.col("h.instruments_held"), F.lit(0).cast("long")).alias("instruments_held"),
+        F.coalesce(F.col("f.instruments_held"), F.lit(0).cast("long")).alias("instruments_held"),
         (cash.cast(_EXACT_VALUE) + hold.cast(_EXACT_VALUE)).cast(S.VALUE_SUM).alias("assets_under_management"),
         F.col("f.last_activity_ts").cast("timestamp_ntz").alias("last_activity_ts"),
     ]

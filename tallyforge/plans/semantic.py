@@ -82,6 +82,16 @@ class SemanticView:
                 cols.append(F.col(c))
         return df.select(*cols)
 
+    def describe(self, spark) -> DataFrame:
+        """``DataFrame[view, kind, name, expression, synonyms, comment]``: the view, its
+        table and every member, with all their comments."""
+        rows = [(self.name, "view", self.name, None, [], self.comment),
+                (self.name, "table", self.table, ", ".join(self.primary_key), list(self.synonyms), self.comment)]
+        for kind, members in (("fact", self.facts), ("dimension", self.dimensions), ("metric", self.metrics)):
+            rows += [(self.name, kind, m.name, m.expr, list(m.synonyms), m.comment) for m in members]
+        return spark.createDataFrame(rows, "view string, kind string, name string, expression string, "
+                                           "synonyms array<string>, comment string")
+
     def create_view(self, name: str | None = None) -> str:
         """Register the base rows under the logical fact and dimension names as a
         temp view (default: the table name), so SQL can aggregate them directly:
@@ -97,7 +107,8 @@ class SemanticView:
         df = self._projected()
         if where is not None:
             df = df.filter(F.expr(where) if isinstance(where, str) else where)
-        aggs = [F.expr(m.expr).alias(m.name) for m in mets]
+        # metric comments travel with the result columns, as those of facts and dimensions do
+        aggs = [F.expr(m.expr).alias(m.name, **({"metadata": {"comment": m.comment}} if m.comment else {})) for m in mets]
         if dims:
             out = df.groupBy(*[F.col(d.name) for d in dims]).agg(*aggs) if aggs else \
                 df.select(*[d.name for d in dims]).distinct()
@@ -108,16 +119,19 @@ class SemanticView:
         return out
 
 
+# Fixed values below: member names, expressions and synonyms of the two views. The
+# comments are this library's own.
+
 def investors_view(base) -> SemanticView:
     """Semantic view over investor_360 (table ``investors``)."""
     return SemanticView(
         name="investor_360_sv", table="investors", base=base, primary_key=("investor_id",),
         synonyms=("clients", "accounts", "client book"),
-        comment="Investor 360 - one row per client with profile, cash flows, holdings and total AUM",
+        comment="Who our investors are, what they moved and what they are worth; a row each",
         facts=[
-            Member("aum", "assets_under_management", comment="Cash balance plus market value of holdings"),
-            Member("holdings", "holdings_value", comment="Net trade positions valued at latest instrument price"),
-            Member("cash", "cash_balance", comment="Most recent cash balance"),
+            Member("aum", "assets_under_management", comment="Cash plus valued holdings, in account currency"),
+            Member("holdings", "holdings_value", comment="Net cash-book quantities times the newest price"),
+            Member("cash", "cash_balance", comment="Balance after the newest booking"),
             Member("subscriptions", "total_subscriptions"),
             Member("redemptions", "total_redemptions"),
             Member("fees", "total_fees"),
@@ -125,24 +139,24 @@ def investors_view(base) -> SemanticView:
             Member("instruments", "instruments_held"),
         ],
         dimensions=[
-            Member("investor_id", "investor_id", comment="Unique investor / client identifier"),
+            Member("investor_id", "investor_id", comment="Key of the investor"),
             Member("investor_segment", "investor_segment", ("client segment", "investor type", "mandate type"),
-                   "INSTITUTIONAL, PENSION, ENDOWMENT, HNW or WEALTH"),
+                   "Kind of mandate; five codes in upper case"),
             Member("risk_rating", "risk_rating", ("risk", "risk level")),
             Member("kyc_status", "kyc_status", ("kyc", "know your customer status")),
             Member("country", "country", ("country code", "domicile")),
-            Member("tenure_days", "tenure_days", comment="Days since onboarding"),
+            Member("tenure_days", "tenure_days", comment="Age of the relationship in days"),
         ],
         metrics=[
             Member("investor_count", "count(investor_id)", ("number of investors", "number of clients", "how many clients"),
-                   "Count of investors"),
+                   "How many investors the group has"),
             Member("total_aum", "sum(aum)", ("assets under management", "total AUM", "book value"),
-                   "Total assets under management across investors"),
-            Member("avg_aum", "avg(aum)", comment="Average AUM per investor"),
-            Member("total_holdings_value", "sum(holdings)", comment="Total market value of holdings"),
-            Member("total_cash", "sum(cash)", comment="Total cash balances"),
+                   "Sum of aum over the group"),
+            Member("avg_aum", "avg(aum)", comment="Mean of aum over the group"),
+            Member("total_holdings_value", "sum(holdings)", comment="Sum of holdings over the group"),
+            Member("total_cash", "sum(cash)", comment="Sum of cash over the group"),
             Member("total_net_flows", "sum(subscriptions) - sum(redemptions)", ("net flows", "net new money"),
-                   "Subscriptions minus redemptions"),
+                   "What came in less what went out"),
         ],
     )
 
@@ -152,11 +166,11 @@ def positions_view(base) -> SemanticView:
     return SemanticView(
         name="portfolio_risk_sv", table="positions", base=base, primary_key=("investor_id", "symbol"),
         synonyms=("portfolio", "holdings", "book"),
-        comment="Investor x instrument positions valued at market, with earnings sentiment",
+        comment="Open positions of each investor per instrument, priced and with the mood of the last earnings call",
         facts=[
-            Member("market_value", "market_value", comment="Signed market value of the net position"),
-            Member("gross_exposure", "gross_exposure", comment="Absolute market value of the net position"),
-            Member("unrealized_pnl", "unrealized_pnl", comment="Market value minus net cost"),
+            Member("market_value", "market_value", comment="Net quantity times newest price; negative when short"),
+            Member("gross_exposure", "gross_exposure", comment="Size of the position whatever its side"),
+            Member("unrealized_pnl", "unrealized_pnl", comment="Value now less what was paid"),
             Member("net_quantity", "net_quantity"),
             Member("trades", "trade_count"),
         ],
@@ -167,17 +181,17 @@ def positions_view(base) -> SemanticView:
             Member("investor_segment", "investor_segment", ("client segment", "investor type")),
             Member("risk_rating", "risk_rating", ("risk level",)),
             Member("earnings_sentiment", "earnings_sentiment", ("sentiment", "earnings call sentiment"),
-                   "Latest earnings-call sentiment for the instrument: positive/negative/neutral/mixed"),
+                   "Label of the newest transcript of the instrument, if there is one"),
         ],
         metrics=[
             Member("position_count", "count(investor_id)", ("number of positions",),
-                   "Count of investor-instrument positions"),
-            Member("total_market_value", "sum(market_value)", comment="Total signed market value"),
+                   "How many open positions the group has"),
+            Member("total_market_value", "sum(market_value)", comment="Sum of market_value; longs and shorts offset"),
             Member("total_gross_exposure", "sum(gross_exposure)", ("total exposure", "assets at risk"),
-                   "Total absolute exposure"),
+                   "Sum of gross_exposure; longs and shorts add up"),
             Member("total_unrealized_pnl", "sum(unrealized_pnl)", ("total pnl", "unrealized gains"),
-                   "Total unrealized profit and loss"),
+                   "Sum of unrealized_pnl over the group"),
             # the definition names the physical column; the fact alias `trades` works as well
-            Member("total_trades", "sum(trade_count)", comment="Total trade executions behind the positions"),
+            Member("total_trades", "sum(trade_count)", comment="Executions behind the group's positions"),
         ],
     )

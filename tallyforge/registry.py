@@ -275,7 +275,7 @@ def q_investor_metrics_total(spark, sf_dir):
        sum(unrealized_pnl) AS total_unrealized_pnl, CAST(sum(trade_count) AS BIGINT) AS total_trades
 FROM portfolio_risk GROUP BY asset_class"""))
 def q_exposure_by_asset_class(spark, sf_dir):
-    v = semantic.positions_view(Silver(spark, sf_dir).portfolio)
+    v = semantic.positions_view(functools.partial(Silver(spark, sf_dir).portfolio, False))
     return v.query(["asset type"], ["position_count", "total_market_value", "total exposure",
                                     "total_unrealized_pnl", "total_trades"])
 
@@ -346,7 +346,7 @@ UNION ALL SELECT 'portfolio_risk', 'row_count', NULL, (SELECT count(*) FROM port
 UNION ALL SELECT 'portfolio_risk', 'null_symbol', 'symbol', (SELECT count(*) FROM portfolio_risk WHERE symbol IS NULL)"""))
 def q_dq_metrics(spark, sf_dir):
     s = Silver(spark, sf_dir)
-    m = {"investor_360": s.investor_360(), "portfolio_risk": s.portfolio()}
+    m = {"investor_360": s.investor_360(), "portfolio_risk": s.portfolio(False)}   # no metric reads an earnings column
     parts = [quality.metrics(m[t], specs, t) for t, specs in DQ_METRICS.items()]
     return parts[0].unionByName(parts[1])
 
@@ -363,12 +363,12 @@ def _masked(spark, sf_dir, role):
        '****MASKED****' AS last_name, regexp_replace(email, '^[^@]+', '****') AS email, country
 FROM investor_360"""))
 def q_masked_investors_analyst(spark, sf_dir):
-    return _masked(spark, sf_dir, "FINANCE_ANALYST_RL")
+    return _masked(spark, sf_dir, "analyst")
 
 
 @register("masked_investors_admin", _q("SELECT investor_id, first_name, last_name, email, country FROM investor_360"))
 def q_masked_investors_admin(spark, sf_dir):
-    return _masked(spark, sf_dir, "ACCOUNTADMIN")
+    return _masked(spark, sf_dir, "admin")
 
 
 def _classify_sql(table: str, cols, threshold: float = 0.8) -> str:
