@@ -8,7 +8,7 @@ def test_mask_as_analyst_and_admin(spark):
     analyst = sorted((r["id"], r["email"], r["first_name"]) for r in G.apply_masking(tagged, "ANALYST").collect())
     assert analyst == [(1, "****@x.com", "****MASKED****"), (2, "****", "****MASKED****"),
                        (3, "@x.com", "****MASKED****"), (4, None, "****MASKED****")]
-    admin = sorted((r["id"], r["email"], r["first_name"]) for r in G.apply_masking(tagged, "accountadmin").collect())
+    admin = sorted((r["id"], r["email"], r["first_name"]) for r in G.apply_masking(tagged, "Admin").collect())
     assert admin == sorted((r["id"], r["email"], r["first_name"]) for r in df.collect())
 
 

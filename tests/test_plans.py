@@ -78,10 +78,11 @@ def test_investor_360_joins_reuse_customer_partitioning(spark):
     try:
         s = Silver(spark, "/root/testdata/sf0.001")
         plan = _plan(s.investor_360())
-        # customers, flows and holdings are each aggregated by customer_id once and
-        # joined without re-shuffling (positions and prices aside)
-        assert len(re.findall(r"hashpartitioning\(customer_id#\d+L, \d+\)", plan)) == 3
-        assert plan.count("SortMergeJoin") == 3
+        # customers and the cash book are each aggregated by customer_id once and joined
+        # without re-shuffling (positions and prices aside), from one scan of the orders
+        assert len(re.findall(r"hashpartitioning\(customer_id#\d+L, \d+\)", plan)) == 2
+        assert plan.count("SortMergeJoin") == 2
+        assert len(re.findall(r"FileScan parquet[^\n]*o_orderkey", plan)) == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))

@@ -56,9 +56,18 @@ def test_semantic_view_in_sql(spark, investors):
     assert got == api
 
 
+def test_metric_table_and_view_comments_reach_the_user(spark, investors):
+    out = investors.query(["investor_segment"], ["total_aum"])
+    assert out.schema["total_aum"].metadata["comment"] and out.schema["investor_segment"].metadata["comment"]
+    told = {(r.kind, r.name): r for r in investors.describe(spark).collect()}
+    assert told["view", "investor_360_sv"].comment and told["table", "investors"].synonyms == ["clients", "accounts", "client book"]
+    assert told["metric", "total_aum"].expression == "sum(aum)" and told["metric", "avg_aum"].comment
+    assert len(told) == 2 + len(investors.facts) + len(investors.dimensions) + len(investors.metrics)
+
+
 def test_comments_travel_as_metadata_and_ambiguity_is_an_error(spark, investors):
     proj = investors._projected()
-    assert proj.schema["aum"].metadata.get("comment") == "Cash balance plus market value of holdings"
+    assert proj.schema["aum"].metadata.get("comment") == "Cash plus valued holdings, in account currency"
     import dataclasses
     clash = dataclasses.replace(investors, metrics=investors.metrics + [
         semantic.Member("aum_total_2", "sum(aum)", ("total AUM",))])
