@@ -13,9 +13,9 @@ emits ``(test, value)`` pairs only for what the tests need (a NULL marker, an
 invalid value, or the key of a uniqueness or relationship test), and a single
 ``groupBy(test, value)`` with map-side partial aggregation counts them. A value
 that holds a third of all rows is reduced per map task before the shuffle; no
-value list is ever collected into one task. Relationship tests then anti-join
-the child's distinct keys (with their row counts) against the parent's
-distinct keys (AQE broadcasts a side only when its runtime size is small).
+value list is ever collected into one task. The parents' distinct keys then
+meet these counts in one left join, and one last aggregate per test gives all
+kinds of failures together.
 """
 
 from __future__ import annotations
@@ -57,11 +57,19 @@ def relationships(column: str, to: str, field: str, severity: str = "error") ->
     return DataTest("relationships", column, to=to, field=field, severity=severity)
 
 
+def _is_long(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
+
+
 def _fused(model: str, df: DataFrame, specs: Sequence[DataTest],
            parents: Mapping[str, DataFrame]) -> DataFrame | None:
-    """All tests of one model from one pass over it and one shuffle."""
+    """All tests of one model from one pass over it and one shuffle of test values."""
     if not specs:
         return None
+    # integer keys stay integers on their way; everything else travels as text
+    native = [t.kind in ("unique", "relationships") and _is_long(df, t.column)
+              and (t.to is None or _is_long(parents[t.to], t.field)) for t in specs]
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("long")
     emits = []
     for i, t in enumerate(specs):
         c = F.col(t.column)
@@ -74,27 +82,33 @@ def _fused(model: str, df: DataFrame, specs: Sequence[DataTest],
             if t.where:
                 cond = cond & F.coalesce(F.expr(t.where), F.lit(False))
             val = c.cast("string")
-        emits.append(F.when(cond, F.struct(F.lit(i).alias("tid"), val.alias("v"))))
-    pairs = df.select(F.explode(F.array_compact(F.array(*emits))).alias("e")).select("e.tid", "e.v")
+        emits.append(F.when(cond, F.struct(F.lit(i).alias("tid"), (c.cast("long") if native[i] else number).alias("l"),
+                                           (text if native[i] else val).alias("v"))))
+    pairs = df.select(F.explode(F.array_compact(F.array(*emits))).alias("e")).select("e.tid", "e.l", "e.v")
     # distinct (test, value) with their row counts; partial aggregation per task
-    counted = pairs.groupBy("tid", "v").agg(F.count(F.lit(1)).alias("n"))
+    counted = pairs.groupBy("tid", "l", "v").agg(F.count(F.lit(1)).alias("n"))
+    linked = [i for i, t in enumerate(specs) if t.kind == "relationships"]
+    known = F.lit(False)
+    if linked:
+        # parent keys meet the counts on (test, value), by which the counts already lie
+        keys = None
+        for i in linked:
+            c = F.col(specs[i].field)
+            own = parents[specs[i].to].filter(c.isNotNull()).select(
+                F.lit(i).alias("ptid"), (c.cast("long") if native[i] else number).alias("pl"),
+                (text if native[i] else c.cast("string")).alias("pv")).distinct()
+            keys = own if keys is None else keys.unionByName(own)
+        counted = counted.join(keys, (F.col("tid") == F.col("ptid")) & F.col("l").eqNullSafe(F.col("pl"))
+                               & F.col("v").eqNullSafe(F.col("pv")), "left")
+        known = F.col("ptid").isNotNull()
     kinds = F.create_map(*[x for i, t in enumerate(specs) for x in (F.lit(i), F.lit(t.kind))])
-    kind = F.element_at(kinds, F.col("tid"))
-    parts = [counted.filter(kind != "relationships").groupBy("tid").agg(
-        F.sum(F.when(kind == "not_null", F.col("n"))
-               .when(kind == "unique", (F.col("n") > 1).cast("long"))
-               .otherwise(F.lit(1).cast("long"))).alias("failures"))]
-    for i, t in enumerate(specs):
-        if t.kind == "relationships":
-            # orphans: distinct child keys without a parent key, weighted by their rows
-            pk = (parents[t.to].select(F.col(t.field).cast("string").alias("pk"))
-                  .filter(F.col("pk").isNotNull()).distinct())
-            child = counted.filter(F.col("tid") == i)
-            parts.append(child.join(pk, child["v"] == pk["pk"], "left_anti")
-                              .agg(F.lit(i).alias("tid"), F.sum("n").alias("failures")))
-    per_test = parts[0]
-    for p in parts[1:]:
-        per_test = per_test.unionByName(p)
+    kind, n = F.element_at(kinds, F.col("tid")), F.col("n")
+    zero = F.lit(0).cast("long")
+    per_test = counted.groupBy("tid").agg(
+        F.sum(F.when(kind == "not_null", n)
+               .when(kind == "unique", (n > 1).cast("long"))
+               .when(kind == "relationships", F.when(known, zero).otherwise(n))
+               .otherwise(F.lit(1).cast("long"))).alias("failures"))
     spec_rows = df.sparkSession.createDataFrame(
         [(i, model, t.kind, t.column) for i, t in enumerate(specs)],
         "tid int, model string, test string, column string")
@@ -152,7 +166,8 @@ def _metric_expr(m: Metric) -> Column:
         return F.count_if(F.col(m.column).isNull())
     if m.kind == "duplicate_count":
         c = F.col(m.column)
-        return F.count(F.lit(1)) - F.count_distinct(c) - F.max(c.isNull().cast("int")).cast("long")
+        some_null = F.coalesce(F.max(c.isNull().cast("int")).cast("long"), F.lit(0))     # an empty table has none
+        return F.count(F.lit(1)) - F.count_distinct(c) - some_null
     return F.count_if(F.expr(m.expr) if isinstance(m.expr, str) else m.expr)
 
 

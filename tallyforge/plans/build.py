@@ -88,10 +88,10 @@ def model_builders(bronze: Mapping[str, DataFrame], as_of=None, built_at=True,
     }
 
 
-# Models read by more than one consumer downstream (the text job, and
-# portfolio_risk which feeds investor_risk): stored once when models are
-# evaluated together without a sink.
-SHARED = ("stg_earnings_transcripts", "portfolio_risk")
+# Models read by more than one consumer downstream whose derivation costs a
+# shuffle or the text job: stored once when models are evaluated together
+# without a sink.
+SHARED = ("stg_customers", "stg_trades", "stg_earnings_transcripts", "portfolio_risk")
 
 
 def lazy_models(bronze: Mapping[str, DataFrame], as_of=None, built_at=None, text_options=None,
