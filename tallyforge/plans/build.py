@@ -1,27 +1,26 @@
-"""Ordered, gated build of the silver and gold models.
-
-``build`` walks the model list in dependency order. Silver models stay lazy
-(views); gold models are published once to the sink as a new version
-(parquet by default, any format the catalog supports otherwise; see
-``sinks.publish``) and re-read, so their tests and their dependants read the
-stored table instead of re-running the upstream plan — which also cuts the
-lineage: a lost executor never recomputes more than the stage it was running,
-and a failed build never replaces the current version. After each model its tests run; when an error-severity
-test fails, every model downstream of it is skipped (reported, not built).
+"""Gated build of the silver and gold models.
+
+``build`` runs every model as soon as the models it reads are done, several
+independent ones at a time. Silver models stay lazy (views); gold models are
+rebuilt as catalog tables of their layer and read back, so their tests and
+their dependants read the stored table instead of re-running the upstream plan,
+and a failed build never replaces a table. After each model its tests run; when
+an error-severity test fails, every model downstream of it is skipped
+(reported, not built).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality as Q
 from ..operators import signals
-from ..session import materialize, scratch_root
+from ..session import materialize
 from ..sources import documents, schemas, sinks
 from . import marts, staging
 
@@ -127,40 +126,53 @@ class BuildResult:
 
 def build(spark: SparkSession, bronze: Mapping[str, DataFrame], sink: str | None = None,
           fmt: str = "parquet", as_of=None, built_at=None, tests: Mapping | None = None,
-          text_options=None) -> BuildResult:
-    """Build models in order, write gold to ``sink`` (default: the scratch root),
-    run tests after each model and skip dependants of failed models."""
+          text_options=None, schema: str | None = None, threads: int = 4) -> BuildResult:
+    """Build the models, gold as tables ``<schema>.<model>`` (default schema: the marts
+    layer; its database lies below ``sink`` or in the session's warehouse), run tests
+    after each model and skip dependants of failed models. Up to ``threads`` models
+    run at once; Spark shares the cluster between their jobs."""
     tests = MODEL_TESTS if tests is None else tests
-    sink = sink or f"{scratch_root(spark)}/warehouse"
+    layer = sinks.schema_name(schema, "marts")
+    sinks.create_layers(spark, (layer,), sink)
     built_at = built_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    version = f"{built_at:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
     builders = model_builders(bronze, as_of, built_at, text_options)
     built: dict[str, DataFrame] = {}
     status: dict[str, str] = {}
-    results: list[tuple] = []
-    for name, ups in DEPENDS_ON.items():
-        if any(status.get(u) != "success" for u in ups):
-            status[name] = "skipped"
-            continue
+    results: dict[str, list[tuple]] = {}
+
+    def one(name: str) -> tuple[DataFrame, list[tuple], bool]:
         df = builders[name](built)
         if name == "stg_earnings_transcripts":
             df = materialize(df, name)   # the text job runs once per build
         if name in GOLD:
-            # a new version per build, committed only after a complete write
-            df = sinks.publish(df, f"{sink}/marts", name, version, fmt)
-        built[name] = df
+            df = sinks.replace_table(df, f"{layer}.{name}", fmt)
         specs = tests.get(name, [])
-        failed = False
-        if specs:
-            rows = Q.run_tests({**built, name: df}, {name: specs}).collect()  # one small row per test
-            sev = {(t.kind, t.column): t.severity for t in specs}
-            for r in rows:
-                s = sev[(r["test"], r["column"])]
-                results.append((r["model"], r["test"], r["column"], r["failures"], s))
-                failed |= r["failures"] > 0 and s == "error"
-        status[name] = "failed_tests" if failed else "success"
+        rows = Q.run_tests({**built, name: df}, {name: specs}).collect() if specs else []   # one small row per test
+        sev = {(t.kind, t.column): t.severity for t in specs}
+        found = [(r["model"], r["test"], r["column"], r["failures"], sev[(r["test"], r["column"])]) for r in rows]
+        return df, found, any(f[3] > 0 and f[4] == "error" for f in found)
+
+    with ThreadPoolExecutor(threads) as pool:
+        running: dict = {}
+        while len(status) < len(DEPENDS_ON):
+            for name, ups in DEPENDS_ON.items():
+                # tests may read a parent that is no upstream of the model itself
+                needs = {*ups, *(t.to for t in tests.get(name, []) if t.to)} - {name}
+                if name in status or name in running.values() or any(u not in status for u in needs):
+                    continue
+                if any(status[u] != "success" for u in ups):
+                    status[name] = "skipped"
+                else:
+                    running[pool.submit(one, name)] = name
+            if not running:
+                continue
+            for done in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(done)
+                built[name], results[name], failed = done.result()
+                status[name] = "failed_tests" if failed else "success"
     register_views(built)
-    return BuildResult(built, status, results)
+    in_order = [n for n in DEPENDS_ON if n in results]
+    return BuildResult(built, {n: status[n] for n in DEPENDS_ON}, [r for n in in_order for r in results[n]])
 
 
 def build_report(spark: SparkSession, result: BuildResult) -> DataFrame:

@@ -92,3 +92,23 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     path = f"{scratch_root(spark)}/materialized/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
+
+
+# --------------------------------------------------- files of the shared folder
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop sees them: any store that Spark can reach."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists; any other fault of the store is raised."""
+    fs, p = hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written below its own roots."""
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)

@@ -24,6 +24,7 @@ def table_name(layer: str, name: str, custom_schema: str | None = None) -> str:
 
 
 def create_layers(spark: SparkSession, layers=LAYERS, location: str | None = None) -> None:
+    """Create the layers' databases, below ``location`` or the session's warehouse."""
     for layer in layers:
         loc = f" LOCATION '{location.rstrip('/')}/{layer}.db'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{loc}")
@@ -38,28 +39,13 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "ove
     w.saveAsTable(name)
 
 
-# ------------------------------------------------------ versioned publishing
-
-def publish(df: DataFrame, root: str, name: str, version: str, fmt: str = "parquet") -> DataFrame:
-    """Write ``df`` as a new version of table ``name`` under ``root`` and commit it.
-
-    The data goes to its own folder (``<root>/<name>/v=<version>``); only after
-    the write job has succeeded is a commit row appended to ``<root>/_commits``.
-    A job that fails half-way therefore never replaces the current version,
-    and readers (:func:`read_published`) always see a complete table.
-    """
-    spark = df.sparkSession
-    path = f"{root}/{name}/v={version}"
-    df.write.mode("overwrite").format(fmt).save(path)
-    spark.createDataFrame([(name, version, path, fmt)], "name string, version string, path string, format string") \
-        .write.mode("append").parquet(f"{root}/_commits")
-    return spark.read.format(fmt).load(path)
-
-
-def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest committed version of table ``name`` under ``root``."""
-    row = (spark.read.parquet(f"{root}/_commits").filter(f"name = '{name}'")
-           .orderBy("version", ascending=False).select("path", "format").first())   # one commit row
-    if row is None:
-        raise FileNotFoundError(f"no committed version of {name} under {root}")
-    return spark.read.format(row["format"]).load(row["path"])
+def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    """Rebuild a catalog table and read it back. The rows are written to a table
+    beside it, which takes its place only when it is complete: a failed build
+    leaves the present table as it is."""
+    spark, beside = df.sparkSession, f"{name}__building"
+    spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    write_table(df, beside, fmt)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    return spark.table(name)

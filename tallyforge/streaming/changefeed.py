@@ -1,26 +1,27 @@
 """Continuous change-feed apply with Structured Streaming.
 
 Change rows (one landing folder per source, fixed schema) are read as a
-stream; every micro-batch is reduced to its newest row per key and appended
-to a change log partitioned by epoch (``<state>/log/epoch=N``). The current
-state is "newest row per key" over the latest snapshot plus the log epochs
-after it — an associative, commutative fold, so:
-
-* replaying k micro-batches in any order equals one batch over their union;
-* an older version arriving late never overwrites a newer one, and a
-  re-delivered row is a no-op (no watermark needed: state is bounded by the
-  number of keys, not by time);
-* a retried epoch overwrites its own log folder, so retries are idempotent.
-
-Per micro-batch the cost is O(batch), not O(state). ``compact`` folds the
-log into a snapshot (``<state>/snapshots/upto=N``) and records it in a small
-commit table; readers use the newest committed snapshot plus later epochs.
-Where the table format supports MERGE (Delta, Iceberg), a MERGE INTO per
-batch is the alternative sink.
+stream; every micro-batch is reduced to its newest row per key and written to
+``<state>/run=<stream id>/epoch=<n>``. The current state is "newest row per
+key" over all of these folders: an associative, commutative, idempotent fold,
+so
+
+* replaying micro-batches in any order, or twice, equals one batch over their
+  union; an older version arriving late never overwrites a newer one (no
+  watermark needed: state is bounded by the number of keys, not by time);
+* a retried epoch overwrites its own folder;
+* a stream that starts over with a new checkpoint has a new id and counts its
+  epochs in a folder of its own: nothing written before can be overwritten.
+
+Per micro-batch the cost is O(batch), not O(state). ``compact`` folds finished
+epochs into one. Where the table format supports MERGE (Delta, Iceberg), a
+MERGE INTO per batch is the alternative sink.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import apply_changes, live_view
+from ..session import path_exists, remove_path
 
+COMPACTED = "compacted-"
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - metadata only
-        return True
-    except Exception:  # noqa: BLE001 - missing or empty folder
-        return False
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives its stream; it survives restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
 
 
 def stream_apply(spark: SparkSession, src_dir: str, schema: T.StructType, keys: Sequence[str] | str,
@@ -46,8 +47,8 @@ def stream_apply(spark: SparkSession, src_dir: str, schema: T.StructType, keys:
     """Start the apply stream; with ``available_now`` it processes what is there
     and stops (returns after termination), else it runs on ``processing_time``."""
     def fold(batch: DataFrame, epoch_id: int) -> None:
-        apply_changes(None, batch, keys, order, tiebreak) \
-            .write.mode("overwrite").parquet(f"{state_dir}/log/epoch={epoch_id}")
+        apply_changes(None, batch, keys, order, tiebreak).write.mode("overwrite").parquet(
+            f"{state_dir}/run={stream_id(spark, checkpoint)}/epoch={epoch_id}")
 
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
@@ -62,46 +63,40 @@ def stream_apply(spark: SparkSession, src_dir: str, schema: T.StructType, keys:
     return q
 
 
-def _latest_snapshot(spark: SparkSession, state_dir: str) -> int | None:
-    commits = f"{state_dir}/_snapshot_commits"
-    if not _exists(spark, commits):
-        return None
-    row = spark.read.parquet(commits).agg(F.max("upto").alias("upto")).first()  # one value
-    return None if row is None else row["upto"]
-
-
-def read_state(spark: SparkSession, state_dir: str, keys, order, tiebreak=None,
-               upto: int | None = None) -> DataFrame:
-    """Applied state (tombstones kept) = newest snapshot + later log epochs."""
-    snap = _latest_snapshot(spark, state_dir)
-    parts = None
-    if _exists(spark, f"{state_dir}/log"):
-        log = spark.read.parquet(f"{state_dir}/log")
-        if snap is not None:
-            log = log.filter(F.col("epoch") > snap)
-        if upto is not None:
-            log = log.filter(F.col("epoch") <= upto)
-        parts = log.drop("epoch")
-    if snap is not None:
-        s = spark.read.parquet(f"{state_dir}/snapshots/upto={snap}")
-        parts = s if parts is None else s.unionByName(parts)
-    if parts is None:
+def _epochs(spark: SparkSession, state_dir: str) -> DataFrame:
+    if not path_exists(spark, state_dir):
         raise FileNotFoundError(f"no state under {state_dir}")
-    return apply_changes(None, parts, keys, order, tiebreak)
+    return spark.read.option("basePath", state_dir).parquet(f"{state_dir}/run=*")
+
+
+def read_state(spark: SparkSession, state_dir: str, keys, order, tiebreak=None) -> DataFrame:
+    """Applied state, tombstones kept: newest row per key over all epochs."""
+    return apply_changes(None, _epochs(spark, state_dir).drop("run", "epoch"), keys, order, tiebreak)
 
 
 def read_live(spark: SparkSession, state_dir: str, keys, order, tiebreak=None) -> DataFrame:
     return live_view(read_state(spark, state_dir, keys, order, tiebreak))
 
 
-def compact(spark: SparkSession, state_dir: str, keys, order, tiebreak=None) -> int | None:
-    """Fold all committed log epochs into a snapshot; returns its epoch."""
-    if not _exists(spark, f"{state_dir}/log"):
-        return None
-    top = spark.read.parquet(f"{state_dir}/log").agg(F.max("epoch").alias("e")).first()["e"]
-    if top is None or top == _latest_snapshot(spark, state_dir):
-        return top
-    state = read_state(spark, state_dir, keys, order, tiebreak, upto=top)
-    state.write.mode("overwrite").parquet(f"{state_dir}/snapshots/upto={top}")
-    spark.createDataFrame([(int(top),)], "upto long").write.mode("append").parquet(f"{state_dir}/_snapshot_commits")
-    return top
+def compact(spark: SparkSession, state_dir: str, keys, order, tiebreak=None) -> int:
+    """Fold finished epochs into one folder; returns how many were folded.
+
+    The last epoch of a stream stays, as it may still be written. The folded
+    epochs are removed only after the new folder is complete, and an epoch read
+    twice changes nothing, so a failure at any point loses no row. Readers that
+    listed the old folders before must read again.
+    """
+    rows = _epochs(spark, state_dir)
+    found = rows.select("run", "epoch").distinct().collect()          # one row per folder
+    last = {}
+    for r in found:
+        last[r["run"]] = max(r["epoch"], last.get(r["run"], -1))
+    done = [(r["run"], r["epoch"]) for r in found if r["run"].startswith(COMPACTED) or r["epoch"] < last[r["run"]]]
+    if len(done) < 2:
+        return 0
+    own = spark.createDataFrame(done, "run string, epoch int")
+    folded = apply_changes(None, rows.join(F.broadcast(own), ["run", "epoch"], "left_semi").drop("run", "epoch"), keys, order, tiebreak)
+    folded.write.parquet(f"{state_dir}/run={COMPACTED}{uuid.uuid4().hex}/epoch=0")
+    for run, epoch in done:
+        remove_path(spark, f"{state_dir}/run={run}" + ("" if run.startswith(COMPACTED) else f"/epoch={epoch}"))
+    return len(done)

@@ -1,5 +1,7 @@
+import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import search
@@ -15,23 +17,29 @@ def test_land_documents_truncate_and_load(spark, scratch):
     assert [(r["file_name"], r["symbol"], r["parsed_text"]) for r in rows] == [("EARNINGS_SYM001_2026Q1.pdf", "SYM001", "a")]
 
 
-def test_refresh_postings_then_search_index(spark, scratch):
-    landed, post, ck = f"{scratch}/landed", f"{scratch}/postings", f"{scratch}/ck"
-    stage = spark.createDataFrame([("EARNINGS_SYM001_2026Q1.pdf", "weak demand and cutting guidance"),
-                                   ("EARNINGS_SYM002_2026Q1.pdf", "strong demand, raising guidance")],
-                                  "file_name string, content string")
-    documents.transcripts_raw(stage.limit(1)).write.parquet(f"{landed}/b1")
-    docstream.refresh_postings(spark, f"{landed}/*", post, ck)
-    documents.transcripts_raw(stage.filter(F.col("file_name").contains("SYM002"))).write.parquet(f"{landed}/b2")
-    docstream.refresh_postings(spark, f"{landed}/*", post, ck)
-    index = spark.read.parquet(post)
+def _docs(spark, rows):
+    return documents.document_keys(spark.createDataFrame(
+        [(p, p.rsplit("/", 1)[-1], t, dt.datetime(2026, 1, v)) for p, t, v in rows],
+        "path string, file_name string, parsed_text string, modified_at timestamp"))
+
+
+def test_refresh_index_counts_every_document_once(spark, scratch):
+    """New, changed and re-delivered documents: the index answers as one built afresh."""
+    index = f"{scratch}/index"
+    first = [("a/EARNINGS_SYM001_2026Q1.pdf", "weak demand and cutting guidance", 1),
+             ("a/EARNINGS_SYM002_2026Q1.pdf", "strong demand, raising guidance", 1)]
+    later = [("a/EARNINGS_SYM001_2026Q1.pdf", "weak weak margins", 2), ("b/EARNINGS_SYM001_2026Q1.pdf", "guidance is weak", 2)]
+    cols = ("modified_at", "file_name", "symbol", "fiscal_period")
+    assert docstream.refresh_index(spark, _docs(spark, first), index, cols) == 2
+    assert docstream.refresh_index(spark, _docs(spark, first), index, cols) == 0         # delivered again
+    now = [later[0], first[1], later[1]]
+    assert docstream.refresh_index(spark, _docs(spark, now), index, cols) == 2
     queries = spark.createDataFrame([(1, "weak guidance")], "query_id long, text string")
-    got = search.bm25_topk_index(index, queries, k=2).collect()
-    corpus = documents.transcripts_raw(stage)
-    exp = search.bm25_topk(corpus.withColumnRenamed("file_name", "doc_id"), queries, k=2,
-                           text_col="parsed_text").collect()
-    key = lambda r: (r["query_id"], r["rank"], r["doc_id"], r["score"])
-    assert sorted(map(key, got)) == sorted(map(key, exp))
+    got = search.bm25_topk_index(docstream.read_index(spark, index), queries, k=3, columns=("file_name", "symbol"))
+    exp = search.bm25_topk(_docs(spark, now), queries, k=3, id_col="path", text_col="parsed_text", columns=("file_name", "symbol"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect())) and got.count() == 3
+    only = search.bm25_topk_index(docstream.read_index(spark, index), queries, k=3, filters="symbol = 'SYM002'", columns=("symbol",))
+    assert [r.symbol for r in only.collect()] == ["SYM002"]
 
 
 def test_search_results_json_roundtrip(spark):
@@ -67,11 +75,11 @@ def test_variant_path_access_on_results(spark):
     assert (got["s"], got["t"]) == ("SYM2", "mixed")
 
 
-def test_publish_versions(spark, scratch):
-    root = f"{scratch}/pub"
-    sinks.publish(spark.createDataFrame([(1,)], "x int"), root, "t", "20260101000000-a")
-    sinks.publish(spark.createDataFrame([(1,), (2,)], "x int"), root, "t", "20260102000000-b")
-    assert sinks.read_published(spark, root, "t").count() == 2
-    # a version whose write never committed is invisible
-    spark.createDataFrame([(9,)], "x int").write.parquet(f"{root}/t/v=20260103000000-c")
-    assert sinks.read_published(spark, root, "t").count() == 2
+def test_replaced_table_survives_a_failed_build(spark, scratch):
+    sinks.create_layers(spark, ("kept",), scratch)
+    assert sinks.replace_table(spark.createDataFrame([(1,)], "x int"), "kept.t").count() == 1
+    assert sinks.replace_table(spark.createDataFrame([(1,), (2,)], "x int"), "kept.t").count() == 2
+    with pytest.raises(Exception, match="no such row"):
+        sinks.replace_table(spark.range(3).selectExpr("raise_error('no such row') AS x"), "kept.t")
+    assert spark.table("kept.t").count() == 2
+    assert sinks.replace_table(spark.createDataFrame([(7,)], "x int"), "kept.t").first()["x"] == 7

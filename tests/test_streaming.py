@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import cdc
@@ -27,23 +28,59 @@ def test_stream_apply_replay_equals_batch(spark, scratch):
     live = changefeed.read_live(spark, state, KEYS, ORDER)
     batch = cdc.live_view(cdc.apply_changes(None, changes, KEYS, ORDER))
     assert _rows(live) == _rows(batch)
-    # compaction keeps the state
-    changefeed.compact(spark, state, KEYS, ORDER)
+    # compaction keeps the state, and so do changes that come after it
+    assert changefeed.compact(spark, state, KEYS, ORDER) == 0        # each epoch may still be written
+    changefeed.stream_apply(spark, f"{src}/*", schemas.CUSTOMERS, KEYS, ORDER, state, ck, max_files_per_trigger=1)
     assert _rows(changefeed.read_live(spark, state, KEYS, ORDER)) == _rows(batch)
 
 
-def test_stream_documents_incremental(spark, scratch):
-    src, out, ck = f"{scratch}/stage", f"{scratch}/landed", f"{scratch}/ck"
-    os.makedirs(src)
-    with open(f"{src}/EARNINGS_SYM001_2026Q1.pdf", "w") as fh:
-        fh.write("first")
-    with open(f"{src}/skip.txt", "w") as fh:
-        fh.write("no")
-    docstream.stream_documents(spark, src, out, ck)
-    with open(f"{src}/EARNINGS_SYM042_2025Q4.PDF", "w") as fh:
-        fh.write("second")
-    docstream.stream_documents(spark, src, out, ck)
-    got = sorted((r["file_name"], r["symbol"], r["fiscal_period"], r["parsed_text"])
-                 for r in spark.read.parquet(out).collect())
-    assert got == [("EARNINGS_SYM001_2026Q1.pdf", "SYM001", "2026Q1", "first"),
-                   ("EARNINGS_SYM042_2025Q4.PDF", "SYM042", "2025Q4", "second")]
+def test_new_checkpoint_on_an_old_state_loses_nothing(spark, scratch):
+    """A stream that starts over counts its epochs from 0 again, in a folder of its own."""
+    changes = adapter.customers(spark, "/root/testdata/sf0.001").cache()
+    state = f"{scratch}/state"
+    for part in range(3):
+        src = f"{scratch}/src{part}"
+        changes.filter(F.col("customer_id") % 3 == part).repartition(3).write.parquet(src)
+        changefeed.stream_apply(spark, src, schemas.CUSTOMERS, KEYS, ORDER, state, f"{scratch}/ck{part}", max_files_per_trigger=1)
+    want = _rows(cdc.live_view(cdc.apply_changes(None, changes, KEYS, ORDER)))
+    assert _rows(changefeed.read_live(spark, state, KEYS, ORDER)) == want
+    assert changefeed.compact(spark, state, KEYS, ORDER) >= 3
+    assert _rows(changefeed.read_live(spark, state, KEYS, ORDER)) == want
+    changefeed.compact(spark, state, KEYS, ORDER)
+    assert _rows(changefeed.read_live(spark, state, KEYS, ORDER)) == want
+    changes.unpersist()
+
+
+def test_state_faults_are_raised(spark, scratch):
+    with pytest.raises(FileNotFoundError):
+        changefeed.read_state(spark, f"{scratch}/nothing", KEYS, ORDER)
+    os.makedirs(f"{scratch}/bad/run=x/epoch=0")
+    with open(f"{scratch}/bad/run=x/epoch=0/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        changefeed.read_state(spark, f"{scratch}/bad", KEYS, ORDER).count()
+
+
+def test_sync_takes_new_and_changed_files(spark, scratch):
+    src, out = f"{scratch}/stage", f"{scratch}/landed"
+    os.makedirs(f"{src}/sub")
+
+    def put(name, data, when):
+        with open(f"{src}/{name}", "wb") as f:
+            f.write(data)
+        os.utime(f"{src}/{name}", (when, when))
+
+    def landed():
+        return sorted((r.path.rsplit("/stage/", 1)[1], r.symbol, r.parsed_text, r.error) for r in docstream.current_documents(spark, out).collect())
+
+    put("EARNINGS_SYM001_2026Q1.pdf", b"first", 1_700_000_000)
+    put("skip.txt", b"no", 1_700_000_000)
+    assert docstream.sync_documents(spark, src, out) == 1
+    assert docstream.sync_documents(spark, src, out) == 0
+    put("sub/EARNINGS_SYM001_2026Q1.pdf", b"same name", 1_700_000_100)
+    put("EARNINGS_SYM001_2026Q1.pdf", b"second", 1_700_000_200)          # rewritten in place
+    put("old.PDF", b"\xff\xfe%PDF", 1_600_000_000)                       # late, with an old time, and binary
+    assert docstream.sync_documents(spark, src, out) == 3
+    assert landed() == [("EARNINGS_SYM001_2026Q1.pdf", "SYM001", "second", None), ("old.PDF", None, None, "not UTF-8 text"),
+                        ("sub/EARNINGS_SYM001_2026Q1.pdf", "SYM001", "same name", None)]
+    assert docstream.sync_documents(spark, src, out) == 0
