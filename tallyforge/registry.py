@@ -7,17 +7,21 @@ limit is the feature (top-k search).
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
+import time
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import oracle as O
 from .operators import cdc, governance, quality, reports, search, signals
 from .plans import build, marts, semantic, staging
-from .session import materialize
-from .sources import adapter, documents
+from .session import hadoop_path, materialize, scratch_root
+from .sources import adapter, documents, sinks
 
 AS_OF = O.AS_OF
 
@@ -580,22 +584,18 @@ def q_transcript_signals_common_words(spark, sf_dir):
                                 _ingested_at DESC NULLS LAST) AS rn FROM b_customers)
 WHERE rn = 1 AND coalesce(_deleted, FALSE) = FALSE"""))
 def q_cdc_stream_apply(spark, sf_dir):
-    """The customer change feed landed as two files (later updates first, then
-    the initial load) and applied by the streaming job; must equal the batch."""
-    import uuid
-
-    from .session import scratch_root
+    """The customer change feed in two deliveries (later updates first, then the initial
+    load), applied by two streams with checkpoints of their own; must equal the batch."""
     from .sources import schemas
     from .streaming import changefeed
     root = f"{scratch_root(spark)}/cdc_stream_apply-{uuid.uuid4().hex}"
     changes = adapter.customers(spark, sf_dir)
     cut = F.lit("2024-02-01").cast("timestamp_ntz")
-    changes.filter(F.col("updated_at") >= cut).coalesce(1).write.parquet(f"{root}/landing/part1")
-    changes.filter(F.col("updated_at") < cut).coalesce(1).write.parquet(f"{root}/landing/part2")
     keys, order = "customer_id", ["updated_at", "_ingested_at"]
-    # one file per micro-batch: the later updates are applied before the initial load
-    changefeed.stream_apply(spark, f"{root}/landing/*", schemas.CUSTOMERS, keys, order,
-                            f"{root}/state", f"{root}/checkpoint", max_files_per_trigger=1)
+    for part, rows in (("late", F.col("updated_at") >= cut), ("early", F.col("updated_at") < cut)):
+        changes.filter(rows).write.parquet(f"{root}/landing/{part}")
+        changefeed.stream_apply(spark, f"{root}/landing/{part}", schemas.CUSTOMERS, keys, order,
+                                f"{root}/state", f"{root}/checkpoint-{part}", max_files_per_trigger=64)
     return changefeed.read_live(spark, f"{root}/state", keys, order)
 
 
@@ -621,3 +621,215 @@ def q_aum_by_segment_sql(spark, sf_dir):
     view = semantic.investors_view(Silver(spark, sf_dir).investor_360).create_view("investors_sv_sql")
     return spark.sql(f"SELECT investor_segment, count(investor_id) AS investor_count, sum(aum) AS total_aum "
                      f"FROM {view} GROUP BY investor_segment")
+
+
+# ------------------------------------------- builds, landings, history, lookups
+
+def _with_severity(level: str) -> dict:
+    return {m: [replace(t, severity=level) for t in tests] for m, tests in build.MODEL_TESTS.items()}
+
+
+_STATUS_SQL = f"""
+, dq AS ({_dq_tests_sql(build.MODEL_TESTS)})
+, per AS (SELECT model, CAST(count(*) AS INTEGER) AS tests_run, CAST(count(*) FILTER (failures > 0) AS INTEGER) AS tests_failed
+          FROM dq GROUP BY model)
+, edges(model, up) AS (VALUES {", ".join(f"('{m}', '{u}')" for m, ups in build.DEPENDS_ON.items() for u in ups)})
+, s1 AS (SELECT model FROM edges WHERE up IN (SELECT model FROM per WHERE tests_failed > 0))
+, s2 AS (SELECT model FROM s1 UNION SELECT model FROM edges WHERE up IN (SELECT model FROM s1))
+SELECT model, CASE WHEN model IN (SELECT model FROM s2) THEN 'skipped' WHEN tests_failed > 0 THEN 'failed_tests' ELSE 'success' END AS status,
+       CASE WHEN model IN (SELECT model FROM s2) THEN 0 ELSE tests_run END AS tests_run,
+       CASE WHEN model IN (SELECT model FROM s2) THEN 0 ELSE tests_failed END AS tests_failed
+FROM per"""
+
+
+def _build(spark, sf_dir, **options):
+    name = uuid.uuid4().hex
+    return f"build_{name}", build.build(spark, adapter.bronze(spark, sf_dir), sink=f"{scratch_root(spark)}/builds/{name}",
+                                        as_of=O.AS_OF, schema=f"build_{name}", **options)
+
+
+@register("gated_build_report", O.with_ctes_and(_STATUS_SQL))
+def q_gated_build_report(spark, sf_dir):
+    """The build over the given tables: their broken references and repeated ids gate the gold models."""
+    return build.build_report(spark, _build(spark, sf_dir)[1])
+
+
+@register("gold_tables", _q("""SELECT 'investor_360' AS model, count(*) AS n, CAST(sum(assets_under_management) AS DECIMAL(38,2)) AS total FROM investor_360
+UNION ALL SELECT 'portfolio_risk', count(*), sum(gross_exposure) FROM portfolio_risk
+UNION ALL SELECT 'investor_risk', count(*), sum(portfolio_gross_exposure) FROM investor_risk"""))
+def q_gold_tables(spark, sf_dir):
+    """The gold models as catalog tables of their layer (tests that only warn), read back by name."""
+    layer, _ = _build(spark, sf_dir, tests=_with_severity("warn"))
+    measure = {"investor_360": "assets_under_management", "portfolio_risk": "gross_exposure", "investor_risk": "portfolio_gross_exposure"}
+    parts = [spark.table(sinks.table_name("marts", m, layer)).agg(F.count(F.lit(1)).alias("n"), F.sum(c).cast("decimal(38,2)").alias("total"))
+             .select(F.lit(m).alias("model"), "n", "total") for m, c in measure.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@register("documents_landed", _q("SELECT file_name, symbol, fiscal_period, parsed_text FROM transcripts_raw WHERE file_name ILIKE '%.pdf'"))
+def q_documents_landed(spark, sf_dir):
+    """Truncate-and-load: the second load replaces the first."""
+    path = f"{scratch_root(spark)}/documents_landed-{uuid.uuid4().hex}"
+    stage = adapter.document_stage(spark, sf_dir)
+    documents.land_documents(stage, path, pattern="%.txt")
+    documents.land_documents(stage, path)
+    return spark.read.parquet(path).select("file_name", "symbol", "fiscal_period", "parsed_text")
+
+
+@register("dq_metric_history", _q("""
+SELECT t.measured_at, m.* FROM (VALUES (TIMESTAMP '2026-01-01 00:00:00'), (TIMESTAMP '2026-01-01 01:00:00')) AS t(measured_at), (
+  SELECT 'investor_360' AS "table", 'negative_aum' AS metric, 'assets_under_management' AS "column",
+         count(*) FILTER (assets_under_management < 0) AS value FROM investor_360
+  UNION ALL SELECT 'investor_360', 'null_email', 'email', count(*) FILTER (email IS NULL) FROM investor_360) m"""))
+def q_dq_metric_history(spark, sf_dir):
+    """Two metric runs; their results accumulate with the time of measurement."""
+    path = f"{scratch_root(spark)}/dq_metric_history-{uuid.uuid4().hex}"
+    specs = [m for m in DQ_METRICS["investor_360"] if m.name != "dup_investor_id"]
+    found = materialize(quality.metrics(Silver(spark, sf_dir).investor_360(), specs, "investor_360"), "metrics")
+    for hour in range(2):
+        quality.append_results(found, path, dt.datetime(2026, 1, 1, hour))
+    return spark.read.parquet(path)
+
+
+def _customers_masked(spark, sf_dir, role):
+    own = adapter.customers(spark, sf_dir).select("customer_id", "updated_at", "first_name", "last_name", "email", "country")
+    return governance.apply_masking(governance.tag_pii(own, governance.INVESTOR_TAGS, governance.INVESTOR_PII), role)
+
+
+@register("customers_masked_analyst", _q("""SELECT customer_id, updated_at, '****MASKED****' AS first_name, '****MASKED****' AS last_name,
+       regexp_replace(email, '^[^@]+', '****') AS email, country FROM b_customers"""))
+def q_customers_masked_analyst(spark, sf_dir):
+    return _customers_masked(spark, sf_dir, "analyst")
+
+
+@register("customers_masked_admin", _q("SELECT customer_id, updated_at, first_name, last_name, email, country FROM b_customers"))
+def q_customers_masked_admin(spark, sf_dir):
+    return _customers_masked(spark, sf_dir, "admin")
+
+
+@register("column_tags", O.with_ctes_and(f"""
+, found AS ({_classify_sql("b_customers", _CUSTOMER_STRING_COLS)})
+SELECT "column", 'semantic_category' AS tag, category AS value FROM found
+UNION ALL SELECT "column", 'privacy_category', privacy FROM found"""))
+def q_column_tags(spark, sf_dir):
+    """Tag lookup: the customer columns tagged by what their values are classified as."""
+    own = adapter.customers(spark, sf_dir)
+    found = governance.classify_columns(own, threshold=0.8).collect()          # a row per column at most
+    tagged = governance.tag_pii(own, {r["column"]: r["category"] for r in found})
+    return spark.createDataFrame(governance.tags(tagged), "column string, tag string, value string")
+
+
+@register("top_positions", _q("""SELECT row_number() OVER (ORDER BY gross_exposure DESC, investor_id, symbol) AS rank,
+       investor_id, symbol, gross_exposure FROM portfolio_risk ORDER BY rank LIMIT 10"""))
+def q_top_positions(spark, sf_dir):
+    """ORDER BY .. LIMIT 10 with the place of each row."""
+    top = (Silver(spark, sf_dir).portfolio(False).select("investor_id", "symbol", "gross_exposure")
+           .orderBy(F.col("gross_exposure").desc(), "investor_id", "symbol").limit(10))
+    place = F.row_number().over(Window.orderBy(F.col("gross_exposure").desc(), "investor_id", "symbol"))   # over ten rows
+    return top.select(place.cast("long").alias("rank"), "investor_id", "symbol", "gross_exposure")
+
+
+# ------------------------------------------------------- search as a service
+
+def _search_sql(body: str, k: int) -> str:
+    ranked = _bm25_sql(k).replace("SELECT t.query_id, t.rank, e.file_name", ", ranked AS (SELECT t.query_id, t.rank, e.path, e.fiscal_period, e.file_name")
+    return f"{ranked})\n{body}"
+
+
+@register("search_request", O.with_ctes_and(_search_sql("""SELECT rank, path, score, symbol, fiscal_period FROM ranked
+WHERE query_id = (SELECT min(item_id) FROM benchmark)""", 5)))
+def q_search_request(spark, sf_dir):
+    """One request {query, columns, limit}: the text of the first benchmark item."""
+    text = adapter.read_table(spark, sf_dir, "benchmark").orderBy("item_id").select("text").first()["text"]   # one row
+    raw = Silver(spark, sf_dir).transcripts_raw()
+    out = search.search(raw, text, columns=("symbol", "fiscal_period"), limit=5, id_col="path", text_col="parsed_text")
+    return out.select(F.col("rank").cast("long").alias("rank"), "path", "score", "symbol", "fiscal_period")
+
+
+@register("search_results_json", O.with_ctes_and(_search_sql("SELECT query_id, file_name, symbol FROM ranked", 3)))
+def q_search_results_json(spark, sf_dir):
+    """Every query's results as one JSON document, flattened back into rows."""
+    raw = Silver(spark, sf_dir).transcripts_raw()
+    top = search.bm25_topk(raw, adapter.read_table(spark, sf_dir, "benchmark"), k=3, id_col="path", text_col="parsed_text",
+                           qid_col="item_id", columns=("file_name", "symbol"))
+    return search.flatten_results(search.results_json(top, ["file_name", "symbol"]), "file_name string, symbol string")
+
+
+@register("search_index_filtered", O.with_ctes_and(_bm25_sql(3, "sentiment = 'positive'").replace(
+    "e.symbol, e.sentiment", "e.symbol, e.fiscal_period, e.sentiment, e.summary")))
+def q_search_index_filtered(spark, sf_dir):
+    """The refreshed index with its attributes: built in two deliveries, the first of them
+    delivered again, asked with a filter on an attribute."""
+    from .streaming import documents as docstream
+    root = f"{scratch_root(spark)}/search_index-{uuid.uuid4().hex}"
+    docs = signals.stg_earnings_transcripts(Silver(spark, sf_dir).transcripts_raw()).withColumn("modified_at", F.col("loaded_at"))
+    docs = materialize(docs, "indexed_documents")
+    for part in (docs.filter("symbol IS NOT NULL"), docs.filter("symbol IS NOT NULL"), docs):
+        docstream.refresh_index(spark, part, root)
+    top = search.bm25_topk_index(docstream.read_index(spark, root), adapter.read_table(spark, sf_dir, "benchmark"), k=3,
+                                 qid_col="item_id", filters="sentiment = 'positive'",
+                                 columns=("file_name", "symbol", "fiscal_period", "sentiment", "summary"))
+    return top.select("query_id", F.col("rank").cast("long").alias("rank"), "file_name", "score", "symbol", "fiscal_period",
+                      "sentiment", "summary")
+
+
+_NEIGHBOURS_SQL = """
+WITH e AS (SELECT 'v' || vec_id AS id, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)
+, n AS (SELECT id, sqrt(sum(CAST(x AS DOUBLE) * x)) AS len FROM e GROUP BY id)
+, dots AS (SELECT q.id AS query_id, c.id AS vec_id, sum(CAST(q.x AS DOUBLE) * CAST(c.x AS DOUBLE)) AS dot
+           FROM e q JOIN e c ON c.pos = q.pos WHERE q.vec_id % 50 = 0 GROUP BY ALL)
+, scored AS (SELECT query_id, vec_id, round(dot / (a.len * b.len), 6) AS score
+             FROM dots JOIN n a ON a.id = query_id JOIN n b ON b.id = vec_id WHERE a.len > 0 AND b.len > 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id ASC) AS rank FROM scored) WHERE rank <= 5"""
+
+
+@register("cosine_neighbours", _NEIGHBOURS_SQL)
+def q_cosine_neighbours(spark, sf_dir):
+    """The 5 nearest vectors of every vector whose id is divisible by 50; string ids."""
+    emb = adapter.read_table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("id"), "vec_id", "embedding")
+    queries = emb.filter("vec_id % 50 = 0").select(F.col("id").alias("query_id"), "embedding")
+    out = search.cosine_topk(emb, queries, k=5, id_col="id").withColumnRenamed("id", "vec_id")
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+# ----------------------------------------------------------- document sync
+
+def _deliver(spark, rows: DataFrame, folder: str, bucket: str) -> None:
+    """Write the rows as one file per value of ``bucket``, under a fixed name: a second
+    delivery rewrites the file in place."""
+    work = f"{folder}-{uuid.uuid4().hex}"
+    rows.repartition(bucket).write.partitionBy(bucket).text(work)
+    fs, root = hadoop_path(spark, work)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(folder))
+    for found in fs.globStatus(path(f"{work}/{bucket}=*/part-*")):
+        name = found.getPath().getParent().getName().split("=")[1]
+        target = path(f"{folder}/batch_{name}.pdf")
+        fs.delete(target, False)
+        fs.rename(found.getPath(), target)
+
+
+@register("docs_sync", """SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 'changed ' ELSE '' END || source AS source, n_chars FROM documents""")
+def q_docs_sync(spark, sf_dir):
+    """Files of document rows, new, delivered again without change and rewritten in place:
+    after three runs the newest version of each is landed once."""
+    from .streaming import documents as docstream
+    root = f"{scratch_root(spark)}/docs_sync-{uuid.uuid4().hex}"
+    docs = adapter.read_table(spark, sf_dir, "documents")
+    files = 3 * (1 + docs.count() // 30_000)       # a file holds about 10,000 rows
+
+    def lines(rows: DataFrame, mark: str = "") -> DataFrame:
+        return rows.select(F.to_json(F.struct("doc_id", F.concat(F.lit(mark), "source").alias("source"), "n_chars")).alias("value"),
+                           F.pmod("doc_id", F.lit(files)).alias("bucket"))
+
+    _deliver(spark, lines(docs.filter("doc_id % 3 <> 2")), f"{root}/stage", "bucket")
+    docstream.sync_documents(spark, f"{root}/stage", f"{root}/landed")
+    docstream.sync_documents(spark, f"{root}/stage", f"{root}/landed")
+    time.sleep(1.1)                                # file times may be whole seconds
+    _deliver(spark, lines(docs.filter("doc_id % 3 = 1"), "changed ").unionByName(lines(docs.filter("doc_id % 3 = 2"))), f"{root}/stage", "bucket")
+    docstream.sync_documents(spark, f"{root}/stage", f"{root}/landed")
+    row = F.from_json("line", "doc_id long, source string, n_chars long")
+    return (docstream.current_documents(spark, f"{root}/landed").select(F.explode(F.split("parsed_text", "\n")).alias("line"))
+            .filter("line <> ''").select(row.alias("r")).select("r.*"))
