@@ -36,10 +36,11 @@ def main(argv=None) -> int:
             print(name)
         return 0
 
-    from .session import get_spark
+    from .session import clean_scratch, get_spark
     spark = get_spark(args.master or ("local[*]" if "pyspark.shell" not in sys.modules else None))
     if args.cmd == "query":
         registry.queries()[args.name](spark, args.sf_dir).show(args.rows, truncate=False)
+        clean_scratch(spark)
         return 0
 
     from .plans import build
@@ -50,6 +51,7 @@ def main(argv=None) -> int:
     for model, test, column, failures, severity in result.tests:
         if failures:
             print(f"FAIL {model}.{test}({column}) failures={failures} [{severity}]")
+    clean_scratch(spark)
     return 0 if all(s == "success" for s in result.status.values()) else 1
 
 

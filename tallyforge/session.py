@@ -80,6 +80,17 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name for stored intermediates of this application."""
+    return f"{scratch_root(spark)}/materialized/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the intermediates this application has stored. Call it when no
+    DataFrame made so far will be read again, at the end of a job."""
+    remove_path(spark, f"{scratch_root(spark)}/materialized/{spark.sparkContext.applicationId}")
+
+
 def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` once under the shared scratch root and read it back.
 
@@ -89,7 +100,7 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     scans prune columns and push filters.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/materialized/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
 

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tallyforge.session import get_spark  # noqa: E402
+from tallyforge.session import clean_scratch, get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,6 +16,7 @@ def spark():
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tf-tests-"))
     yield s
+    clean_scratch(s)
     s.stop()
 
 
