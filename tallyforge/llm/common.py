@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import remove_path, scratch_root
+
 # Text that one numpy pass inside a task works on at most (one longer document
 # is a pass of its own): bounds the working memory of a Python worker.
-SLICE_BYTES = 4 << 20
-SLICE_ROWS = 2048
+SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,3 +75,43 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each uint64 hash may be in the bitmap."""
     top = hashes >> np.uint64(64 - (6 + len(bitmap).bit_length() - 1))
     return (bitmap[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1) == 1
+
+
+# Bits of the bitmaps that keep rows out of joins: 2 MB, whatever the tables' sizes.
+FILTER_BITS = 24
+
+
+def anti_join(docs: DataFrame, key: Column, dropped: DataFrame, dropped_key: str, condition: Column) -> DataFrame:
+    """Rows of ``docs`` (aliased ``docs`` in ``condition``) without a match in ``dropped``.
+
+    A bitmap of the dropped keys lets the rows that certainly stay pass where they
+    are; only the others, the dropped ones and a few more, go through the exact
+    join. So a filter that drops a tenth of the documents moves a tenth of the
+    texts. ``key`` and ``dropped_key`` are 64-bit hashes of what is matched.
+    """
+    bitmap = hash_bitmap(dropped, dropped_key, FILTER_BITS)
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64).view(np.uint64)))
+
+    flagged = maybe(key)
+    possible = docs.filter(flagged).alias("docs").join(dropped, condition, "left_anti")
+    return docs.filter(~flagged).unionByName(possible)
+
+
+class Scratch:
+    """Tables of one computation, in one folder below the shared scratch root; they are
+    read again from there, so a lost executor costs no earlier stage."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, f"{scratch_root(spark)}/materialized/{name}-{uuid.uuid4().hex}"
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def remove(self) -> None:
+        """Delete the folder; nothing may read its tables any more."""
+        remove_path(self.spark, self.root)

@@ -11,27 +11,29 @@ into the values of two coordinates chosen by the path. Nodes of at most
 similarity s survives a level with probability 1 - (1 - s)**2, and TREES
 independent trees bring the miss of a pair at the threshold below one in 10**8.
 Before full sets are fetched, the documents of a node are screened with sketches
-of 64 further coordinates: a pair at the threshold agrees in 48 of them on
-average, and in fewer than 27 with a probability below one in 10**8; a document
+of 256 further coordinates: a pair at the threshold agrees in 192 of them on
+average, and in fewer than 150 with a probability below one in 10**8; a document
 whose every pair does is not compared. Exact copies are one document to the trees.
 
 Scale and skew:
 
-* ids alone move until a node is known to hold more than one document, then 128
+* ids alone move until a node is known to hold more than one document, then 256
   bytes each; full sets are recomputed for the documents that pass the screen only;
-* the first tree runs alone; in the others a node whose documents are already in
-  one component is closed, so a large group of near copies is compared once;
-* a node too large to compare whose documents do not part (a large group of near
-  copies) is dealt into chunks that share landmark documents; what the
-  landmarks leave outside the node's main component is compared with all
-  documents of the node, in blocks. No link between components is given up;
+* the first tree runs alone and finds the bulk of the components: its large nodes
+  are dealt into chunks that share landmark documents;
+* in the other trees a node whose documents are already in one component is
+  closed, so a large group of near copies is compared once; of a node that is
+  still too large, the few documents outside its main component are compared
+  with all of its documents, in blocks, or it branches. No link between
+  components is given up;
 * no group of unbounded size meets in a task, and no link leaves the cluster.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,22 +41,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .common import hash_bitmap, in_bitmap, slices
+from .common import FILTER_BITS, Scratch, anti_join, hash_bitmap, in_bitmap, slices
 from .graph import components
 
 SHINGLE_WORDS = 5
 PERCENT = 75                # link when 100 * intersection >= PERCENT * union
 TREES = 8                   # independent trees of two coordinates at the root
 SPARE = 8                   # further coordinates that deeper levels choose from as well
-NODE_DOCS = 512             # a node of so many documents is compared exhaustively
-SKETCH = 64                 # coordinates of the screening sketch, 16 bits each
-SKETCH_MATCHES = 27         # pairs that agree in fewer are not compared
-LEVELS = 6                  # levels below the root before a large node is dealt into chunks
+NODE_DOCS = 1024            # a node of so many documents is compared exhaustively
+SKETCH = 256                # coordinates of the screening sketch, 8 bits each
+SKETCH_MATCHES = 150        # pairs that agree in fewer are not compared
+LEVELS = 6                  # levels below the root after which a large node is compared in blocks
 DENSE = 0.7                 # share of one child from which a node counts as not parting
 LANDMARKS = 64
-FILTER_BITS = 24
-MEMO = 400_000
+MEMO = 100_000
+
+Store = Callable[[DataFrame, str], DataFrame]
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -99,7 +101,7 @@ class Shingler:
         return np.unique(h ^ (h >> np.uint64(32)))
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, id_col: str, text_col: str, store: Store) -> DataFrame:
     """doc_id, n_shingles, set_key (digest of the whole set; null for an empty one), the
     minwise token of every coordinate and the sketch. Map-only, written once."""
     paths = 2 * TREES + SPARE
@@ -118,15 +120,15 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         sketch.append(None)
                         continue
                     # the least of each permutation, in blocks that stay in the cache
-                    least = np.min([(s[i:i + 512, None] * a + b).min(axis=0) for i in range(0, len(s), 512)], axis=0)
+                    least = np.min([(s[i:i + 256, None] * a + b).min(axis=0) for i in range(0, len(s), 256)], axis=0)
                     mins.append(least[:paths].view(np.int64))
-                    sketch.append((least[paths:] * _MULTIPLIER >> np.uint64(48)).astype("<u2").tobytes())
+                    sketch.append((least[paths:] * _MULTIPLIER >> np.uint64(56)).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                      pa.array(mins, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                     ["doc_id", "n_shingles", "set_key", "mins", "sketch"])
 
-    return materialize(_named(docs, id_col, text_col).mapInArrow(
+    return store(_named(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, n_shingles long, set_key binary, mins array<long>, sketch binary"), "sketches")
 
 
@@ -155,7 +157,7 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> D
 
 # ------------------------------------------------------------------- nodes
 
-def _sized(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _sized(nodes: DataFrame, labels: DataFrame | None, store: Store) -> DataFrame:
     """Rows (node, id, component, size) of nodes with at least two documents that are
     not all in one component."""
     if labels is not None:
@@ -163,9 +165,14 @@ def _sized(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
             "node", "id", F.coalesce("component", "id").alias("component"))
     else:
         nodes = nodes.withColumn("component", F.col("id"))
+    return _several(nodes, store)
+
+
+def _several(nodes: DataFrame, store: Store) -> DataFrame:
+    """Rows of the nodes that hold several components, with the node's size."""
     sizes = (nodes.groupBy(F.col("node").alias("n")).agg(F.count("*").alias("size"), F.min("component").alias("low"),
                                                        F.max("component").alias("high")).filter("low < high").select("n", "size"))
-    return materialize(nodes.join(sizes, F.col("node") == F.col("n")).drop("n"), "nodes")
+    return store(nodes.join(sizes, F.col("node") == F.col("n")).drop("n"), "nodes")
 
 
 def _chunks(size: Column, docs: int) -> Column:
@@ -193,7 +200,7 @@ def _outside_main(rows: DataFrame) -> DataFrame:
 def _rest_against_all(rows: DataFrame) -> DataFrame:
     """Blocks of the documents outside the main component, each with every chunk of the
     node's documents."""
-    blocks, chunks = _chunks(F.col("rest"), NODE_DOCS // 4), _chunks(F.col("size"), NODE_DOCS // 2)
+    blocks, chunks = _chunks(F.col("rest"), NODE_DOCS), _chunks(F.col("size"), NODE_DOCS // 2)
     zero = F.lit(0).cast("long")
     member = rows.withColumn("chunk", F.pmod(F.xxhash64("node", "id"), chunks)).select(
         "node", "id", "component", "chunk", F.explode(F.sequence(zero, blocks - 1)).alias("block"))
@@ -202,8 +209,8 @@ def _rest_against_all(rows: DataFrame) -> DataFrame:
     return member.union(outside).select(F.xxhash64("node", "chunk", "block").alias("node"), "id", "component").distinct()
 
 
-def _branch(large: DataFrame, mins: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of the children, rows of nodes that do not part)."""
+def _branch(large: DataFrame, mins: DataFrame, level: int, store: Store) -> tuple[DataFrame, DataFrame]:
+    """(rows of the children, nodes that do not part)."""
     n = 2 * TREES + SPARE
     first = F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(n)).cast("int")
     second = F.pmod(first + 1 + F.pmod(F.xxhash64(F.lit(level), F.lit("second"), "node"), F.lit(n - 1)), F.lit(n)).cast("int")
@@ -211,66 +218,65 @@ def _branch(large: DataFrame, mins: DataFrame, level: int) -> tuple[DataFrame, D
         "node", "id", "component", "size",
         F.explode(F.array(*[F.struct(c.alias("c"), F.get(F.col("mins"), c).alias("v")) for c in (first, second)])).alias("x")).select(
         "node", "id", "component", "size", F.xxhash64("node", "x.c", "x.v").alias("child"), F.col("x.c").alias("c"))
-    rows = materialize(rows, "children")
+    rows = store(rows, "children")
     sizes = rows.groupBy("node", "c", "child").agg(F.count("*").alias("docs"), F.first("size").alias("size"))
     dense = (sizes.groupBy("node", "c").agg((F.max("docs") >= DENSE * F.first("size")).alias("same"))
              .groupBy(F.col("node").alias("d")).agg(F.bool_and("same").alias("dense")).filter("dense").select("d"))
-    parting = rows.join(dense, F.col("node") == F.col("d"), "left_anti").select(F.col("child").alias("node"), "id", "component").distinct()
-    return parting, large.join(dense, F.col("node") == F.col("d"), "left_semi")
+    dense = store(dense, "dense")
+    return rows.join(dense, F.col("node") == F.col("d"), "left_anti").select(F.col("child").alias("node"), "id", "component"), dense
+
+
+def _first_nodes(sized: DataFrame) -> DataFrame:
+    """Nodes of bounded size for the first tree: small nodes whole, large ones in chunks
+    that share landmarks. It finds the bulk of the components; the other trees lose
+    nothing by what it misses."""
+    small = sized.filter(F.col("size") <= NODE_DOCS).select("node", "id", "component")
+    return small.union(_with_landmarks(sized.filter(F.col("size") > NODE_DOCS)))
 
 
-def _small_nodes(sized: DataFrame, mins: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Nodes of bounded size that cover every pair to compare: (node, id, component)."""
+def _small_nodes(sized: DataFrame, mins: DataFrame, store: Store) -> DataFrame:
+    """Nodes of bounded size, (node, id, component), that cover every pair of documents of
+    different components: small nodes whole; of large ones the few documents
+    outside the main component with all; else their branches."""
     columns = ["node", "id", "component"]
-    ready = [sized.filter(F.col("size") <= NODE_DOCS).select(*columns)]
-    large = sized.filter(F.col("size") > NODE_DOCS)
+    ready = []
     for level in range(LEVELS + 1):
+        ready.append(sized.filter(F.col("size") <= NODE_DOCS).select(*columns))
+        large = sized.filter(F.col("size") > NODE_DOCS)
         if large.isEmpty():
             break
-        if labels is not None:                       # what few documents lie outside the main component
-            split = materialize(_outside_main(large), "nodes")
-            ready.append(_rest_against_all(split.filter((F.col("rest") <= NODE_DOCS) | F.lit(level == LEVELS))))
-            large = split.filter(F.col("rest") > NODE_DOCS).drop("main", "rest")
-        elif level == LEVELS:
-            ready.append(_with_landmarks(large))
-        if level == LEVELS:
+        split = store(_outside_main(large), "nodes")
+        last = F.lit(level == LEVELS)
+        ready.append(_rest_against_all(split.filter((F.col("rest") <= NODE_DOCS) | last)))
+        large = split.filter((F.col("rest") > NODE_DOCS) & ~last)
+        if level == LEVELS or large.isEmpty():
             break
-        children, dense = _branch(large, mins, level)
-        if labels is None:
-            ready.append(_with_landmarks(dense))
-        elif not dense.isEmpty():
-            ready.append(_rest_against_all(_outside_main(dense)))
-        sizes = (children.groupBy(F.col("node").alias("n")).agg(F.count("*").alias("size"), F.min("component").alias("low"),
-                                                              F.max("component").alias("high")).filter("low < high").select("n", "size"))
-        sized = materialize(children.join(sizes, F.col("node") == F.col("n")).drop("n"), "nodes")
-        ready.append(sized.filter(F.col("size") <= NODE_DOCS).select(*columns))
-        large = sized.filter(F.col("size") > NODE_DOCS)
-    out = ready[0]
-    for more in ready[1:]:
-        out = out.union(more)
-    return out
+        children, dense = _branch(large.drop("main", "rest"), mins, level, store)
+        ready.append(_rest_against_all(large.join(dense, F.col("node") == F.col("d"), "left_semi")))
+        sized = _several(children, store)
+    return functools.reduce(DataFrame.union, ready)
 
 
 # ----------------------------------------------------------------- compare
 
-def shared_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+def shared_counts(sets: list[np.ndarray], columns: int = 1024) -> np.ndarray:
     """Intersection sizes of all pairs of sorted sets, exact: an incidence matrix over the
     tokens that occur twice or more, multiplied in blocks of columns."""
     sizes = [len(s) for s in sets]
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     tokens, where, counts = np.unique(flat, return_inverse=True, return_counts=True)
     number = np.cumsum(counts > 1) - 1
     often = counts[where] > 1
     owner, column = owner[often], number[where[often]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    out = np.zeros((len(sets), len(sets)), np.float64)
+    out = np.zeros((len(sets), len(sets)), np.float32)      # exact: counts stay far below 2**24
     for begin in range(0, int(number[-1]) + 1 if len(number) else 0, columns):
         low, high = np.searchsorted(column, [begin, begin + columns])
         m = np.zeros((len(sets), columns), np.float32)
         m[owner[low:high], column[low:high] - begin] = 1
         out += m @ m.T
-    return np.rint(out).astype(np.int64)
+    return out.astype(np.int32)
 
 
 def node_links(ids: np.ndarray, known: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -278,13 +284,17 @@ def node_links(ids: np.ndarray, known: np.ndarray, sets: list[np.ndarray], perce
     confirmed links between different components."""
     n = np.array([len(s) for s in sets])
     both = shared_counts(sets)
-    linked = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (known[:, None] != known[None, :])
-    label = ids.copy()
+    linked = np.zeros(both.shape, bool)
+    for i in range(len(sets)):
+        linked[i] = (100 * both[i].astype(np.int64) >= percent * (n[i] + n - both[i])) & (known != known[i])
+    del both
+    order = np.argsort(ids, kind="stable")          # labels are ranks of ids, 4 bytes each
+    label = np.empty(len(ids), np.int32)
+    label[order] = np.arange(len(ids), dtype=np.int32)
     while True:
-        near = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
-        new = np.minimum(label, near)
+        new = np.array([min(own, label[row].min()) if row.any() else own for own, row in zip(label, linked, strict=True)], np.int32)
         if (new == label).all():
-            return [(int(a), int(b)) for a, b in zip(ids, label, strict=True) if a != b]
+            return [(int(a), int(ids[order[b]])) for a, b in zip(ids, label, strict=True) if a != ids[order[b]]]
         label = new
 
 
@@ -292,12 +302,13 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple
     """(node, [(id, component, bytes)]) of rows sorted by node, one node at a time."""
     node, held = None, []
     for batch in batches:
-        for own, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if own != node:
-                if held:
-                    yield node, held
-                node, held = own, []
-            held.append(tuple(row))
+        for begin in range(0, batch.num_rows, 256):     # few rows at a time become Python objects
+            for own, *row in zip(*(c.to_pylist() for c in batch.slice(begin, 256).columns), strict=True):
+                if own != node:
+                    if held:
+                        yield node, held
+                    node, held = own, []
+                held.append(tuple(row))
     if held:
         yield node, held
 
@@ -310,7 +321,7 @@ def screen(known: np.ndarray, sketches: np.ndarray, matches: int = SKETCH_MATCHE
     return ((agree >= matches) & (known[:, None] != known[None, :])).any(axis=1)
 
 
-def _screened(nodes: DataFrame, mins: DataFrame) -> DataFrame:
+def _screened(nodes: DataFrame, mins: DataFrame, store: Store) -> DataFrame:
     """Rows (node, id, component) of documents that have a candidate in their node."""
     rows = nodes.join(mins.select(F.col("id").alias("sid"), "sketch"), F.col("id") == F.col("sid")).select("node", "id", "component", "sketch")
     dealt = rows.repartition("node").sortWithinPartitions("node", "id")
@@ -319,17 +330,17 @@ def _screened(nodes: DataFrame, mins: DataFrame) -> DataFrame:
         out: list[tuple[int, int, int]] = []
         for node, held in _groups(batches):
             known = np.array([h[1] for h in held])
-            keep = screen(known, np.stack([np.frombuffer(h[2], "<u2") for h in held]))
+            keep = screen(known, np.stack([np.frombuffer(h[2], np.uint8) for h in held]))
             out += [(node, h[0], h[1]) for h, k in zip(held, keep, strict=True) if k]
             if len(out) >= 10_000:
                 yield _columns(out, ["node", "id", "component"])
                 out = []
         yield _columns(out, ["node", "id", "component"])
 
-    return materialize(dealt.mapInArrow(run, "node long, id long, component long"), "candidates")
+    return store(dealt.mapInArrow(run, "node long, id long, component long"), "candidates")
 
 
-def _compare(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _compare(nodes: DataFrame, sets: DataFrame, percent: int, store: Store) -> DataFrame:
     """Confirmed links (a, b) of all nodes."""
     rows = nodes.join(sets.withColumnRenamed("id", "sid"), F.col("id") == F.col("sid")).select("node", "id", "component", "shingles")
     dealt = rows.repartition("node").sortWithinPartitions("node", "id")
@@ -344,7 +355,7 @@ def _compare(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 out = []
         yield _columns(out, ["a", "b"])
 
-    return materialize(dealt.mapInArrow(run, "a long, b long"), "links")
+    return store(dealt.mapInArrow(run, "a long, b long"), "links")
 
 
 def _columns(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -361,26 +372,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     represented by one id count as linked). An empty table gives no rows; other
     columns are ignored.
     """
-    found = sketches(docs, id_col, text_col)
-    copies = materialize(found.filter("set_key is not null and doc_id is not null").groupBy("set_key")
-                         .agg(F.min("doc_id").alias("id"), F.count("*").alias("n"),
-                              F.min_by(F.struct("mins", "sketch"), "doc_id").alias("own")), "copies")
+    spark = docs.sparkSession
+    result, work = Scratch(spark, "near-duplicates"), Scratch(spark, "near-duplicate-nodes")
+    found = sketches(docs, id_col, text_col, result.store)
+    copies = work.store(found.filter("set_key is not null and doc_id is not null").groupBy("set_key")
+                        .agg(F.min("doc_id").alias("id"), F.count("*").alias("n"),
+                             F.min_by(F.struct("mins", "sketch"), "doc_id").alias("own")), "copies")
     mins = copies.select("id", "own.mins", "own.sketch")
     labels = links = None
     for trees in (range(1), range(1, TREES)):
         roots = mins.select("id", F.explode(F.array(*[
-            F.xxhash64(F.lit(c), F.get("mins", F.lit(c))) for t in trees for c in (2 * t, 2 * t + 1)])).alias("node")).distinct()
-        nodes = _screened(_small_nodes(_sized(roots, labels), mins, labels), mins)
-        ids = materialize(nodes.select("id").distinct(), "node-ids")
+            F.xxhash64(F.lit(c), F.get("mins", F.lit(c))) for t in trees for c in (2 * t, 2 * t + 1)])).alias("node"))
+        sized = _sized(roots, labels, work.store)
+        nodes = _screened(_first_nodes(sized) if labels is None else _small_nodes(sized, mins, work.store), mins, work.store)
+        ids = work.store(nodes.select("id").distinct(), "node-ids")
         if ids.isEmpty():
             continue
-        new = _compare(nodes, _full_sets(docs, id_col, text_col, ids), percent)
+        new = _compare(nodes, _full_sets(docs, id_col, text_col, ids), percent, work.store)
         links = new if links is None else links.union(new)
-        labels = components(links)
+        labels = components(links, work.store)
     target = copies.filter("n > 1").select("set_key", "id") if labels is None else copies.join(
         labels.withColumnRenamed("id", "known"), F.col("id") == F.col("known"), "left").filter("n > 1 or component is not null").select(
         "set_key", F.coalesce("component", "id").alias("id"))
-    target = materialize(target.select(F.col("set_key").alias("k"), F.col("id").alias("target")), "components")
+    target = result.store(target.select(F.col("set_key").alias("k"), F.col("id").alias("target")), "components")
+    work.remove()
     joined = found.join(target, F.col("set_key") == F.col("k"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("target", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),
@@ -391,10 +406,11 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` with one document of each component, the one with the least id, and one
     of each set of rows that repeat both id and text. Rows with a null id stay.
     Columns are unchanged."""
-    judged = materialize(near_duplicates(docs, id_col, text_col, percent).select("doc_id", "kept"), "judged")
+    judged = Scratch(docs.sparkSession, "judged").store(
+        near_duplicates(docs, id_col, text_col, percent).select("doc_id", "kept"), "rows")
     key = F.col(f"docs.`{id_col}`").cast("long")
-    dropped = judged.filter("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    kept = docs.alias("docs").join(dropped, key == F.col("dropped_id"), "left_anti")
+    dropped = judged.filter("not kept").select(F.col("doc_id").alias("dropped_id"), F.xxhash64("doc_id").alias("dropped_key")).distinct()
+    kept = anti_join(docs, F.xxhash64(F.col(f"`{id_col}`").cast("long")), dropped, "dropped_key", key == F.col("dropped_id"))
     repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(
         F.col("doc_id").alias("repeated_id"))
     if repeated.isEmpty():
