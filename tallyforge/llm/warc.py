@@ -38,6 +38,8 @@ from ..session import materialize, scratch_root
 MIN_REVISIT_BYTES = 1000
 FILE_BYTES = 256 << 20        # an archive is closed beyond this size
 BLOCK_LINES = 512             # captures in one compressed block of the index
+LOOKUPS_A_TASK = 50_000       # captures a lookup task finds, on average
+FETCH_BYTES = 8 << 20         # compressed bytes a task reads back, on average
 RECORD_DATE = "2024-01-01T00:00:00Z"   # the tables carry no crawl time
 
 
@@ -290,7 +292,9 @@ def lookup(urls: DataFrame, index: DataFrame, folder: str, url_col: str = "url")
 
     routed = urls.select(F.col(url_col).cast("string").alias("url")).distinct().select(route("url").alias("r"))
     found = routed.select("r.query", F.explode("r.files").alias("index_file")).distinct()
-    dealt = found.select("index_file", "query").repartition("index_file", F.xxhash64("query") % 16).sortWithinPartitions("index_file", "query")
+    # AQE would join the few bytes of many queries into one task; their lookups are the work
+    tasks = 1 + (index.agg(F.sum("lines")).first()[0] or 0) // LOOKUPS_A_TASK
+    dealt = found.select("index_file", "query").repartition(tasks, "index_file", F.xxhash64("query") % 16).sortWithinPartitions("index_file", "query")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[str, Index | None] = ("", None)
@@ -320,8 +324,10 @@ def fetch(captures: DataFrame, folder: str, with_payload: bool = False) -> DataF
     """Read and verify the records of captures: page_id, url, record_type,
     payload_bytes, payload_digest, refers_to and, on request, payload (null for
     revisits). Captures of one archive are read in order of offset; a large
-    archive's captures are dealt to several tasks by ranges of 16 MB."""
-    spread = captures.select("file", "offset", "length").repartition("file", F.shiftright("offset", 24)).sortWithinPartitions("file", "offset")
+    archive's captures are dealt to several tasks by ranges of 4 MB."""
+    rows = materialize(captures.select("file", "offset", "length"), "warc-fetch")
+    tasks = 1 + (rows.agg(F.sum("length")).first()[0] or 0) // FETCH_BYTES
+    spread = rows.repartition(tasks, "file", F.shiftright("offset", 22)).sortWithinPartitions("file", "offset")
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", *(["payload"] if with_payload else [])]
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
