@@ -11,7 +11,9 @@ pattern with inconsistent values does not.
 
 from __future__ import annotations
 
+import itertools
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_bitmap, in_bitmap, slices, texts_of
+from .common import FILTER_BITS, Scratch, anti_join, hash_bitmap, in_bitmap, slices, texts_of
 
 WINDOW = 8
 MIN_LITERALS = 5        # a window with fewer literal tokens is too general to count
 MIN_COVERAGE = 0.3      # share of an item's windows that must match consistently
-FILTER_BITS = 24        # the benchmark filter is a bitmap of 2**24 bits, whatever the benchmark's size
-MEMO = 400_000
+MEMO = 100_000
 
 UNITS = frozenset("""
 mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms tonne tonnes ounce ounces
@@ -41,16 +42,20 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 def token(word: str) -> tuple[int, str, bool, bool]:
     """(kind, value, title-cased, ends a sentence) of a word by itself."""
-    core = _EDGES.sub("", word)
-    ends = word.rstrip("\"')]}»”’").endswith((".", "!", "?", ":"))
+    core = word
+    if not word.isalnum():
+        core = word.strip(string.punctuation)
+        if core and not (core[0].isalnum() and core[-1].isalnum()):
+            core = _EDGES.sub("", core)
+    ends = len(core) < len(word) and word.rstrip("\"')]}»”’").endswith((".", "!", "?", ":"))
     if not core:
         return SKIP, "", False, ends
     value = core.lower()
-    if any(c.isdigit() for c in core):
+    if not core.isalpha() and any(c.isdigit() for c in core):
         return NUMBER, value, False, ends
     if value in UNITS:
         return UNIT, value, False, ends
-    return LITERAL, value, len(core) > 1 and core[0].isupper() and core[1:].islower(), ends
+    return LITERAL, value, value != core and len(core) > 1 and core[0].isupper() and core[1:].islower(), ends
 
 
 class Canonical:
@@ -68,18 +73,22 @@ class Canonical:
         self.title = np.zeros(1024, bool)
         self.ends = np.zeros(1024, bool)
 
-    def _index(self, words: list[str]) -> list[int]:
-        known = self.known
-        for w in set(words).difference(known):
-            k = known[w] = len(self.words)
-            self.words.append(found := token(w))
-            if k == len(self.kinds):
-                for name in ("hashes", "kinds", "title", "ends"):
-                    old = getattr(self, name)
-                    setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
-            self.kinds[k], self.title[k], self.ends[k] = found[0], found[2], found[3]
-            self.hashes[k] = xxhash.xxh3_64_intdigest(found[1]) if found[0] == LITERAL else found[0]
-        return [known[w] for w in words]
+    def _index(self, words: list[str]) -> np.ndarray:
+        known, begin = self.known, len(self.words)
+        for w in words:
+            if w not in known:
+                known[w] = len(self.words)
+                self.words.append(token(w))
+        new, end = self.words[begin:], len(self.words)
+        while end > len(self.kinds):
+            for name in ("hashes", "kinds", "title", "ends"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        self.kinds[begin:end] = [f[0] for f in new]
+        self.title[begin:end] = [f[2] for f in new]
+        self.ends[begin:end] = [f[3] for f in new]
+        self.hashes[begin:end] = [xxhash.xxh3_64_intdigest(f[1]) if f[0] == LITERAL else f[0] for f in new]
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def windows(self, texts: list[str]):
         """(text number, place, window hash, usable) of every window, and a function
@@ -87,7 +96,7 @@ class Canonical:
         if len(self.words) > self.memo:
             self._reset()
         parts = [t.split() for t in texts]
-        own = np.array(self._index([w for ws in parts for w in ws]), np.int64)
+        own = self._index(list(itertools.chain.from_iterable(parts)))
         doc = np.repeat(np.arange(len(texts)), [len(ws) for ws in parts])
         kinds, title = self.kinds[own], self.title[own]
         follows = np.zeros(len(own), bool)              # stands inside a sentence
@@ -179,8 +188,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item. Columns are unchanged;
     rows with a null id are matched by their text."""
-    found = leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, min_coverage).select(
-        F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct()
+    found = Scratch(docs.sparkSession, "leaks").store(
+        leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, min_coverage).select(
+            F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct(), "rows")
     same = (F.col(f"docs.`{id_col}`").cast("long").eqNullSafe(F.col("leak_id"))
             & (F.xxhash64(F.col(f"docs.`{text_col}`").cast("string")) == F.col("leak_key")))
-    return docs.alias("docs").join(found, same, "left_anti")
+    return anti_join(docs, F.xxhash64(F.col(f"`{text_col}`").cast("string")), found, "leak_key", same)
