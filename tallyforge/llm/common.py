@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import remove_path, scratch_root
+from ..session import remove_path, scratch_folder
 
 # Text that one numpy pass inside a task works on at most (one longer document
 # is a pass of its own): bounds the working memory of a Python worker.
@@ -105,7 +105,7 @@ class Scratch:
     read again from there, so a lost executor costs no earlier stage."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{scratch_root(spark)}/materialized/{name}-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, scratch_folder(spark, name)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex}"

@@ -29,7 +29,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPECIAL = re.compile(r"<\|startoftext\|>|<\|endoftext\|>")
 WORD_END = "</w>"
 # Distinct merged pre-tokens a worker remembers; the memo starts over beyond it.
-MEMO = 400_000
+MEMO = 200_000
 
 _ASCII = re.compile(PRE_TOKEN.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"), re.ASCII)
 _ANY = regex.compile(PRE_TOKEN)
