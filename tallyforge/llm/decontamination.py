@@ -125,8 +125,10 @@ _SCHEMA = "id long, text_key long, place int, hash long, slots array<string>"
 
 
 def template_windows(df: DataFrame, id_col: str, text_col: str, keep=None) -> DataFrame:
-    """Usable template windows of every text: id, text_key, place, hash, slots.
-    ``keep`` is a broadcast bitmap over the top bits of the hash; windows outside
+    """Distinct usable template windows of every text: id, text_key, place (of the
+    first occurrence), hash, slots. A text that repeats a phrase ten thousand times
+    gives one row for it, so a repetitive document and a repetitive item do not
+    multiply in the join. ``keep`` is a broadcast bitmap over the top bits of the hash; windows outside
     it are left out. Map-only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,6 +139,10 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, keep=None) -> Da
                 at = np.flatnonzero(usable)
                 if keep is not None:
                     at = at[in_bitmap(keep.value, hashes[at])]
+                first: dict[tuple, int] = {}                 # a window that a text repeats counts where it first stands
+                for i in at.tolist():
+                    first.setdefault((doc[i], hashes[i], *slots(i)), i)
+                at = np.fromiter(first.values(), np.int64, len(first))
                 rows = pa.array(doc[at])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(rows), batch.column("text_key").take(rows), pa.array(place[at], pa.int32()),
@@ -153,8 +159,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """One row per (document, benchmark item) leak: doc_id, text_key, item_id, matched,
     item_windows, coverage.
 
-    matched counts the item's windows found in the document along alignments
-    whose placeholder values map one to one; a leak covers at least
+    matched counts the item's distinct windows found in the document along
+    alignments whose placeholder values map one to one; a leak covers at least
     ``min_coverage`` of the item's usable windows. Windows span 8 template tokens
     of which 5 must be literal; an item without such a window (null, empty or very
     short text) cannot leak. Documents with null, empty or short texts have no

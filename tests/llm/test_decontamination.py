@@ -20,11 +20,14 @@ def templates(text):
 
 
 def windows(text):
-    t = templates(text or "")
+    """Usable windows, each where it first stands."""
+    t, seen = templates(text or ""), set()
     for i in range(len(t) - dc.WINDOW + 1):
         own = t[i:i + dc.WINDOW]
-        if sum(isinstance(a, str) for a, _ in own) >= dc.MIN_LITERALS:
-            yield i, tuple(a for a, _ in own), [(a, v) for a, v in own if not isinstance(a, str)]
+        key, slots = tuple(a for a, _ in own), [(a, v) for a, v in own if not isinstance(a, str)]
+        if sum(isinstance(a, str) for a in key) >= dc.MIN_LITERALS and (key, *slots) not in seen:
+            seen.add((key, *slots))
+            yield i, key, slots
 
 
 def brute_force(docs, items):
