@@ -23,8 +23,14 @@ from tallyforge.llm.common import table
 from tallyforge.session import materialize
 
 
+# Rows of a batch between the JVM and Python. Texts are a few KB on average and a
+# hundred KB at times; batches of 10,000 rows would be most of a worker's memory.
+BATCH_ROWS = "2000"
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     name = "quality_score"
     while name in docs.columns:
         name += "_"
