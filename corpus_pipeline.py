@@ -45,7 +45,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item."""
-    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"), strict=False)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,10 +3,10 @@
 Texts become templates: numbers, names and units are replaced by typed
 placeholders, everything else is lower-cased and stripped of punctuation.
 Windows of template tokens are hashed and equi-joined with the windows of the
-benchmark items; a match counts when the values behind the placeholders map
-one to one along the whole alignment. A question whose numbers and names were
-exchanged therefore still matches, and a text that only shares a phrase
-pattern with inconsistent values does not.
+benchmark items; the values behind the placeholders must map one to one along
+an alignment. A question whose numbers and names were exchanged therefore still
+matches. ``strict`` says what breaks when they do not: the whole alignment, or
+only the windows outside the majority's mapping.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import itertools
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -154,14 +155,33 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, keep=None) -> Da
                      text.alias("text")).mapInArrow(run, _SCHEMA)
 
 
+def consistent_places(windows) -> list[int]:
+    """Item places of an alignment's windows that agree with its majority mapping.
+
+    ``windows``: (place, [(value, item value), ...]) each. Value pairs are taken by
+    the number of windows that hold them, equal values first among equals, as long
+    as neither value is mapped yet. A window counts when all its pairs are in that
+    mapping, or when all its values are the item's own; one without values always.
+    """
+    votes = Counter(pair for _, pairs in windows for pair in {(a, b) for a, b in pairs})
+    ahead, back = {}, {}
+    for a, b in sorted(votes, key=lambda p: (-votes[p], p[0] != p[1], p)):
+        if a not in ahead and b not in back:
+            ahead[a], back[b] = b, a
+    return [place for place, pairs in windows
+            if all(a == b for a, b in pairs) or all(ahead.get(a) == b for a, b in pairs)]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
+          item_text_col: str = "text", min_coverage: float = MIN_COVERAGE, strict: bool = True) -> DataFrame:
     """One row per (document, benchmark item) leak: doc_id, text_key, item_id, matched,
     item_windows, coverage.
 
     matched counts the item's distinct windows found in the document along
-    alignments whose placeholder values map one to one; a leak covers at least
-    ``min_coverage`` of the item's usable windows. Windows span 8 template tokens
+    alignments whose placeholder values map one to one. An alignment with other
+    pairs of values is left out as a whole when ``strict``; else it keeps the windows
+    that agree with its majority mapping, have no slot or have the item's own values.
+    A leak covers at least ``min_coverage`` of the item's usable windows. Windows span 8 template tokens
     of which 5 must be literal; an item without such a window (null, empty or very
     short text) cannot leak. Documents with null, empty or short texts have no
     leak. Equal rows give one result row; a null document id is reported as null
@@ -178,12 +198,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found = template_windows(docs, id_col, text_col, hash_bitmap(items, "hash", FILTER_BITS))
     pairs = found.join(items, "hash").filter(F.size("slots") == F.size("item_slots"))
     aligned = (pairs.groupBy(F.col("id").alias("doc_id"), "text_key", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-               .agg(F.collect_set("item_place").alias("places"),
-                    F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "item_slots")))).alias("values")))
+               .agg(F.collect_set(F.struct(F.col("item_place").alias("place"), F.arrays_zip("slots", "item_slots").alias("pairs"))).alias("windows"))
+               .withColumn("values", F.array_distinct(F.flatten("windows.pairs"))))
     one_to_one = ((F.size("values") == F.size(F.array_distinct(F.col("values.slots"))))
                   & (F.size("values") == F.size(F.array_distinct(F.col("values.item_slots")))))
     sizes = items.groupBy("item_id").agg(F.count_distinct("item_place").alias("item_windows"))
-    matched = (aligned.filter(one_to_one).groupBy("doc_id", "text_key", "item_id")
+    if strict:
+        kept = aligned.filter(one_to_one).withColumn("places", F.col("windows.place"))
+    else:                                               # only inconsistent alignments go to Python
+        none = F.array().cast(aligned.schema["windows"].dataType)
+        some = F.udf(lambda windows: consistent_places(windows), "array<int>")(F.when(~one_to_one, F.col("windows")).otherwise(none))
+        kept = (aligned.withColumn("places", F.when(one_to_one, F.col("windows.place")).otherwise(some))
+                .filter(F.size("places") > 0))
+    matched = (kept.groupBy("doc_id", "text_key", "item_id")
                .agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched")))
     return (matched.join(sizes, matched.item_id.eqNullSafe(sizes.item_id)).drop(sizes.item_id)
             .withColumn("coverage", F.round(F.col("matched") / F.col("item_windows"), 6))
@@ -191,11 +218,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE,
+                  strict: bool = True) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item. Columns are unchanged;
     rows with a null id are matched by their text."""
     found = Scratch(docs.sparkSession, "leaks").store(
-        leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, min_coverage).select(
+        leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, min_coverage, strict).select(
             F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct(), "rows")
     same = (F.col(f"docs.`{id_col}`").cast("long").eqNullSafe(F.col("leak_id"))
             & (F.xxhash64(F.col(f"docs.`{text_col}`").cast("string")) == F.col("leak_key")))

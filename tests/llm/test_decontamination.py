@@ -89,3 +89,22 @@ def test_odd_rows_and_filter(spark, odd_docs, no_docs):
     docs = spark.createDataFrame([(None, QUESTION), (None, "something else")], "doc_id long, text string")
     kept = dc.without_leaks(docs, spark.createDataFrame([(1, QUESTION)], "item_id long, text string")).collect()
     assert [r.text for r in kept] == ["something else"]
+
+
+def test_inconsistent_values_drop_only_their_windows(spark):
+    item = ("Every morning a farmer picks 3 apples from the old tree behind the barn and then walks for 3 hours to the market "
+            "where all the people wait for fresh fruit and pay in small coins before they go home again")
+    docs = [(1, item.replace("3 apples", "5 apples").replace("3 hours", "7 hours")),       # one value became two
+            (2, item.replace("3 apples", "5 apples")),                                     # one of two equal values edited
+            (3, QUESTION.replace("40", "7").replace("12", "7")),                           # two values became one
+            (4, QUESTION.replace("Peter", "Maria", 1)), (5, "nothing of the kind " * 20)]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (2, QUESTION)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in dc.leaks(docs, items, strict=False).collect()}
+    assert found.keys() == {(1, 1), (2, 1), (3, 2), (4, 2)}
+    assert all(0.3 <= r.coverage < 1 for r in found.values())
+    assert [r.doc_id for r in dc.without_leaks(docs, items, strict=False).collect()] == [5]
+
+
+def test_majority_mapping():
+    windows = [(0, []), (1, [("1:5", "1:3")]), (2, [("1:5", "1:3")]), (3, [("1:7", "1:3")]), (4, [("1:3", "1:3")]), (5, [("1:7", "1:9")])]
+    assert dc.consistent_places(windows) == [0, 1, 2, 4, 5]
