@@ -117,6 +117,27 @@ def op4_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.line_rules(table(spark, sf_dir, "documents"))
 
 
+_CLEANED_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source AS host, text, coalesce(text, '') AS t FROM documents),
+ln AS (SELECT r, host, t, i, ls[i] AS x FROM (SELECT r, host, t, ls, unnest(range(1, len(ls) + 1)) AS i
+                                              FROM (SELECT *, string_split(t, chr(10)) AS ls FROM d))),
+n AS (SELECT *, CASE WHEN regexp_matches(x, '[^\x20\x09-\x0D]') THEN list_filter(regexp_split_to_array(
+                  translate(lower(x), '123456789', '000000000'), '[\x20\x09-\x0D]+'), lambda y: y <> '') END AS ws FROM ln),
+hosts AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
+freq AS (SELECT n.host, n.ws FROM n JOIN hosts h ON n.host IS NOT DISTINCT FROM h.host WHERE ws IS NOT NULL
+         GROUP BY n.host, n.ws, h.docs HAVING count(DISTINCT n.t) > 20 AND count(DISTINCT n.t) * 100 > h.docs),
+k AS (SELECT n.r, string_agg(n.x, chr(10) ORDER BY n.i) AS clean FROM n LEFT JOIN freq f ON n.host IS NOT DISTINCT FROM f.host AND n.ws = f.ws
+      WHERE f.ws IS NULL GROUP BY n.r)
+SELECT d.doc_id, d.host AS source, CASE WHEN d.text IS NOT NULL THEN coalesce(k.clean, '') END AS text FROM d LEFT JOIN k USING (r)
+"""
+
+
+@register(sql=_CLEANED_SQL)
+def op4_cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its boilerplate lines."""
+    return rules.cleaned(table(spark, sf_dir, "documents")).select("doc_id", "source", "text")
+
+
 _ROTATION_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS body FROM conversations),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, body) - 1 AS seq FROM t),

@@ -72,3 +72,24 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_plan_is_native(spark, sf):
     plan = queries.queries()["op4_line_frequency_rules"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def clean(text, gone):
+    """A text without the lines whose normal form is in ``gone``."""
+    return "\n".join(x for x in text.split("\n") if " ".join(WORD.findall(re.sub("[1-9]", "0", x.lower()))) not in gone)
+
+
+def test_cleaned_texts(spark):
+    common = ["Share THIS page 2024", "share this   page 1999 "]
+    texts = [f"  own line {chr(97 + i)}\n\n{common[i % 2]}\n \nlast {chr(97 + i)}  " for i in range(8)]
+    rows = [(i, t, None if i > 3 else "hot", "mine") for i, t in enumerate(texts)] + [(i, texts[0], "hot", "mine") for i in range(20)]
+    rows += [(None, None, "hot", "x"), (50, "", "hot", "x"), (51, common[0], "hot", None), (52, texts[0], "cold", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, gone string")
+    got = rules.cleaned(docs, min_docs=3, max_percent=5.0)
+    assert got.columns == docs.columns
+    want = [(d, t if t is None or h == "cold" else clean(t, {"share this page 0000"}), h, x) for d, t, h, x in rows]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert (51, "", "hot", None) in want and (0, "  own line a\n\n \nlast a  ", "hot", "mine") in want
+    # the verdict's figure is what the cleaned text lacks
+    words = sorted(((r.doc_id, r.removed_words) for r in rules.line_rules(docs, min_docs=3, max_percent=5.0).collect()), key=repr)
+    assert words == sorted(((d, len(WORD.findall(t or "")) - len(WORD.findall(c or ""))) for (d, t, *_), (_, c, *_) in zip(rows, want)), key=repr)
