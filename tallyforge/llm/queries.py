@@ -125,7 +125,7 @@ n AS (SELECT *, CASE WHEN regexp_matches(x, '[^\x20\x09-\x0D]') THEN list_filter
                   translate(lower(x), '123456789', '000000000'), '[\x20\x09-\x0D]+'), lambda y: y <> '') END AS ws FROM ln),
 hosts AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
 freq AS (SELECT n.host, n.ws FROM n JOIN hosts h ON n.host IS NOT DISTINCT FROM h.host WHERE ws IS NOT NULL
-         GROUP BY n.host, n.ws, h.docs HAVING count(DISTINCT n.t) > 20 AND count(DISTINCT n.t) * 100 > h.docs),
+         GROUP BY n.host, n.ws, h.docs HAVING count(DISTINCT n.t) > 20 AND (count(DISTINCT n.t) * 100 > h.docs OR len(n.ws) >= 10)),
 k AS (SELECT n.r, string_agg(n.x, chr(10) ORDER BY n.i) AS clean FROM n LEFT JOIN freq f ON n.host IS NOT DISTINCT FROM f.host AND n.ws = f.ws
       WHERE f.ws IS NULL GROUP BY n.r)
 SELECT d.doc_id, d.host AS source, CASE WHEN d.text IS NOT NULL THEN coalesce(k.clean, '') END AS text FROM d LEFT JOIN k USING (r)
@@ -134,8 +134,8 @@ SELECT d.doc_id, d.host AS source, CASE WHEN d.text IS NOT NULL THEN coalesce(k.
 
 @register(sql=_CLEANED_SQL)
 def op4_cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its boilerplate lines."""
-    return rules.cleaned(table(spark, sf_dir, "documents")).select("doc_id", "source", "text")
+    """Every document without its boilerplate lines; long lines have a limit of texts only."""
+    return rules.cleaned(table(spark, sf_dir, "documents"), long_words=rules.LONG_WORDS).select("doc_id", "source", "text")
 
 
 _ROTATION_SQL = r"""

@@ -24,6 +24,8 @@ MAX_REPEAT_PERCENT = 20
 # A line is removed when more distinct texts of its host hold it than both of these.
 MIN_LINE_DOCS = 20
 MAX_LINE_PERCENT = 1.0
+# Lines of so many words do not recur by chance; with ``long_words`` the percentage is not asked of them.
+LONG_WORDS = 10
 # A document is depleted below MIN_WORDS remaining words or above this loss.
 MAX_REMOVED_PERCENT = 50
 
@@ -82,11 +84,13 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return windows.withColumn("n_repeat_words", repeats.cast("long")).drop("wh", "windows")
 
 
-def frequent_lines(stats: DataFrame, min_docs: int = MIN_LINE_DOCS, max_percent: float = MAX_LINE_PERCENT) -> tuple[DataFrame, DataFrame]:
+def frequent_lines(stats: DataFrame, min_docs: int = MIN_LINE_DOCS, max_percent: float = MAX_LINE_PERCENT,
+                   long_words: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines of distinct texts, lines above their host's limit).
 
     The limit is more than ``min_docs`` texts and more than ``max_percent`` of the
-    host's.
+    host's. With ``long_words``, lines of at least so many words have the first limit
+    only: they do not recur by chance, however large the host.
 
     Copies of one text count once, so a group of copies does not make its own
     lines frequent. Counts are pre-aggregated in the map tasks: a line that half
@@ -95,9 +99,12 @@ def frequent_lines(stats: DataFrame, min_docs: int = MIN_LINE_DOCS, max_percent:
     lines = (stats.select("host", "text_key", F.posexplode("lines").alias("pos", "line"))
              .groupBy("host", "text_key", "pos").agg(F.first("line.hash").alias("hash"), F.first("line.words").alias("words")))
     hosts = stats.groupBy("host").agg(F.count_distinct("text_key").alias("host_docs"))
-    counts = lines.groupBy("host", "hash").agg(F.count_distinct("text_key").alias("line_docs")).filter(F.col("line_docs") > min_docs)
+    words = [] if long_words is None else [F.max("words").alias("line_words")]     # equal hash, equal words
+    counts = lines.groupBy("host", "hash").agg(F.count_distinct("text_key").alias("line_docs"), *words).filter(F.col("line_docs") > min_docs)
     joined = counts.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
     above = F.col("line_docs") * 100 > F.col("host_docs") * max_percent
+    if long_words is not None:
+        above |= F.col("line_words") >= long_words
     frequent = joined.filter(above).select("c.host", "c.hash", "line_docs")
     return lines, frequent
 
@@ -141,13 +148,13 @@ def _keyed(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_docs: int = MIN_LINE_DOCS,
-            max_percent: float = MAX_LINE_PERCENT) -> DataFrame:
+            max_percent: float = MAX_LINE_PERCENT, long_words: int | None = None) -> DataFrame:
     """``docs`` with the lines above their host's limit removed from every text; columns
     and rows are the same. The other lines stay as they are and in order; a text that
     loses all its lines becomes empty, a null text stays null. Texts that lose nothing
     stay where they are; only the others move."""
     stats = materialize(text_stats(docs, host_col, text_col, host_col).select("host", "text_key", "lines"), "line-hashes")
-    removed = _removed(*frequent_lines(stats, min_docs, max_percent)).drop("gone_words")
+    removed = _removed(*frequent_lines(stats, min_docs, max_percent, long_words)).drop("gone_words")
     removed = materialize(removed, "removed-lines")           # a filter and a join read it
     found = _flagged(_keyed(docs, text_col, host_col), removed)
     moved = found.filter("flagged").alias("t").join(removed.alias("r"), _same_text("t", "r"), "left")
@@ -158,7 +165,7 @@ def cleaned(docs: DataFrame, text_col: str = "text", host_col: str = "source", m
 
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                min_docs: int = MIN_LINE_DOCS, max_percent: float = MAX_LINE_PERCENT,
-               max_removed_percent: float = MAX_REMOVED_PERCENT) -> DataFrame:
+               max_removed_percent: float = MAX_REMOVED_PERCENT, long_words: int | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, removed_words.
 
@@ -172,7 +179,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     # one pass over the texts; the line counts then work on hashes only
     stats = materialize(text_stats(docs, id_col, text_col, host_col), "text-stats")
-    removed = _removed(*frequent_lines(stats, min_docs, max_percent)).drop("gone")
+    removed = _removed(*frequent_lines(stats, min_docs, max_percent, long_words)).drop("gone")
     judged = stats.drop("lines").alias("s").join(removed.alias("r"), _same_text("s", "r"), "left")
     gone = F.coalesce(F.col("gone_words"), F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

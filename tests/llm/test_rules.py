@@ -93,3 +93,17 @@ def test_cleaned_texts(spark):
     # the verdict's figure is what the cleaned text lacks
     words = sorted(((r.doc_id, r.removed_words) for r in rules.line_rules(docs, min_docs=3, max_percent=5.0).collect()), key=repr)
     assert words == sorted(((d, len(WORD.findall(t or "")) - len(WORD.findall(c or ""))) for (d, t, *_), (_, c, *_) in zip(rows, want)), key=repr)
+
+
+def test_long_lines_have_a_limit_of_texts_only(spark, sf):
+    long, short = "all rights reserved by the owner of this site in all lands", "read more"
+    letters = "abcdefghij"
+    rows = [(i, f"own words {letters[i // 10]} {letters[i % 10]}" + (f"\n{long}\n{short}" if i < 6 else ""), "hot") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for words, gone in ((None, set()), (10, {long})):
+        got = rules.cleaned(docs, min_docs=3, max_percent=10.0, long_words=words)
+        assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted((d, clean(t, gone)) for d, t, _ in rows)
+        verdicts = rules.line_rules(docs, min_docs=3, max_percent=10.0, long_words=words).collect()
+        assert sum(r.removed_words for r in verdicts) == (72 if gone else 0)
+    plan = queries.queries()["op4_cleaned_documents"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
