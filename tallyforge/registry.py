@@ -811,17 +811,17 @@ def _deliver(spark, rows: DataFrame, folder: str, bucket: str) -> None:
         fs.rename(found.getPath(), target)
 
 
-@register("docs_sync", """SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 'changed ' ELSE '' END || source AS source, n_chars FROM documents""")
-def q_docs_sync(spark, sf_dir):
-    """Files of document rows, new, delivered again without change and rewritten in place:
-    after three runs the newest version of each is landed once."""
+def _synced_documents(spark, sf_dir) -> DataFrame:
+    """doc_id, source, text of the documents as landed from files of JSON lines, new, delivered
+    again without change and rewritten in place, in three runs; the newest version of each."""
     from .streaming import documents as docstream
     root = f"{scratch_root(spark)}/docs_sync-{uuid.uuid4().hex}"
     docs = adapter.read_table(spark, sf_dir, "documents")
-    files = 3 * (1 + docs.count() // 30_000)       # a file holds about 10,000 rows
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = 3 * (1 + size // 12_000_000)           # a file holds about 4 MB of text
 
     def lines(rows: DataFrame, mark: str = "") -> DataFrame:
-        return rows.select(F.to_json(F.struct("doc_id", F.concat(F.lit(mark), "source").alias("source"), "n_chars")).alias("value"),
+        return rows.select(F.to_json(F.struct("doc_id", F.concat(F.lit(mark), "source").alias("source"), "text")).alias("value"),
                            F.pmod("doc_id", F.lit(files)).alias("bucket"))
 
     _deliver(spark, lines(docs.filter("doc_id % 3 <> 2")), f"{root}/stage", "bucket")
@@ -830,6 +830,20 @@ def q_docs_sync(spark, sf_dir):
     time.sleep(1.1)                                # file times may be whole seconds
     _deliver(spark, lines(docs.filter("doc_id % 3 = 1"), "changed ").unionByName(lines(docs.filter("doc_id % 3 = 2"))), f"{root}/stage", "bucket")
     docstream.sync_documents(spark, f"{root}/stage", f"{root}/landed")
-    row = F.from_json("line", "doc_id long, source string, n_chars long")
+    row = F.from_json("line", "doc_id long, source string, text string")
     return (docstream.current_documents(spark, f"{root}/landed").select(F.explode(F.split("parsed_text", "\n")).alias("line"))
             .filter("line <> ''").select(row.alias("r")).select("r.*"))
+
+
+@register("docs_sync", """SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 'changed ' ELSE '' END || source AS source, n_chars FROM documents""")
+def q_docs_sync(spark, sf_dir):
+    """The synced documents with the length of the text that was landed."""
+    return _synced_documents(spark, sf_dir).select("doc_id", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("docs_sync_texts", """SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 'changed ' ELSE '' END || source AS source,
+       length(text) AS text_chars, sha256(text) AS text_digest FROM documents""")
+def q_docs_sync_texts(spark, sf_dir):
+    """The synced documents with length and digest of the text that was landed."""
+    return _synced_documents(spark, sf_dir).select("doc_id", "source", F.length("text").cast("long").alias("text_chars"),
+                                                   F.sha2("text", 256).alias("text_digest"))

@@ -84,3 +84,12 @@ def test_sync_takes_new_and_changed_files(spark, scratch):
     assert landed() == [("EARNINGS_SYM001_2026Q1.pdf", "SYM001", "second", None), ("old.PDF", None, None, "not UTF-8 text"),
                         ("sub/EARNINGS_SYM001_2026Q1.pdf", "SYM001", "same name", None)]
     assert docstream.sync_documents(spark, src, out) == 0
+
+
+def test_docs_sync_lands_the_texts(spark):
+    from tallyforge import registry
+    sf = "/root/testdata/sf0.001"
+    got = registry.queries()["docs_sync_texts"](spark, sf).select("doc_id", "text_chars", "text_digest")
+    docs = adapter.read_table(spark, sf, "documents").select(
+        "doc_id", F.length("text").cast("long").alias("text_chars"), F.sha2("text", 256).alias("text_digest"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
