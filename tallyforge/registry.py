@@ -676,19 +676,35 @@ def q_documents_landed(spark, sf_dir):
     return spark.read.parquet(path).select("file_name", "symbol", "fiscal_period", "parsed_text")
 
 
+def _metric_history(spark, sf_dir) -> DataFrame:
+    """Two runs of all metrics of investor_360, accumulated with the time of measurement."""
+    path = f"{scratch_root(spark)}/dq_metric_history-{uuid.uuid4().hex}"
+    found = materialize(quality.metrics(Silver(spark, sf_dir).investor_360(), DQ_METRICS["investor_360"], "investor_360"), "metrics")
+    for hour in range(2):
+        quality.append_results(found, path, dt.datetime(2026, 1, 1, hour))
+    return spark.read.parquet(path)
+
+
 @register("dq_metric_history", _q("""
 SELECT t.measured_at, m.* FROM (VALUES (TIMESTAMP '2026-01-01 00:00:00'), (TIMESTAMP '2026-01-01 01:00:00')) AS t(measured_at), (
   SELECT 'investor_360' AS "table", 'negative_aum' AS metric, 'assets_under_management' AS "column",
          count(*) FILTER (assets_under_management < 0) AS value FROM investor_360
   UNION ALL SELECT 'investor_360', 'null_email', 'email', count(*) FILTER (email IS NULL) FROM investor_360) m"""))
 def q_dq_metric_history(spark, sf_dir):
-    """Two metric runs; their results accumulate with the time of measurement."""
-    path = f"{scratch_root(spark)}/dq_metric_history-{uuid.uuid4().hex}"
-    specs = [m for m in DQ_METRICS["investor_360"] if m.name != "dup_investor_id"]
-    found = materialize(quality.metrics(Silver(spark, sf_dir).investor_360(), specs, "investor_360"), "metrics")
-    for hour in range(2):
-        quality.append_results(found, path, dt.datetime(2026, 1, 1, hour))
-    return spark.read.parquet(path)
+    """The accumulated counts of rows by a condition."""
+    return _metric_history(spark, sf_dir).filter("metric <> 'dup_investor_id'")
+
+
+@register("dq_metric_history_all", _q("""
+SELECT t.measured_at, m.* FROM (VALUES (TIMESTAMP '2026-01-01 00:00:00'), (TIMESTAMP '2026-01-01 01:00:00')) AS t(measured_at), (
+  SELECT 'investor_360' AS "table", 'negative_aum' AS metric, 'assets_under_management' AS "column",
+         count(*) FILTER (assets_under_management < 0) AS value FROM investor_360
+  UNION ALL SELECT 'investor_360', 'dup_investor_id', 'investor_id',
+         count(*) - count(DISTINCT investor_id) - max(CASE WHEN investor_id IS NULL THEN 1 ELSE 0 END) FROM investor_360
+  UNION ALL SELECT 'investor_360', 'null_email', 'email', count(*) FILTER (email IS NULL) FROM investor_360) m"""))
+def q_dq_metric_history_all(spark, sf_dir):
+    """Every metric declared for the table, duplicates included."""
+    return _metric_history(spark, sf_dir)
 
 
 def _customers_masked(spark, sf_dir, role):

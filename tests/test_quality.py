@@ -73,3 +73,10 @@ def test_warn_severity_does_not_gate(spark, scratch):
     res = build.build(spark, b, sink=f"{scratch}/wh", as_of="2026-01-01", tests=tests)
     assert all(s == "success" for s in res.status.values())
     assert len(res.tests) == 32
+
+
+def test_metric_history_holds_every_declared_metric(spark):
+    from tallyforge import registry
+    got = registry.queries()["dq_metric_history_all"](spark, "/root/testdata/sf0.001").collect()
+    names = sorted(m.name for m in registry.DQ_METRICS["investor_360"])
+    assert sorted(r.metric for r in got) == sorted(2 * names) and len({r.measured_at for r in got}) == 2
