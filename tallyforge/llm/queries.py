@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontamination, neardup, packing, pii, quality, rules, tokens, toxicity, warc
+from . import chat, decontamination, neardup, packing, pii, quality, rules, substrings, tokens, toxicity, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -192,3 +193,23 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, re-parameterised copies included."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), strict=False).drop("text_key")
+
+
+_REPEATS_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                                                 lambda x: x <> '') AS w FROM documents),
+win AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+rep AS (SELECT r, i FROM win JOIN (SELECT k FROM win GROUP BY k HAVING count(*) > 1) USING (k)),
+gone AS (SELECT DISTINCT r, i + j AS i FROM rep, range(35) AS g(j)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n
+         FROM (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d) ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+@register(sql=_REPEATS_SQL)
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of its repeated passages."""
+    left = substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
