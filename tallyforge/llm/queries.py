@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, neardup, packing, pii, quality, rules, substrings, tokens, toxicity, warc
-from .common import table
+from . import chat, codes, decontamination, divergence, neardup, packing, pii, quality, rules, substrings, tokens, toxicity, warc
+from .common import Scratch, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -213,3 +213,66 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of its repeated passages."""
     left = substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def _codes_sql(parts: int = codes.PARTS, entries: int = codes.ENTRIES, rounds: int = codes.ROUNDS) -> str:
+    steps = [f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, x -> CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT row_number() OVER () AS r, vec_id, label, q, len(q) // {parts} AS w FROM k),
+v AS (SELECT r, vec_id, label, pos, q[pos * w + 1 : pos * w + w] AS part FROM p, range({parts}) AS g(pos)),
+c0 AS (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS e, part FROM v
+       WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT {entries}))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (SELECT v.r, v.pos, min(list_sum(list_transform(list_zip(v.part, c.part), x -> (x[1] - x[2]) * (x[1] - x[2]))) * {entries} + c.e) AS best
+       FROM v JOIN c{i} c ON c.pos = v.pos GROUP BY v.r, v.pos)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT a.pos, a.best % {entries} AS e, generate_subscripts(v.part, 1) AS d, unnest(v.part) AS x FROM a{i} a JOIN v USING (r, pos)),
+n{i} AS (SELECT pos, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY d) AS part FROM (
+       SELECT pos, e, d, sum(x)::DOUBLE AS s, count(*) AS n FROM m{i} GROUP BY pos, e, d) GROUP BY pos, e),
+c{i + 1} AS (SELECT c.pos, c.e, coalesce(n.part, c.part) AS part FROM c{i} c LEFT JOIN n{i} n USING (pos, e))""")
+    return ",\n".join(steps) + f""",
+s AS (SELECT r, string_agg(lower(printf('%02X', best % {entries})), '' ORDER BY pos) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY r)
+SELECT p.vec_id, s.code, s.error, CAST(sum(s.error) OVER (PARTITION BY p.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY pos, e)) FROM c{rounds}) AS codebooks_sha256
+FROM p JOIN s USING (r)"""
+
+
+@register(sql=_codes_sql())
+def op11_trie_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and error, the error of its label and the digest of the codebooks."""
+    coded, books = codes.codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    coded = Scratch(spark, "coded").store(coded.select("vec_id", "label", "code", "error"), "rows")
+    by_label = coded.groupBy(F.col("label").alias("l")).agg(F.try_sum("error").alias("label_error"))
+    return coded.join(by_label, F.col("label").eqNullSafe(F.col("l"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.codebooks_digest(books)).alias("codebooks_sha256"))
+
+
+_DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+o AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(*) AS v, sum(lang_n)::BIGINT AS total FROM kept GROUP BY lang),
+g AS (SELECT grp.lang, grp.source, coalesce((SELECT sum(n)::BIGINT FROM c WHERE c.lang = grp.lang AND c.source = grp.source), 0) AS total,
+             coalesce(l.v, 0) AS v, l.total AS lang_total FROM grp LEFT JOIN l USING (lang)),
+s AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.total + g.v) AS p,
+             1 + (1000000000 * (k.lang_n + 1)) // (g.lang_total + g.v) AS q
+      FROM g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+pr AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::BIGINT AS value
+       FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s x ON x.lang = a.lang AND x.source = a.source
+       LEFT JOIN s y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+tr AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM s WHERE n > 0 AND p > q),
+f AS (SELECT lang, source, 'pair' AS part, item, value FROM pr UNION ALL SELECT lang, source, 'term', item, value FROM tr)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM f)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@register(sql=_DIVERGENCE_SQL)
+def op12_divergence_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source's distance to the others of its language and the terms it uses most beyond it."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
