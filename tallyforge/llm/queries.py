@@ -217,14 +217,14 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _codes_sql(parts: int = codes.PARTS, entries: int = codes.ENTRIES, rounds: int = codes.ROUNDS) -> str:
     steps = [f"""
-WITH k AS (SELECT vec_id, label, list_transform(embedding, x -> CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
-           WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (SELECT row_number() OVER () AS r, vec_id, label, q, len(q) // {parts} AS w FROM k),
 v AS (SELECT r, vec_id, label, pos, q[pos * w + 1 : pos * w + w] AS part FROM p, range({parts}) AS g(pos)),
 c0 AS (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS e, part FROM v
        WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT {entries}))"""]
     for i in range(rounds + 1):
-        steps.append(f"""a{i} AS (SELECT v.r, v.pos, min(list_sum(list_transform(list_zip(v.part, c.part), x -> (x[1] - x[2]) * (x[1] - x[2]))) * {entries} + c.e) AS best
+        steps.append(f"""a{i} AS (SELECT v.r, v.pos, min(list_sum(list_transform(list_zip(v.part, c.part), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) * {entries} + c.e) AS best
        FROM v JOIN c{i} c ON c.pos = v.pos GROUP BY v.r, v.pos)""")
         if i < rounds:
             steps.append(f"""m{i} AS (SELECT a.pos, a.best % {entries} AS e, generate_subscripts(v.part, 1) AS d, unnest(v.part) AS x FROM a{i} a JOIN v USING (r, pos)),
