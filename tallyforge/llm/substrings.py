@@ -13,16 +13,18 @@ meet, and each automaton is built in the task where its passages arrive:
    windows have equal anchors. Anchors of all documents are counted; only windows
    whose anchor occurs twice can repeat. A bitmap of at most 32 MB keeps the others
    where they are (a full bitmap lets more through, it never loses a window).
-2. anchors that occur more than ``HOT`` times (a phrase that a third of all rows
-   share) don't gather their windows in one shard: such a window is keyed by the hash
-   of all its words instead, and those keys are counted once more.
-3. neighbouring windows with one key form a passage. A task sends every distinct
-   passage once, with the number of its occurrences, and of every occurrence only
-   where it is (a document's digest, a word number).
-4. a shard holds all passages of its keys. Its suffix automaton, weighted with the
-   occurrences, says for each window of a passage whether it occurs twice.
-5. these answers (one bit a window) go back to the occurrences, and the documents with
-   any are joined with theirs by digest; the other texts do not move.
+2. neighbouring windows with one anchor form a passage, known by its hash; the
+   occurrences of passages are counted, as two numbers each.
+3. an anchor with more than ``HOT`` distinct passages (a phrase that a third of all rows
+   share in their own contexts) does not gather them in one shard: its windows are
+   passages of their own, keyed by the hash of all their words, and counted again.
+4. a key with one passage that occurs twice or more is answered: all of it repeats. Of
+   the other keys the tasks send every distinct passage's words once, and a shard holds
+   all passages of its keys. Its suffix automaton, weighted with the occurrences, says
+   for each window of a passage whether it occurs twice.
+5. the answers (one bit a window) meet the places of the passages (a document's digest, a
+   word number), and the documents with any are joined with theirs by digest; the other
+   texts do not move.
 
 Nothing is sampled or capped. Words are compared as words in the automata; 64-bit
 hashes bring windows together and identify passages, documents are found by two.
@@ -47,11 +49,11 @@ from .common import Scratch, hash_bitmap, in_bitmap, slices
 
 WINDOW = 35                # words
 GRAM = 12                  # words of an anchor
-HOT = 1000                 # occurrences of an anchor beyond which its windows are dealt by their own hash
+HOT = 1000                 # distinct passages of an anchor beyond which its windows are dealt by their own hash
 PASSAGE_WINDOWS = 62       # windows of a passage at most: one bit each in a long
 SHARD_WORDS = 250_000      # words of a shard on average
 AUTOMATON_WORDS = 20_000   # keys of a shard share an automaton up to this size
-HELD_PASSAGES = 50_000     # distinct passages a task holds before it sends them
+HELD_PASSAGES = 500_000    # passages a task holds before it counts and sends them
 MAX_BITS = 28
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -123,7 +125,7 @@ class Anchors:
     """Valid windows of a slice and their anchors."""
 
     def __init__(self, words: Words, window: int, gram: int):
-        self.words, self.window = words, window
+        self.words, self.window, self.hot = words, window, None
         n = words.n - window + 1
         if n <= 0:
             self.at = np.zeros(0, np.int64)
@@ -147,6 +149,7 @@ class Anchors:
         is_hot = in_bitmap(hot, self.key)
         self.key = self.key.copy()
         self.key[is_hot] = _mix(self.words.hashes(self.at[is_hot], self.window) ^ _ODD)
+        self.hot = is_hot
         return is_hot
 
     def passages(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -157,6 +160,8 @@ class Anchors:
             return at, at, key, key
         fresh = np.ones(len(at), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (np.diff(at) != 1)
+        if self.hot is not None:
+            fresh |= self.hot[may]                       # each a passage of its own
         run = np.flatnonzero(fresh)
         place = np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))
         first = np.flatnonzero(place % PASSAGE_WINDOWS == 0)
@@ -230,27 +235,24 @@ class SuffixAutomaton:
         return bits
 
 
-def shard_answers(passages: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tuple[int, int, int]]:
-    """(key, passage, bits) of the passages with a window that occurs twice, from all
-    (key, passage, occurrences, words) of a shard."""
-    distinct: dict[tuple[int, int], list] = {}
+def shard_answers(passages: Iterator[tuple[int, int, int, bytes | None]], window: int) -> Iterator[tuple[int, int, int]]:
+    """(key, passage, bits) of the passages with a window that occurs twice, from the
+    (key, passage, occurrences, words) of a shard; counts and words may come in rows of
+    their own. Keys of one passage that occurs twice are left out."""
+    groups: dict[int, dict[int, list]] = {}
     for key, passage, n, words in passages:
-        held = distinct.setdefault((key, passage), [0, words])
-        held[0] += n
-    groups: dict[int, list] = {}
-    for (key, passage), (n, words) in distinct.items():
-        groups.setdefault(key, []).append((passage, n, words))
-    waiting, held = [], 0
+        held = groups.setdefault(key, {}).setdefault(passage, [0, None])
+        held[0] += n or 0
+        held[1] = words or held[1]
+    waiting, size = [], 0
     for key, members in groups.items():
-        if len(members) == 1 and members[0][1] > 1:       # the automaton of one passage: all of it occurs n times
-            passage, _, words = members[0]
-            yield key, passage, (1 << (words.count(b" ") + 2 - window)) - 1
+        if len(members) == 1 and next(iter(members.values()))[0] > 1:
             continue
-        waiting += [(key, *m) for m in members]
-        held += sum(len(m[2]) for m in members) // 6
-        if held > AUTOMATON_WORDS:
+        waiting += [(key, passage, n, words) for passage, (n, words) in members.items()]
+        size += sum(len(words) for _, words in members.values()) // 6
+        if size > AUTOMATON_WORDS:
             yield from _match(waiting, window)
-            waiting, held = [], 0
+            waiting, size = [], 0
     if waiting:
         yield from _match(waiting, window)
 
@@ -290,6 +292,16 @@ def _bits(n: int) -> int:
     return min(max(16, int(n).bit_length() + 4), MAX_BITS)
 
 
+def _tally(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, passage, occurrences) of the distinct passages among the held ones."""
+    key, passage, n = (np.concatenate(c) for c in zip(*held))
+    one, where, of = np.unique(passage, return_index=True, return_inverse=True)
+    return key[where], one, np.bincount(of, weights=n).astype(np.int64)
+
+
+ALL = -1                   # the answer "every window of the passage"
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
                    hot: int = HOT) -> DataFrame:
     """Where windows of the texts repeat: ``doc_a, doc_b`` (two 64-bit digests of the
@@ -298,57 +310,83 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     scratch = Scratch(docs.sparkSession, "repeats")
     texts = docs.select(F.col(text_col).cast("string").alias("text")).filter(F.length("text") >= 2 * window - 1)
 
-    def count(batches: Iterator[pa.RecordBatch], hot_bits=None) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found in _anchors(batches, window, gram):
+            key, n = np.unique(found.occurrences, return_counts=True)
+            yield pa.RecordBatch.from_arrays([_signed(key), pa.array(n, pa.int64())], ["key", "n"])
+
+    repeated = scratch.store(texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+                             .filter("n > 1").select("key"), "anchors")
+    bitmap = hash_bitmap(repeated, "key", _bits(repeated.count()))
+
+    def tally(batches: Iterator[pa.RecordBatch], hot_bits=None) -> Iterator[pa.RecordBatch]:
+        """Occurrences of passages; with ``hot_bits`` of the windows of those anchors."""
+        held, size = [], 0
         for _, found in _anchors(batches, window, gram):
             if hot_bits is None:
-                keys = found.occurrences
+                _, _, key, passage = found.passages(bitmap.value)
             else:
                 is_hot = found.refine(hot_bits.value)
-                keys = found.key[is_hot]
-            key, n = np.unique(keys, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(key), pa.array(n, pa.int64())], ["key", "n"])
+                key, passage = found.key[is_hot], found.words.hashes(found.at[is_hot], window) if is_hot.any() else found.key[:0]
+            held.append((key, passage, np.ones(len(key), np.int64)))
+            size += len(key)
+            if size > HELD_PASSAGES:
+                held = [_tally(held)]
+                size = len(held[0][0])
+                if size > HELD_PASSAGES // 2:
+                    yield rows(*held.pop())
+                    size = 0
+        if held:
+            yield rows(*_tally(held))
 
-    def often(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    def rows(key: np.ndarray, passage: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([_signed(key), _signed(passage), pa.array(n)], ["key", "passage", "n"])
 
-    repeated = scratch.store(often(texts.mapInArrow(count, "key long, n long")), "anchors")
-    hot_keys = repeated.filter(F.col("n") > hot)
+    def counted(run, name: str) -> DataFrame:
+        return scratch.store(texts.mapInArrow(run, "key long, passage long, n long")
+                             .groupBy("key", "passage").agg(F.sum("n").alias("n")), name)
+
+    passages = counted(tally, "passages")
+    per_key = scratch.store(passages.groupBy("key").agg(F.count(F.lit(1)).alias("passages"), F.sum("n").alias("n"),
+                                                        F.min("passage").alias("passage")), "keys")
+    hot_keys = per_key.filter(F.col("passages") > hot)
     n_hot, hot_bits = hot_keys.count(), None
+    answered = []
     if n_hot:
         hot_bits = hash_bitmap(hot_keys, "key", _bits(n_hot))
-        windows = texts.mapInArrow(lambda b: count(b, hot_bits), "key long, n long")
-        repeated = scratch.store(often(windows).unionByName(repeated.filter(F.col("n") <= hot)), "keys")
-    bitmap = hash_bitmap(repeated, "key", _bits(repeated.count()))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_a", "doc_b", "start", "key", "passage", "words", "n"]
-        held: dict[int, list] = {}
-        seen: set[tuple[int, int]] = set()
+        @F.pandas_udf("boolean")
+        def is_hot(h):
+            return h.__class__(in_bitmap(hot_bits.value, h.to_numpy(np.int64).view(np.uint64)))
 
-        def sent() -> pa.RecordBatch:
-            rows, none = list(held.items()), pa.nulls(len(held), pa.int64())
-            out = pa.RecordBatch.from_arrays(
-                [none, none, pa.nulls(len(rows), pa.int32()), pa.array([r[0] for _, r in rows], pa.int64()),
-                 pa.array([p for p, _ in rows], pa.int64()), pa.array([r[1] for _, r in rows], pa.binary()),
-                 pa.array([r[2] for _, r in rows], pa.int64())], names)
-            held.clear()
-            return out
+        passages, per_key = passages.filter(~is_hot("key")), per_key.filter(~is_hot("key"))
+        answered.append(counted(lambda b: tally(b, hot_bits), "hot-windows").filter("n > 1").select("key", "passage"))
+    answered.append(per_key.filter("passages = 1 AND n > 1").select("key", "passage"))
+    open_keys = per_key.filter("passages > 1 OR n = 1").select("key")
+    live = per_key.select("key") if not n_hot else per_key.select("key").unionByName(answered[0].select("key"))
+    live_bits = hash_bitmap(live, "key", _bits(live.count()))
+    open_bits = hash_bitmap(open_keys, "key", _bits(open_keys.count()))
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for every place of a passage, and one with the words of each passage to match."""
+        names = ["doc_a", "doc_b", "start", "windows", "key", "passage", "words"]
+        sent: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch, found in _anchors(batches, window, gram):
             found.refine(hot_bits.value if hot_bits else None)
-            first, n, key, passage = found.passages(bitmap.value)
+            first, n, key, passage = found.passages(live_bits.value)
             if not len(first):
                 continue
             words = found.words
-            one, where, times = np.unique(passage, return_index=True, return_counts=True)
-            for p, i, t in zip(one.view(np.int64).tolist(), where.tolist(), times.tolist()):
-                row = held.get(p)
-                if row is None:
-                    b = first[i]
-                    text = words.data[words.begin[b]:words.end[b + n[i] + window - 2]]
-                    held[p] = [int(key[i].view(np.int64)), b" ".join(text.split()), t]
-                else:
-                    row[2] += t
+            if len(sent) > HELD_PASSAGES:
+                sent.clear()
+            _, where = np.unique(passage, return_index=True)
+            where = [i for i in where[in_bitmap(open_bits.value, key[where])].tolist() if int(passage[i]) not in sent]
+            sent.update(passage[where].tolist())
+            text = [b" ".join(words.data[words.begin[first[i]]:words.end[first[i] + n[i] + window - 2]].split()) for i in where]
+            none = pa.nulls(len(where), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(where), pa.int32()), pa.nulls(len(where), pa.int32()),
+                                              _signed(key[where]), _signed(passage[where]), pa.array(text, pa.binary())], names)
             doc = np.searchsorted(words.bounds, first, side="right") - 1
             a, b = (batch.column(c).to_numpy() for c in ("doc_a", "doc_b"))
             new = np.zeros(len(a), bool)
@@ -360,35 +398,37 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW
             if len(seen) > 500_000:
                 seen.clear()
             at = new[doc]
-            doc, first, key, passage = doc[at], first[at], key[at], passage[at]
-            m = len(doc)
+            doc, first, n, key, passage = doc[at], first[at], n[at], key[at], passage[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[doc], pa.int64()), pa.array(b[doc], pa.int64()), pa.array(first - words.bounds[doc], pa.int32()),
-                 _signed(key), _signed(passage), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())], names)
-            if len(held) > HELD_PASSAGES:
-                yield sent()
-        if held:
-            yield sent()
+                 pa.array(n, pa.int32()), _signed(key), _signed(passage), pa.nulls(len(doc), pa.binary())], names)
+
+    cuts = scratch.store(texts.select(*_digest("text"), "text").mapInArrow(
+        cut, "doc_a long, doc_b long, start int, windows int, key long, passage long, words binary"), "places")
+
+    @F.pandas_udf("boolean")
+    def is_open(h):
+        return h.__class__(in_bitmap(open_bits.value, h.to_numpy(np.int64).view(np.uint64)))
 
-    digested = texts.select(*_digest("text"), "text")
-    cuts = scratch.store(digested.mapInArrow(
-        cut, "doc_a long, doc_b long, start int, key long, passage long, words binary, n long"), "passages")
-    passages = cuts.filter("words IS NOT NULL").select("key", "passage", "n", "words")
-    size = passages.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    to_match = (cuts.filter("words IS NOT NULL").select("key", "passage", F.lit(0).cast("long").alias("n"), "words")
+                .unionByName(passages.filter(is_open("key")).withColumn("words", F.lit(None).cast("binary"))))
+    size = cuts.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     shards = 1 + size // (6 * SHARD_WORDS)
 
     def answer(shard: pa.Table) -> pa.Table:
-        rows = zip(*(shard.column(c).to_pylist() for c in ("key", "passage", "n", "words")))
-        key, passage, bits = zip(*found) if (found := list(shard_answers(rows, window))) else ((), (), ())
+        members = zip(*(shard.column(c).to_pylist() for c in ("key", "passage", "n", "words")))
+        key, passage, bits = zip(*found) if (found := list(shard_answers(members, window))) else ((), (), ())
         return pa.table([pa.array(key, pa.int64()), pa.array(passage, pa.int64()), pa.array(bits, pa.int64())],
                         names=["key", "passage", "bits"])
 
-    answers = scratch.store(
-        passages.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-        .groupBy("shard").applyInArrow(answer, "key long, passage long, bits long"), "answers")
-    places = cuts.filter("words IS NULL").select("doc_a", "doc_b", "start", "key", "passage")
+    answers = scratch.store(to_match.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+                            .groupBy("shard").applyInArrow(answer, "key long, passage long, bits long"), "answers")
+    for rest in answered:
+        answers = answers.unionByName(rest.withColumn("bits", F.lit(ALL).cast("long")))
+    places = cuts.filter("words IS NULL").drop("words").join(answers, ["key", "passage"])
+    whole = F.expr("shiftleft(1L, windows) - 1L")
     return scratch.store(
-        places.join(answers, ["key", "passage"]).groupBy("doc_a", "doc_b")
+        places.withColumn("bits", F.col("bits").bitwiseAND(whole)).groupBy("doc_a", "doc_b")
         .agg(F.collect_set(F.struct("start", "bits")).alias("spans")), "spans")
 
 

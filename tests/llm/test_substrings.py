@@ -40,6 +40,8 @@ def corpus(seed, n=120):
                 words[rnd.randrange(len(words))] = "edit"
         if i % 17 == 3:
             words += ["p", "q", "r"] * rnd.randint(1, 40)
+        if i % 11 == 4:
+            words += ["z"] * rnd.randint(1, 60)
         texts.append(words)
     return [(i, rnd.choice([" ", "\n", "\t ", "  "]).join(w)) for i, w in enumerate(texts)]
 
