@@ -137,10 +137,10 @@ class Anchors:
         width = window - gram + 1
         least = _slide(grams, width, np.minimum)
         self.at = np.flatnonzero(inside)
-        self.key = least[self.at]
+        self.key = _mix(least[self.at] ^ _ODD)             # least values crowd at the low end: spread them again
         pad = np.zeros(width - 1, np.uint64)
         chosen = _slide(np.concatenate([pad, np.where(inside, least, np.uint64(0)), pad]), width, np.maximum)
-        self.occurrences = grams[chosen == grams]          # one per place of an anchor
+        self.occurrences = _mix(grams[chosen == grams] ^ _ODD)          # one per place of an anchor
 
     def refine(self, hot: np.ndarray | None) -> np.ndarray:
         """Key windows of hot anchors by all their words; which ones those are."""
@@ -148,7 +148,7 @@ class Anchors:
             return np.zeros(len(self.at), bool)
         is_hot = in_bitmap(hot, self.key)
         self.key = self.key.copy()
-        self.key[is_hot] = _mix(self.words.hashes(self.at[is_hot], self.window) ^ _ODD)
+        self.key[is_hot] = _mix(self.words.hashes(self.at[is_hot], self.window) * _ODD)
         self.hot = is_hot
         return is_hot
 
@@ -347,8 +347,8 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW
                              .groupBy("key", "passage").agg(F.sum("n").alias("n")), name)
 
     passages = counted(tally, "passages")
-    per_key = scratch.store(passages.groupBy("key").agg(F.count(F.lit(1)).alias("passages"), F.sum("n").alias("n"),
-                                                        F.min("passage").alias("passage")), "keys")
+    per_key = scratch.store(passages.groupBy("key").agg(F.count(F.lit(1)).alias("passages"), F.sum("n").alias("n"), F.min("passage").alias("passage"))
+                            .join(repeated, "key", "left_semi"), "keys")          # without what the bitmap let through
     hot_keys = per_key.filter(F.col("passages") > hot)
     n_hot, hot_bits = hot_keys.count(), None
     answered = []
