@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .operators import cdc, governance, quality, reports, search, signals
+from .operators.tiered_index import SearchIndex
 from .plans import build, marts, semantic, staging
-from .session import hadoop_path, materialize, scratch_root
+from .session import hadoop_path, materialize, scratch_folder, scratch_root
 from .sources import adapter, documents, sinks
 
 AS_OF = O.AS_OF
@@ -774,19 +775,35 @@ def q_search_results_json(spark, sf_dir):
 @register("search_index_filtered", O.with_ctes_and(_bm25_sql(3, "sentiment = 'positive'").replace(
     "e.symbol, e.sentiment", "e.symbol, e.fiscal_period, e.sentiment, e.summary")))
 def q_search_index_filtered(spark, sf_dir):
-    """The refreshed index with its attributes: built in two deliveries, the first of them
-    delivered again, asked with a filter on an attribute."""
-    from .streaming import documents as docstream
-    root = f"{scratch_root(spark)}/search_index-{uuid.uuid4().hex}"
+    """The tiered index with its attributes: some documents in an older version first, then
+    all in the present one, delivered twice; asked with a filter on an attribute."""
     docs = signals.stg_earnings_transcripts(Silver(spark, sf_dir).transcripts_raw()).withColumn("modified_at", F.col("loaded_at"))
     docs = materialize(docs, "indexed_documents")
-    for part in (docs.filter("symbol IS NOT NULL"), docs.filter("symbol IS NOT NULL"), docs):
-        docstream.refresh_index(spark, part, root)
-    top = search.bm25_topk_index(docstream.read_index(spark, root), adapter.read_table(spark, sf_dir, "benchmark"), k=3,
-                                 qid_col="item_id", filters="sentiment = 'positive'",
-                                 columns=("file_name", "symbol", "fiscal_period", "sentiment", "summary"))
-    return top.select("query_id", F.col("rank").cast("long").alias("rank"), "file_name", "score", "symbol", "fiscal_period",
-                      "sentiment", "summary")
+    index = SearchIndex(spark, scratch_folder(spark, "search_index"), columns=_INDEXED, fan_in=2)
+    older = F.concat(F.lit("earlier text "), "parsed_text")
+    index.refresh(docs.filter("symbol IS NOT NULL").withColumns(
+        {"parsed_text": older, "modified_at": F.col("modified_at") - F.expr("INTERVAL 1 DAY")}))
+    for _ in range(2):
+        index.refresh(docs)
+    return _ranked(index, spark, sf_dir, "sentiment = 'positive'").select(
+        "query_id", "rank", "file_name", "score", "symbol", "fiscal_period", "sentiment", "summary")
+
+
+_INDEXED = ("file_name", "symbol", "fiscal_period", "sentiment", "summary")
+
+
+def _ranked(index, spark, sf_dir, filters=None):
+    top = index.topk(adapter.read_table(spark, sf_dir, "benchmark"), k=3, qid_col="item_id", filters=filters)
+    return top.withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("bm25_pruned", O.with_ctes_and(_bm25_sql(3).replace("e.symbol, e.sentiment", "e.symbol")))
+def q_bm25_pruned(spark, sf_dir):
+    """The same ranking from impact blocks: only blocks that can reach the top are read."""
+    raw = Silver(spark, sf_dir).transcripts_raw().withColumn("modified_at", F.col("loaded_at"))
+    index = SearchIndex(spark, scratch_folder(spark, "search_index"), columns=("file_name", "symbol"))
+    index.refresh(raw)
+    return _ranked(index, spark, sf_dir).select("query_id", "rank", "file_name", "score", "symbol")
 
 
 _NEIGHBOURS_SQL = """
