@@ -21,7 +21,7 @@ from . import oracle as O
 from .operators import cdc, governance, quality, reports, search, signals
 from .operators.tiered_index import SearchIndex
 from .plans import build, marts, semantic, staging
-from .session import hadoop_path, materialize, scratch_folder, scratch_root
+from .session import drop_databases, hadoop_path, materialize, scratch_folder
 from .sources import adapter, documents, sinks
 
 AS_OF = O.AS_OF
@@ -589,7 +589,7 @@ def q_cdc_stream_apply(spark, sf_dir):
     load), applied by two streams with checkpoints of their own; must equal the batch."""
     from .sources import schemas
     from .streaming import changefeed
-    root = f"{scratch_root(spark)}/cdc_stream_apply-{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "cdc_stream_apply")
     changes = adapter.customers(spark, sf_dir)
     cut = F.lit("2024-02-01").cast("timestamp_ntz")
     keys, order = "customer_id", ["updated_at", "_ingested_at"]
@@ -644,9 +644,9 @@ FROM per"""
 
 
 def _build(spark, sf_dir, **options):
-    name = uuid.uuid4().hex
-    return f"build_{name}", build.build(spark, adapter.bronze(spark, sf_dir), sink=f"{scratch_root(spark)}/builds/{name}",
-                                        as_of=O.AS_OF, schema=f"build_{name}", **options)
+    name = f"build_{uuid.uuid4().hex}"
+    drop_databases(spark, name)
+    return name, build.build(spark, adapter.bronze(spark, sf_dir), sink=scratch_folder(spark, "builds"), as_of=O.AS_OF, schema=name, **options)
 
 
 @register("gated_build_report", O.with_ctes_and(_STATUS_SQL))
@@ -670,7 +670,7 @@ def q_gold_tables(spark, sf_dir):
 @register("documents_landed", _q("SELECT file_name, symbol, fiscal_period, parsed_text FROM transcripts_raw WHERE file_name ILIKE '%.pdf'"))
 def q_documents_landed(spark, sf_dir):
     """Truncate-and-load: the second load replaces the first."""
-    path = f"{scratch_root(spark)}/documents_landed-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "documents_landed")
     stage = adapter.document_stage(spark, sf_dir)
     documents.land_documents(stage, path, pattern="%.txt")
     documents.land_documents(stage, path)
@@ -679,32 +679,26 @@ def q_documents_landed(spark, sf_dir):
 
 def _metric_history(spark, sf_dir) -> DataFrame:
     """Two runs of all metrics of investor_360, accumulated with the time of measurement."""
-    path = f"{scratch_root(spark)}/dq_metric_history-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "dq_metric_history")
     found = materialize(quality.metrics(Silver(spark, sf_dir).investor_360(), DQ_METRICS["investor_360"], "investor_360"), "metrics")
     for hour in range(2):
         quality.append_results(found, path, dt.datetime(2026, 1, 1, hour))
     return spark.read.parquet(path)
 
 
-@register("dq_metric_history", _q("""
-SELECT t.measured_at, m.* FROM (VALUES (TIMESTAMP '2026-01-01 00:00:00'), (TIMESTAMP '2026-01-01 01:00:00')) AS t(measured_at), (
-  SELECT 'investor_360' AS "table", 'negative_aum' AS metric, 'assets_under_management' AS "column",
-         count(*) FILTER (assets_under_management < 0) AS value FROM investor_360
-  UNION ALL SELECT 'investor_360', 'null_email', 'email', count(*) FILTER (email IS NULL) FROM investor_360) m"""))
-def q_dq_metric_history(spark, sf_dir):
-    """The accumulated counts of rows by a condition."""
-    return _metric_history(spark, sf_dir).filter("metric <> 'dup_investor_id'")
-
-
-@register("dq_metric_history_all", _q("""
+_HISTORY_SQL = """
 SELECT t.measured_at, m.* FROM (VALUES (TIMESTAMP '2026-01-01 00:00:00'), (TIMESTAMP '2026-01-01 01:00:00')) AS t(measured_at), (
   SELECT 'investor_360' AS "table", 'negative_aum' AS metric, 'assets_under_management' AS "column",
          count(*) FILTER (assets_under_management < 0) AS value FROM investor_360
   UNION ALL SELECT 'investor_360', 'dup_investor_id', 'investor_id',
          count(*) - count(DISTINCT investor_id) - max(CASE WHEN investor_id IS NULL THEN 1 ELSE 0 END) FROM investor_360
-  UNION ALL SELECT 'investor_360', 'null_email', 'email', count(*) FILTER (email IS NULL) FROM investor_360) m"""))
-def q_dq_metric_history_all(spark, sf_dir):
-    """Every metric declared for the table, duplicates included."""
+  UNION ALL SELECT 'investor_360', 'null_email', 'email', count(*) FILTER (email IS NULL) FROM investor_360) m"""
+
+
+@register("dq_metric_history_all", _q(_HISTORY_SQL))
+@register("dq_metric_history", _q(_HISTORY_SQL))
+def q_dq_metric_history(spark, sf_dir):
+    """Every metric declared for the table over two runs; the second name is an earlier one."""
     return _metric_history(spark, sf_dir)
 
 
@@ -848,7 +842,7 @@ def _synced_documents(spark, sf_dir) -> DataFrame:
     """doc_id, source, text of the documents as landed from files of JSON lines, new, delivered
     again without change and rewritten in place, in three runs; the newest version of each."""
     from .streaming import documents as docstream
-    root = f"{scratch_root(spark)}/docs_sync-{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "docs_sync")
     docs = adapter.read_table(spark, sf_dir, "documents")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = 3 * (1 + size // 12_000_000)           # a file holds about 4 MB of text
@@ -880,3 +874,6 @@ def q_docs_sync_texts(spark, sf_dir):
     """The synced documents with length and digest of the text that was landed."""
     return _synced_documents(spark, sf_dir).select("doc_id", "source", F.length("text").cast("long").alias("text_chars"),
                                                    F.sha2("text", 256).alias("text_digest"))
+
+
+from . import registry_services  # noqa: E402,F401  (registers its queries; needs the names above)

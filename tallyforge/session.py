@@ -85,9 +85,20 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/materialized/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+_DATABASES: dict[str, set[str]] = {}
+
+
+def drop_databases(spark: SparkSession, *names: str) -> None:
+    """Have ``clean_scratch`` drop these databases, which lie below the scratch folder."""
+    _DATABASES.setdefault(spark.sparkContext.applicationId, set()).update(names)
+
+
 def clean_scratch(spark: SparkSession) -> None:
-    """Delete the intermediates this application has stored. Call it when no
-    DataFrame made so far will be read again, at the end of a job."""
+    """Delete the intermediates this application has stored and the databases registered
+    with ``drop_databases``. Call it when no DataFrame made so far will be read again, at
+    the end of a job."""
+    for name in _DATABASES.pop(spark.sparkContext.applicationId, ()):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     remove_path(spark, f"{scratch_root(spark)}/materialized/{spark.sparkContext.applicationId}")
 
 
