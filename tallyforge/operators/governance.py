@@ -5,19 +5,18 @@
   3166 alpha-2 country code; categories above a threshold are reported with
   their privacy category. Names are not detected (they need an explicit tag).
 * Tags live in ``StructField.metadata`` (``tag`` / ``tags``). Metadata survives
-  plain column selection but not expressions, so tag after the model is built.
+  plain column selection but not expressions: ``tag_lineage`` carries tags to derived
+  columns and keeps them in the catalog's table.
 * ``apply_masking`` rewrites every column tagged ``pii = 'Y'``: privileged
   roles see clear text; EMAIL columns keep their domain; anything else becomes
   ``****MASKED****`` (NULL included, as the policy's ELSE branch has no NULL
-  test). Masking is a projection, so readers of the stored files bypass it —
-  publish the masked DataFrame as the governed table or view.
+  test). Masking is a projection; ``tag_lineage.publish`` stores a table with views
+  that mask by role.
 """
 
 from __future__ import annotations
 
 import functools
-import importlib.resources
-import os
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,23 +34,22 @@ PRIVACY_TAG = "privacy_category"
 PII_TAG = "pii"
 
 
+# ISO 3166-1 alpha-2 codes, each first letter with the second letters in use.
+_COUNTRY_LETTERS = """
+    A:DEFGILMOQRSTUWXZ B:ABDEFGHIJLMNOQRSTVWYZ C:ACDFGHIKLMNORUVWXYZ D:EJKMOZ
+    E:CEGHRST F:IJKMOR G:ABDEFGHILMNPQRSTUWY H:KMNRTU
+    I:DELMNOQRST J:EMOP K:EGHIMNPRWYZ L:ABCIKRSTUVY
+    M:ACDEFGHKLMNOPQRSTUVWXYZ N:ACEFGILOPRUZ O:M P:AEFGHKLMNRSTWY
+    Q:A R:EOSUW S:ABCDEGHIJKLMNORSTVXYZ T:CDFGHJKLMNORTVWZ
+    U:AGMSYZ V:ACEGINU W:FS Y:ET
+    Z:AMW
+"""
+
+
 @functools.lru_cache(maxsize=1)
 def iso_country_codes() -> tuple[str, ...]:
-    """ISO 3166-1 alpha-2 codes, read from the IANA time-zone database's
-    ``iso3166.tab`` (shipped with the tzdata package / the OS)."""
-    text = None
-    try:
-        text = importlib.resources.files("tzdata").joinpath("zoneinfo", "iso3166.tab").read_text("utf-8")
-    except Exception:  # noqa: BLE001
-        for p in ("/usr/share/zoneinfo/iso3166.tab", "/usr/lib/zoneinfo/iso3166.tab"):
-            if os.path.exists(p):
-                with open(p, encoding="utf-8") as fh:
-                    text = fh.read()
-                break
-    if text is None:
-        raise RuntimeError("iso3166.tab not found: install tzdata or pass country_codes")
-    codes = [ln.split("\t", 1)[0].strip() for ln in text.splitlines() if ln and not ln.startswith("#")]
-    return tuple(sorted(c for c in codes if len(c) == 2))
+    """ISO 3166-1 alpha-2 codes; the same on every machine."""
+    return tuple(group[0] + second for group in _COUNTRY_LETTERS.split() for second in group[2:])
 
 
 def category_rules(country_codes=None) -> dict[str, callable]:

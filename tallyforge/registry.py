@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
-import time
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -439,7 +438,7 @@ def q_transcript_preview(spark, sf_dir):
     # the range sort samples its input before shuffling it: store the short
     # preview rows once (not the texts) so the text job runs once
     rows = materialize(t.select("file_name", "symbol", "sentiment", "preview", "outlook"), "transcript_preview")
-    return rows.orderBy("symbol")
+    return rows.orderBy("symbol", "file_name")           # one symbol, or none, may hold a third of the rows
 
 
 @register("html_text", _q(f"SELECT page_id, url, {O.html_text('html')} AS text FROM pages"))
@@ -823,9 +822,9 @@ def q_cosine_neighbours(spark, sf_dir):
 
 # ----------------------------------------------------------- document sync
 
-def _deliver(spark, rows: DataFrame, folder: str, bucket: str) -> None:
-    """Write the rows as one file per value of ``bucket``, under a fixed name: a second
-    delivery rewrites the file in place."""
+def _deliver(spark, rows: DataFrame, folder: str, bucket: str, at: int) -> None:
+    """Write the rows as one file per value of ``bucket``, under a fixed name and with the
+    file time ``at`` (seconds): a second delivery rewrites the file in place."""
     work = f"{folder}-{uuid.uuid4().hex}"
     rows.repartition(bucket).write.partitionBy(bucket).text(work)
     fs, root = hadoop_path(spark, work)
@@ -836,6 +835,7 @@ def _deliver(spark, rows: DataFrame, folder: str, bucket: str) -> None:
         target = path(f"{folder}/batch_{name}.pdf")
         fs.delete(target, False)
         fs.rename(found.getPath(), target)
+        fs.setTimes(target, at * 1000, -1)
 
 
 def _synced_documents(spark, sf_dir) -> DataFrame:
@@ -851,11 +851,10 @@ def _synced_documents(spark, sf_dir) -> DataFrame:
         return rows.select(F.to_json(F.struct("doc_id", F.concat(F.lit(mark), "source").alias("source"), "text")).alias("value"),
                            F.pmod("doc_id", F.lit(files)).alias("bucket"))
 
-    _deliver(spark, lines(docs.filter("doc_id % 3 <> 2")), f"{root}/stage", "bucket")
+    _deliver(spark, lines(docs.filter("doc_id % 3 <> 2")), f"{root}/stage", "bucket", 1_700_000_000)
     docstream.sync_documents(spark, f"{root}/stage", f"{root}/landed")
     docstream.sync_documents(spark, f"{root}/stage", f"{root}/landed")
-    time.sleep(1.1)                                # file times may be whole seconds
-    _deliver(spark, lines(docs.filter("doc_id % 3 = 1"), "changed ").unionByName(lines(docs.filter("doc_id % 3 = 2"))), f"{root}/stage", "bucket")
+    _deliver(spark, lines(docs.filter("doc_id % 3 = 1"), "changed ").unionByName(lines(docs.filter("doc_id % 3 = 2"))), f"{root}/stage", "bucket", 1_700_000_060)
     docstream.sync_documents(spark, f"{root}/stage", f"{root}/landed")
     row = F.from_json("line", "doc_id long, source string, text string")
     return (docstream.current_documents(spark, f"{root}/landed").select(F.explode(F.split("parsed_text", "\n")).alias("line"))

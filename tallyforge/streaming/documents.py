@@ -31,13 +31,19 @@ def _files(spark: SparkSession, src_dir: str, pattern: str) -> DataFrame:
             .option("pathGlobFilter", _glob(pattern)).load(src_dir))
 
 
+# Files up to which a sync names the paths it wants (the listing itself, which Spark holds
+# on the driver as well, is longer); more than that is most of a stage.
+NAMED_FILES = 20_000
+
+
 def sync_documents(spark: SparkSession, src_dir: str, out_dir: str, pattern: str = "%.pdf") -> int:
     """Land the new and the changed files of ``src_dir``; returns how many.
 
     Landed rows: path, file_name, symbol, fiscal_period, parsed_text, error,
     modified_at, loaded_at. A version of a file is its path and modification
     time; a version landed before is left out, so repeating a run lands nothing.
-    Only files at least as new as the oldest one missing are opened.
+    Only the missing files are opened: up to NAMED_FILES by their paths, beyond that by
+    reading the stage from the oldest missing time on.
     """
     listed = _files(spark, src_dir, pattern).select("path", F.col("modificationTime").alias("modified_at"))
     if path_exists(spark, out_dir):
@@ -47,9 +53,12 @@ def sync_documents(spark: SparkSession, src_dir: str, out_dir: str, pattern: str
     n, since = missing.agg(F.count("*"), F.min("modified_at")).first()
     if not n:
         return 0
+    if n <= NAMED_FILES:
+        read = spark.read.format("binaryFile").load([r["path"] for r in missing.select("path").collect()])
+    else:
+        read = _files(spark, src_dir, pattern).filter(F.col("modificationTime") >= F.lit(since))
     want = missing.select(F.col("path").alias("p"), F.col("modified_at").alias("m"))
-    read = (_files(spark, src_dir, pattern).filter(F.col("modificationTime") >= F.lit(since))
-            .join(want, (F.col("path") == F.col("p")) & (F.col("modificationTime") == F.col("m")), "left_semi"))
+    read = read.join(want, (F.col("path") == F.col("p")) & (F.col("modificationTime") == F.col("m")), "left_semi")
     text = F.col("content").cast("string")
     valid = F.is_valid_utf8(text)
     rows = document_keys(read.select(
@@ -61,8 +70,16 @@ def sync_documents(spark: SparkSession, src_dir: str, out_dir: str, pattern: str
 
 
 def current_documents(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The newest landed version of every file."""
-    return latest_by_key(spark.read.parquet(out_dir), "path", order=["modified_at"], tiebreak=["loaded_at"])
+    """The newest landed version of every file. Versions are chosen on their keys; the
+    superseded ones are stored as keys and taken out of the landed rows, so texts stay
+    where they lie unless the superseded keys are too many to be sent to them."""
+    landed, key = spark.read.parquet(out_dir), ["path", "modified_at", "loaded_at"]
+    versions = landed.select(*key)
+    newest = latest_by_key(versions, "path", order=["modified_at"], tiebreak=["loaded_at"]).select(
+        F.col("path").alias("p"), F.col("modified_at").alias("m"), F.col("loaded_at").alias("l"))
+    old = materialize(versions.join(newest, (F.col("path") == F.col("p")) & ~((F.col("modified_at") == F.col("m")) & (F.col("loaded_at") == F.col("l"))))
+                      .select(*key).distinct(), "superseded")
+    return landed.join(old, key, "left_anti")
 
 
 def refresh_index(spark: SparkSession, documents: DataFrame, index_dir: str,

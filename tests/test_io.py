@@ -83,3 +83,16 @@ def test_replaced_table_survives_a_failed_build(spark, scratch):
         sinks.replace_table(spark.range(3).selectExpr("raise_error('no such row') AS x"), "kept.t")
     assert spark.table("kept.t").count() == 2
     assert sinks.replace_table(spark.createDataFrame([(7,)], "x int"), "kept.t").first()["x"] == 7
+
+
+def test_replacement_cut_off_between_the_renames_is_brought_back(spark, scratch):
+    sinks.create_layers(spark, ("cut_off",), scratch)
+    sinks.replace_table(spark.createDataFrame([(1,)], "x int"), "cut_off.t")
+    spark.sql("ALTER TABLE cut_off.t RENAME TO cut_off.t__replaced")             # where a crash may leave it
+    assert sinks.restore_table(spark, "cut_off.t") and spark.table("cut_off.t").first()["x"] == 1
+    spark.sql("ALTER TABLE cut_off.t RENAME TO cut_off.t__replaced")
+    with pytest.raises(Exception, match="no such row"):
+        sinks.replace_table(spark.range(3).selectExpr("raise_error('no such row') AS x"), "cut_off.t")
+    assert spark.table("cut_off.t").first()["x"] == 1
+    assert sinks.replace_table(spark.createDataFrame([(2,)], "x int"), "cut_off.t").first()["x"] == 2
+    assert not spark.catalog.tableExists("cut_off.t__replaced")
