@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .operators import governance, quality, search, slice_metrics, tag_lineage
+from .operators import governance, quality, search, sentence_graph, slice_metrics, tag_lineage
 from .operators.vector_cells import VectorCells
 from .plans import build, semantic
 from .plans.lattice import Lattice
-from .registry import Silver, _NEIGHBOURS_SQL, _q, register
+from .registry import COMMON_OUTLOOK, Silver, _NEIGHBOURS_SQL, _q, register
 from .session import drop_databases, materialize, scratch_folder
-from .sources import adapter, schemas
+from .sources import adapter, layout, schemas
 from .streaming import feed, keyed_state
 
 # ------------------------------------------------------------- change feeds
@@ -254,3 +254,76 @@ def q_silver_views(spark, sf_dir):
     for m in build.SILVER:
         spark.catalog.dropTempView(f"{prefix}{m}")
     return functools.reduce(DataFrame.unionByName, counts)
+
+
+# ------------------------------------------------------------ sentence graph
+
+def _graph_sql(terms) -> str:
+    rounds = []
+    for n in range(sentence_graph.ROUNDS):
+        rounds.append(f"""x{n} AS (SELECT s.path, s.i, s.w, CASE WHEN s.total > 0 THEN {sentence_graph.UNIT} * r.rank // s.total ELSE 0 END AS x
+        FROM size s JOIN r{n} r ON r.path = s.path AND r.i = s.i),
+y{n} AS (SELECT k.path, k.t, sum(x.x)::BIGINT AS y FROM k JOIN x{n} x ON x.path = k.path AND x.i = k.i GROUP BY k.path, k.t),
+g{n} AS (SELECT k.path, k.i, sum(y.y)::BIGINT AS got FROM k JOIN y{n} y ON y.path = k.path AND y.t = k.t GROUP BY k.path, k.i),
+r{n + 1} AS (SELECT x.path, x.i, {15 * sentence_graph.UNIT // 100} + 85 * (g.got - x.w * x.x) // {100 * sentence_graph.UNIT} AS rank
+         FROM x{n} x JOIN g{n} g ON g.path = x.path AND g.i = x.i)""")
+    words = ", ".join(f"'{t}'" for t in terms)
+    return f"""
+, sent AS (SELECT path, file_name, i, l[i] AS s FROM (SELECT path, file_name, l, unnest(range(1, len(l) + 1)) AS i
+           FROM (SELECT path, file_name, regexp_extract_all(parsed_text, '{O.SENTENCE_RE}') AS l FROM transcripts_raw)))
+, k AS (SELECT DISTINCT path, i, unnest(regexp_extract_all(lower(s), '{O.TOKEN_RE}')) AS t FROM sent)
+, h AS (SELECT path, t, count(*) AS n FROM k GROUP BY path, t)
+, size AS (SELECT k.path, k.i, count(*) AS w, sum(h.n - 1)::BIGINT AS total FROM k JOIN h ON h.path = k.path AND h.t = k.t GROUP BY k.path, k.i)
+, r0 AS (SELECT path, i, {sentence_graph.UNIT}::BIGINT AS rank FROM size)
+, {(chr(10) + ", ").join(rounds)}
+, best AS (SELECT r.path, r.i, r.rank, row_number() OVER (PARTITION BY r.path ORDER BY r.rank DESC, r.i) AS n
+           FROM r{sentence_graph.ROUNDS} r WHERE EXISTS (SELECT 1 FROM k WHERE k.path = r.path AND k.i = r.i AND k.t IN ({words})))
+SELECT s.file_name, b.rank AS summary_rank, regexp_replace(regexp_replace(s.s, '[ \t\n\r\f]+', ' ', 'g'), '^ +| +$', '', 'g') AS summary
+FROM best b JOIN sent s ON s.path = b.path AND s.i = b.i WHERE b.n = 1"""
+
+
+@register("outlook_sentence_graph", O.with_ctes_and(_graph_sql(COMMON_OUTLOOK)))
+def q_outlook_sentence_graph(spark, sf_dir):
+    """The most central sentence with an outlook word (common words, so that most texts have one)."""
+    raw = Silver(spark, sf_dir).transcripts_raw()
+    found = sentence_graph.central_sentences(raw.select("path", "file_name", "parsed_text"), terms=COMMON_OUTLOOK)
+    return found.filter("summary IS NOT NULL").select("file_name", "summary_rank", "summary")
+
+
+# -------------------------------------------------------------- layout blocks
+
+def _layout_sql() -> str:
+    dropped = "html"
+    for pattern in layout.DROPPED:
+        dropped = f"regexp_replace({dropped}, '{pattern}', ' ', 'g')"
+    text = "coalesce(string_agg(tok, ' ' ORDER BY pos) FILTER (tok NOT LIKE '<%' OR length(tok) = 1), '')"
+    for entity, ch in layout.ENTITIES:
+        text = f"replace({text}, '{entity}', {'chr(39)' if ch == chr(39) else chr(39) + ch + chr(39)})"
+    tags = ", ".join(f"'{t}'" for t in layout.BLOCK_TAGS)
+    kinds = " ".join(f"WHEN tag = '{t}' THEN '{k}'" for t, k in layout.KINDS.items())
+    newest = ", ".join(f"max(CASE WHEN level = {n} THEN no END) OVER before AS at{n}, "
+                       f"last_value(CASE WHEN level = {n} THEN text END IGNORE NULLS) OVER before AS name{n}" for n in range(1, 7))
+    above = ", ".join("CASE WHEN " + " AND ".join([f"at{n} IS NOT NULL", f"(level IS NULL OR level > {n})",
+                                                   *(f"coalesce(at{o} < at{n}, TRUE)" for o in range(1, n))]) + f" THEN name{n} END" for n in range(1, 7))
+    cells = ", ".join(f"CASE WHEN kind = 'cell' THEN {c} END AS {c}" for c in ("table_no", "row_no", "cell_no"))
+    return f"""
+WITH t AS (SELECT page_id, l[i] AS tok, i AS pos FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i
+           FROM (SELECT page_id, regexp_extract_all({dropped}, '{layout.TOKEN}') AS l FROM pages))),
+g AS (SELECT *, lower(regexp_extract(tok, '{layout.TAG}', 1)) AS tag FROM t),
+c AS (SELECT *, ltrim(tag, '/') IN ({tags}) AS cut FROM g),
+n AS (SELECT *, sum(cut::INT) OVER (PARTITION BY page_id ORDER BY pos) AS no, sum((tag = 'table')::INT) OVER (PARTITION BY page_id ORDER BY pos) AS table_no FROM c),
+m AS (SELECT *, sum((tag = 'tr')::INT) OVER (PARTITION BY page_id, table_no ORDER BY pos) AS row_no FROM n),
+o AS (SELECT *, sum((tag IN ('td', 'th'))::INT) OVER (PARTITION BY page_id, table_no, row_no ORDER BY pos) AS cell_no FROM m),
+b AS (SELECT page_id, no, max(CASE WHEN cut THEN tag END) AS tag, max(table_no)::BIGINT AS table_no, max(row_no)::BIGINT AS row_no, max(cell_no)::BIGINT AS cell_no,
+             regexp_replace(regexp_replace({text}, '[ \t\n\r\f]+', ' ', 'g'), '^ +| +$', '', 'g') AS text FROM o GROUP BY page_id, no),
+k AS (SELECT *, CASE {kinds} WHEN regexp_matches(tag, '^h[1-6]$') THEN 'heading' ELSE 'paragraph' END AS kind,
+             CASE WHEN regexp_matches(tag, '^h[1-6]$') THEN CAST(substr(tag, 2, 1) AS INTEGER) END AS level FROM b WHERE text <> ''),
+a AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY no) - 1 AS block, {newest} FROM k
+      WINDOW before AS (PARTITION BY page_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT page_id, block, kind, level, concat_ws(' > ', {above}) AS path, {cells}, text FROM a"""
+
+
+@register("layout_blocks", _layout_sql())
+def q_layout_blocks(spark, sf_dir):
+    """Every page as ordered blocks with their kind and the headings above them."""
+    return layout.blocks(adapter.read_table(spark, sf_dir, "pages"))
