@@ -55,7 +55,7 @@ ln AS (SELECT r, host, t, x, row_number() OVER (PARTITION BY r, x) AS nth,
 dup AS (SELECT r, count(*) AS n FROM ln WHERE nth > 1 GROUP BY r),
 hosts AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
 freq AS (SELECT l.host, l.norm FROM ln l JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host
-         GROUP BY l.host, l.norm, h.docs HAVING count(DISTINCT l.t) > 20 AND count(DISTINCT l.t) * 100 > h.docs),
+         GROUP BY l.host, l.norm, h.docs HAVING count(DISTINCT l.t) > 20 AND (count(DISTINCT l.t) * 100 > h.docs OR max(l.words) >= 10)),
 gone AS (SELECT l.r, sum(l.words) AS n FROM ln l JOIN freq f ON l.host IS NOT DISTINCT FROM f.host AND l.norm = f.norm GROUP BY l.r),
 s AS (SELECT w.r, w.doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars,
              len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -114,8 +114,8 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(sql=_LINE_RULES_SQL)
 def op4_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts of every text and the verdict of the line-frequency rule."""
-    return rules.line_rules(table(spark, sf_dir, "documents"))
+    """Base counts of every text and the verdict of the line-frequency rule, by the limits of the cleaned documents."""
+    return rules.line_rules(table(spark, sf_dir, "documents"), long_words=rules.LONG_WORDS)
 
 
 _CLEANED_SQL = r"""
