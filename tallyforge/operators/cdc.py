@@ -10,6 +10,12 @@ fields are the ordering columns, instead of ``row_number()`` over a window:
 * the output is hash-partitioned on the key, which later joins on the same key
   reuse without another exchange.
 
+With strings in the payload Spark runs this as a sort aggregate. The other way, a hash
+aggregate of a fixed-width order key and a shuffled hash join of the payload by (key,
+order), was measured on 6 million rows of 200 bytes, local[8]: 11.9 s against 5.4 s with
+1.2 versions a key, 11.4 s against 5.3 s with 6. It moves every version's payload and
+loses the partitioning by key, so this form stays.
+
 Ordering semantics: the ordering columns compare descending with NULLs last
 (a NULL never beats a value); the remaining columns (tie-break columns first)
 break exact ties, so the result is deterministic. All payload columns must be
