@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sampling
-from .common import held_out, runs, slices, texts_of
+from .common import Scratch, held_out, runs, slices, texts_of
 from .features import BITS, SLICE, word_features
 
 POSITIVE_DOCS = 6000      # confirmed documents trained on, at most
@@ -61,13 +61,13 @@ def _take(flat: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np.nd
     return np.concatenate(parts), np.repeat(np.arange(len(rows)), [len(p) for p in parts])
 
 
-def distinctive(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, min_z: float) -> np.ndarray:
-    """Buckets whose document share among the positives differs from the unlabelled
-    share by at least ``min_z`` standard deviations. With few positives and many
-    rare words, everything else would only be memorised."""
-    own = np.bincount(np.concatenate(positive), minlength=size) / len(positive)
-    rest = (np.bincount(np.concatenate(unlabelled), minlength=size) + 1) / (len(unlabelled) + 2)
-    return np.abs(own - rest) >= min_z * np.sqrt(rest * (1 - rest) / len(positive) + 1 / len(positive) ** 2)
+def distinctive(own: np.ndarray, rest: np.ndarray, n_own: int, n_rest: int, min_z: float) -> np.ndarray:
+    """Buckets whose document share among the ``n_own`` positives differs from the
+    unlabelled share by at least ``min_z`` standard deviations, from the documents that
+    hold each. With few positives and many rare words, everything else would only be
+    memorised."""
+    own, rest = own / n_own, (rest + 1) / (n_rest + 2)
+    return np.abs(own - rest) >= min_z * np.sqrt(rest * (1 - rest) / n_own + 1 / n_own ** 2)
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, members: int = MEMBERS, epochs: int = EPOCHS,
@@ -78,7 +78,8 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     base = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(np.zeros(size, np.float32), base)
-    keep = distinctive(positive, unlabelled, size, min_z)
+    held = [np.bincount(np.concatenate(x), minlength=size) for x in (positive, unlabelled)]
+    keep = distinctive(*held, len(positive), len(unlabelled), min_z)
     p_flat, p_starts = _matrix(positive, keep)
     u_flat, u_starts = _matrix(unlabelled, keep)
     weights = np.zeros(size)
@@ -148,20 +149,49 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: str =
         positive_docs: int = POSITIVE_DOCS, unlabelled_docs: int = UNLABELLED_DOCS) -> Model:
     """Train on at most ``positive_docs`` confirmed and ``unlabelled_docs`` unlabelled
     documents, all outside the held-out fold; the prior is the confirmed share of
-    at most ``PRIOR_DOCS`` labelled rows. The driver receives the distinct word
-    buckets of these documents. Only text is an input."""
+    at most ``PRIOR_DOCS`` labelled rows. Distinctive word buckets are chosen from counts
+    in Spark and the driver receives those of these documents. Only text is an input."""
     known = sampling.training_labels(labels, target)
     counted = sampling.drawn(known, PRIOR_DOCS, seed=3).agg(F.avg("label").alias("p"), F.count("*").alias("n")).first()
     prior = min(max((counted["p"] or 0) * 1.0, 1e-3), 0.5) if counted["n"] else 0.01
     positive = sampling.drawn(known.filter(F.col("label") == 1), positive_docs, seed=5).select("doc_id", F.lit(1).alias("positive"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     unlabelled = sampling.drawn(ids, unlabelled_docs, seed=6).select("doc_id", F.lit(0).alias("positive"))
-    rows = sampling.with_texts(positive.union(unlabelled), docs, id_col, text_col).mapInArrow(
-        _draw, "doc_id long, positive int, features binary").toPandas().sort_values(["doc_id", "positive"], kind="stable")
+    stored = Scratch(docs.sparkSession, "toxicity").store(sampling.with_texts(positive.union(unlabelled), docs, id_col, text_col).mapInArrow(
+        _draw, "doc_id long, positive int, features binary"), "features")
+    keep = _kept_buckets(stored)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features = [np.frombuffer(f, "<u4") for f in batch.column("features").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("positive"),
+                                              pa.array([f[keep[f]].tobytes() for f in features], pa.binary())], ["doc_id", "positive", "features"])
+
+    rows = stored.mapInArrow(reduce, stored.schema).toPandas().sort_values(["doc_id", "positive"], kind="stable")
     found = {k: [np.frombuffer(f, "<u4").astype(np.int64) for f in rows["features"][rows["positive"] == k]] for k in (0, 1)}
     return train(found[1], found[0], prior)
 
 
+def _kept_buckets(stored: DataFrame, bits: int = BITS, min_z: float = MIN_Z) -> np.ndarray:
+    """The distinctive buckets, from their document counts in Spark: at most 2 ** bits
+    counts of each side reach the driver, however long the texts are."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((2, 1 << bits), np.int64)
+        for batch in batches:
+            for positive, f in zip(batch.column("positive").to_pylist(), batch.column("features").to_pylist()):
+                held[positive, np.frombuffer(f, "<u4")] += 1            # distinct buckets of a document
+        side, bucket = np.nonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(side, pa.int32()), pa.array(bucket, pa.int64()), pa.array(held[side, bucket])], ["side", "bucket", "n"])
+
+    counts = stored.mapInArrow(count, "side int, bucket long, n long").groupBy("side", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    docs = {r["positive"]: r["count"] for r in stored.groupBy("positive").count().collect()}
+    if not docs.get(0) or not docs.get(1):
+        return np.zeros(1 << bits, bool)
+    held = np.zeros((2, 1 << bits), np.int64)
+    held[counts["side"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"].to_numpy()
+    return distinctive(held[1], held[0], docs[1], docs[0], min_z)
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the column ``name`` (double, 0 to 1) in front, replacing one of that
     name. Whole texts; null counts as empty. Map-only."""

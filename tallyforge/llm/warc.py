@@ -22,18 +22,18 @@ import hashlib
 import io
 import json
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_root
+from ..session import hadoop_path, materialize, scratch_folder
 
 MIN_REVISIT_BYTES = 1000
 FILE_BYTES = 256 << 20        # an archive is closed beyond this size
@@ -51,8 +51,15 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme, as Spark's own default file system resolves it: tasks
+    open it with Arrow, where a bare path would be the executor's own disk."""
+    fs, path = hadoop_path(spark, folder)
+    return fs.makeQualified(path).toString()
+
+
 def new_archive_folder(spark: SparkSession) -> str:
-    return f"{scratch_root(spark)}/warc/{uuid.uuid4().hex}"
+    return scratch_folder(spark, "warc")
 
 
 def url_key(url: str | None) -> str:
@@ -153,6 +160,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     never referred to; equal ids are records of their own; an empty table writes
     nothing. Records stream through a task, an archive is closed at ``file_bytes``.
     """
+    folder = qualified(pages.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(folder)
@@ -198,6 +206,7 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     ``block_lines`` JSON lines; its directory holds (first key, offset, length) of
     each block.
     """
+    folder = qualified(captures.sparkSession, folder)
     order = ["url_key", "page_id", "file", "offset"]
     dealt = captures.select("url_key", "page_id", "url", "file", "offset", "length").repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -277,18 +286,21 @@ def lookup(urls: DataFrame, index: DataFrame, folder: str, url_col: str = "url")
     tasks, which get the queries of a file together. Null URLs find the captures without a URL;
     unknown URLs find nothing; URLs with one key share their captures.
     """
+    folder = qualified(urls.sparkSession, folder)
     files = sorted((r.first_key, r.last_key, r.index_file) for r in index.select("first_key", "last_key", "index_file").collect())
     first = [f[0] for f in files]
 
-    @F.udf("struct<query string, files array<string>>")
-    def route(url):
-        query = url_key(url)
-        k = bisect.bisect_right(first, query)
-        own = []
-        while k and files[k - 1][1] >= query:       # a key of many captures spans several files
-            k -= 1
-            own.append(files[k][2])
-        return query, own
+    @F.pandas_udf("struct<query string, files array<string>>")
+    def route(urls: pd.Series) -> pd.DataFrame:
+        queries, found = [url_key(u) for u in urls], []
+        for query in queries:
+            k = bisect.bisect_right(first, query)
+            own = []
+            while k and files[k - 1][1] >= query:       # a key of many captures spans several files
+                k -= 1
+                own.append(files[k][2])
+            found.append(own)
+        return pd.DataFrame({"query": pd.Series(queries, dtype=object), "files": pd.Series(found, dtype=object)})
 
     routed = urls.select(F.col(url_col).cast("string").alias("url")).distinct().select(route("url").alias("r"))
     found = routed.select("r.query", F.explode("r.files").alias("index_file")).distinct()
@@ -325,6 +337,7 @@ def fetch(captures: DataFrame, folder: str, with_payload: bool = False) -> DataF
     payload_bytes, payload_digest, refers_to and, on request, payload (null for
     revisits). Captures of one archive are read in order of offset; a large
     archive's captures are dealt to several tasks by ranges of 4 MB."""
+    folder = qualified(captures.sparkSession, folder)
     rows = materialize(captures.select("file", "offset", "length"), "warc-fetch")
     tasks = 1 + (rows.agg(F.sum("length")).first()[0] or 0) // FETCH_BYTES
     spread = rows.repartition(tasks, "file", F.shiftright("offset", 22)).sortWithinPartitions("file", "offset")
