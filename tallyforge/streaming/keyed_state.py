@@ -2,8 +2,11 @@
 
 The state store of the stream holds, per key, the order of the newest version seen, a
 digest that breaks ties and whether that version is a tombstone: three fixed-width
-fields, however wide the rows are. A micro-batch's newest row per key is compared with
-it and comes out as ``insert``, ``update`` or ``delete`` if it changes the live table; a
+fields, however wide the rows are. Keys are dealt by their hash to ``buckets`` groups; a
+group keeps its keys in one Arrow table and meets a micro-batch in column operations, so
+no key costs a Python call. The number of buckets belongs to the checkpoint, as the number
+of shuffle partitions does; a micro-batch rewrites the tables of the buckets it touches.
+A micro-batch's newest row per key is compared with the state and comes out as ``insert``, ``update`` or ``delete`` if it changes the live table; a
 late or repeated version comes out as nothing. So a consumer reads changes instead of
 folding all versions again, and any batching in any order ends with the same table.
 
@@ -21,6 +24,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +35,7 @@ from ..operators.cdc import DELETED, is_live, latest_by_key
 from .changefeed import _epochs, stream_id
 
 CHANGE = "_change"
+BUCKETS = 1024           # groups of keys in the state store
 _NULL = -(1 << 63)
 
 
@@ -45,7 +51,7 @@ def _order(df: DataFrame, column: str) -> Column:
     return F.coalesce(c.cast("long"), F.lit(_NULL))
 
 
-def changes_of(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def changes_of(stream: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
     """The changes of the live table: the columns of ``stream`` and ``_change``."""
     keys, order = list(keys), list(order)
     columns = stream.columns
@@ -54,39 +60,89 @@ def changes_of(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     marked = marked.withColumns({"_tie": F.xxhash64(*columns), "_gone": ~is_live() if DELETED in columns else F.lit(False)})
     by = [*ranks, "_tie"]
 
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*stream.schema.fields, T.StructField(CHANGE, T.StringType())])
+    marked = marked.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
     def newest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The newest row per key of a batch, packed: a row per bucket."""
         for batch in batches:
-            frame = batch.select([*keys, *by]).to_pandas()
-            at = frame.sort_values(by).drop_duplicates(keys, keep="last").index.to_numpy()
-            yield batch.take(pa.array(at))
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema.fields)
-    state = T.StructType([T.StructField(f"s{i}", T.LongType()) for i in range(len(by))] + [T.StructField("gone", T.BooleanType())])
-    out = T.StructType([*stream.schema.fields, T.StructField(CHANGE, T.StringType())])
+            kept = batch.take(pa.array(_newest_rows(batch, keys, by)))
+            bucket = kept.column("_bucket").to_numpy()
+            order = np.argsort(bucket, kind="stable")
+            kept, bucket = kept.take(pa.array(order)).drop_columns(["_bucket"]), bucket[order]
+            start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, int)
+            packed = [_pack(kept.slice(i, n)) for i, n in zip(start.tolist(), np.diff(start, append=len(bucket)).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[start], pa.int32()), pa.array(packed, pa.binary())], ["bucket", "rows"])
 
     def step(key, frames, held):
-        best = None
-        for frame in frames:
-            for rank, i in zip(frame[by].itertuples(index=False, name=None), range(len(frame))):
-                if best is None or rank > best[0]:
-                    best = tuple(map(int, rank)), frame.iloc[[i]]
-        known = held.get if held.exists else None
-        if best is None or (known is not None and best[0] <= tuple(known[:-1])):
+        rows = pa.concat_tables(_unpack(x) for frame in frames for x in frame["rows"]).combine_chunks()
+        rows = rows.take(pa.array(_newest_rows(rows, keys, by)))
+        fields = [*keys, *by, "_gone"]
+        known = _unpack(held.get[0]) if held.exists else rows.select(fields).slice(0, 0)
+        code = _codes(pa.concat_tables([known.select(keys), rows.select(keys)]), keys)
+        old, new = code[:len(known)], code[len(known):]
+        at = np.full(code.max(initial=-1) + 1, -1)                        # where the state has a key
+        at[old] = np.arange(len(old))
+        place = at[new]
+        held_before, later, equal = place >= 0, np.zeros(len(new), bool), np.ones(len(new), bool)
+        for c in by:
+            fresh, seen = rows.column(c).to_numpy(), np.append(known.column(c).to_numpy(), 0)[place]
+            later, equal = later | (equal & (fresh > seen)), equal & (fresh == seen)
+        taken = ~held_before | later
+        gone = rows.column("_gone").to_numpy()
+        was = held_before & ~np.append(known.column("_gone").to_numpy(), True)[place]
+        if not taken.any():
             return
-        gone = bool(best[1]["_gone"].iloc[0])
-        held.update((*best[0], gone))
-        was = known is not None and not known[-1]
-        change = "delete" if gone and was else "update" if was else None if gone else "insert"
-        if change is not None:
-            row = best[1][columns].copy()
-            row[CHANGE] = change
-            yield row
+        stays = np.ones(len(old), bool)
+        stays[place[held_before & taken]] = False
+        held.update((_pack(pa.concat_tables([known.filter(pa.array(stays)), rows.select(fields).filter(pa.array(taken))])),))
+        kind = np.where(gone, np.where(was, "delete", ""), np.where(was, "update", "insert"))
+        out = taken & (kind != "")
+        if out.any():
+            changed = rows.select(columns).filter(pa.array(out)).append_column(CHANGE, pa.array(kind[out].tolist(), pa.string()))
+            yield pd.DataFrame({"rows": [_pack(changed)]})
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column("rows").to_pylist():
+                yield from _unpack(packed).to_batches()
+
+    packed = T.StructType([T.StructField("rows", T.BinaryType())])
+    return (marked.mapInArrow(newest, "bucket int, rows binary").groupBy("bucket")
+            .applyInPandasWithState(step, packed, packed, "append", "NoTimeout").mapInArrow(rows_of, ddl))
+
+
+def _pack(rows: pa.RecordBatch | pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
+
+
+def _codes(rows: pa.RecordBatch | pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """A number per row that is equal where all keys are (NULL equals NULL)."""
+    code = np.zeros(rows.num_rows, np.int64)
+    for c in keys:
+        column = rows.column(c)
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        own = column.dictionary_encode(null_encoding="encode")
+        code = np.unique(code * (len(own.dictionary) + 1) + own.indices.to_numpy(), return_inverse=True)[1]
+    return code
+
 
-    return marked.mapInArrow(newest, ddl).groupBy(*keys).applyInPandasWithState(step, out, state, "append", "NoTimeout")
+def _newest_rows(rows: pa.RecordBatch | pa.Table, keys: Sequence[str], by: Sequence[str]) -> np.ndarray:
+    """Where the newest row of each key stands."""
+    code = _codes(rows, keys)
+    order = np.lexsort([*(rows.column(c).to_numpy() for c in reversed(by)), code])
+    return order[np.append(code[order][1:] != code[order][:-1], True)] if len(order) else order
 
 
 def apply_stream(spark: SparkSession, src_dir: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str], out_dir: str,
-                 checkpoint: str, fmt: str = "parquet", max_files_per_trigger: int | None = None):
+                 checkpoint: str, fmt: str = "parquet", max_files_per_trigger: int | None = None, buckets: int = BUCKETS):
     """Process what lies in ``src_dir`` (a later call with the same checkpoint goes on) and
     write the changes; returns the finished query."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -96,7 +152,7 @@ def apply_stream(spark: SparkSession, src_dir: str, schema: T.StructType, keys:
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/run={stream_id(spark, checkpoint)}/epoch={epoch}")
 
-    query = (changes_of(reader.load(src_dir), keys, order).writeStream.outputMode("append").foreachBatch(write)
+    query = (changes_of(reader.load(src_dir), keys, order, buckets).writeStream.outputMode("append").foreachBatch(write)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return query

@@ -78,3 +78,37 @@ def test_keyed_state_kinds_of_changes(spark, scratch):
         keyed_state.apply_stream(spark, f"{scratch}/src/*", spark.createDataFrame([], schema).schema, ["id"], ["at"], f"{scratch}/out", f"{scratch}/ck")
     got = sorted((r["epoch"], r["id"], r["v"], r["_change"]) for r in keyed_state.read_changes(spark, f"{scratch}/out").collect())
     assert got == [(0, 1, "a", "insert"), (1, 1, "b", "update"), (2, 1, "b", "delete"), (3, 1, "c", "insert"), (3, 3, None, "insert"), (4, 3, "n", "update")]
+
+
+def test_keyed_state_calls_python_per_bucket_not_per_key(spark, scratch):
+    """Composite keys with NULLs and long numbers; the state has a row per bucket however many keys there are."""
+    big = (1 << 60) + 1
+    schema = "id long, part string, n long, at long, _deleted boolean"
+    first = [(big + i, ["a", None][i % 2], big + i if i % 3 else None, 1, False) for i in range(300)] + [(None, "z", 1, None, False)]
+    second = [(big + i, ["a", None][i % 2], big - i, 2, i % 2 == 0) for i in range(0, 300, 3)] + [(None, "z", 2, None, False)]
+    for i, rows in enumerate((first, second)):
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{scratch}/src/{i}")
+        query = keyed_state.apply_stream(spark, f"{scratch}/src/*", spark.createDataFrame([], schema).schema, ["id", "part"], ["at"],
+                                         f"{scratch}/out", f"{scratch}/ck", buckets=16)
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 16
+    live = {r[:2]: r[2:4] for r in map(tuple, keyed_state.live_table(spark, f"{scratch}/out", ["id", "part"]).collect())}
+    want = {r[:2]: r[2:4] for r in first} | {r[:2]: r[2:4] for r in second}
+    held = {k: v for k, v in want.items() if k[0] is None or not any(k == r[:2] and r[4] for r in second)}
+    assert {k: v for k, v in live.items() if k[0] is not None} == {k: v for k, v in held.items() if k[0] is not None}
+    assert len(live) == len(held) == 251
+
+
+def test_log_and_stored_batch_are_compressed(spark, scratch):
+    """Row texts repeat their column names: the log takes a fraction of its text, in files of bounded rows."""
+    bronze = adapter.transactions(spark, SF)
+    entries = feed.to_feed(bronze, SOURCES["transactions"], "monotonically_increasing_id()").cache()
+    feed.append_log(entries, f"{scratch}/log")
+    feed.append_log(entries.limit(0), f"{scratch}/log")
+    files = [f for f in spark.read.json(f"{scratch}/log", schema=feed.FEED).inputFiles()]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    text = entries.agg(F.sum(F.length("row"))).first()[0]
+    size = spark.read.format("binaryFile").load(f"{scratch}/log/*.gz").agg(F.sum("length")).first()[0]
+    assert size < 0.25 * text
+    feed.land_feed(spark, f"{scratch}/log", f"{scratch}/raw", f"{scratch}/ck", INCLUDE, schemas.BRONZE)
+    got = feed.read_table(spark, f"{scratch}/raw", "transactions")
+    assert all(".zstd." in f for f in got.inputFiles()) and rows_of(got, bronze.columns) == rows_of(bronze, bronze.columns)
