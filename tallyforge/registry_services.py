@@ -68,7 +68,7 @@ def q_bronze_from_feed(spark, sf_dir):
     bronze = adapter.bronze(spark, sf_dir)
     bronze["audit"] = bronze["risk_metrics"].limit(5)              # a source that is not included
     for i, t in enumerate([*FEED_SOURCES, "audit"]):
-        feed.to_feed(bronze[t], FEED_SOURCES.get(t, f"internal.{t}"), f"monotonically_increasing_id() * 8 + {i}").write.mode("append").json(f"{root}/log")
+        feed.append_log(feed.to_feed(bronze[t], FEED_SOURCES.get(t, f"internal.{t}"), f"monotonically_increasing_id() * 8 + {i}"), f"{root}/log")
     feed.land_feed(spark, f"{root}/log", f"{root}/raw", f"{root}/checkpoint", FEED_INCLUDE, schemas.BRONZE)
     parts = [feed.read_table(spark, f"{root}/raw", t).select(F.lit(t).alias("landed"), F.col("_operation").alias("operation"),
                                                             F.md5(F.expr(_row_text(schemas.BRONZE[t].fieldNames(), "STRING"))).alias("digest"))

@@ -11,7 +11,8 @@ A landed row has the declared columns of its table and ``_operation``, ``_sequen
 are taken over as text behind the declared ones, and rows from before have NULL there.
 Rows that are no JSON object are landed in ``_rejected`` with their text.
 
-A micro-batch is stored once, then written per source to ``<out>/<table>/run=<stream
+Row texts repeat their column names in every row, so the log (``append_log``) and the
+stored micro-batch are compressed. A micro-batch is stored once, then written per source to ``<out>/<table>/run=<stream
 id>/epoch=<n>``; a retried epoch overwrites its own folders, and a log entry delivered
 twice is landed twice with one sequence: ``read_table`` keeps one row per sequence.
 """
@@ -31,6 +32,7 @@ from .changefeed import stream_id
 FEED = T.StructType([T.StructField("source", T.StringType()), T.StructField("operation", T.StringType()),
                      T.StructField("sequence", T.LongType()), T.StructField("row", T.StringType())])
 REJECTED = "_rejected"
+FILE_ROWS = 250_000       # entries of a compressed log file, which one task reads
 MAX_ADDED = 1000          # columns a source may add; more is taken for a fault of the feed
 
 
@@ -46,7 +48,7 @@ def land_feed(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
     def fold(batch: DataFrame, epoch: int) -> None:
         run = f"run={stream_id(spark, checkpoint)}/epoch={epoch}"
         wanted = batch.filter(F.col("source").rlike(f"^(?:{include})$"))
-        stored = materialize(wanted.withColumn("table", F.lower(F.regexp_extract("source", r"([^.]+)$", 1))), "feed")
+        stored = materialize(wanted.withColumn("table", F.lower(F.regexp_extract("source", r"([^.]+)$", 1))), "feed", compression="zstd")
         # names of the tables and of their columns: one aggregate, a row per column of a source
         names = (stored.select("table", F.explode(F.json_object_keys("row")).alias("name")).distinct()
                  .groupBy("table").agg(F.sort_array(F.collect_set("name")).alias("names"), F.count(F.lit(1)).alias("n")))
@@ -63,7 +65,7 @@ def land_feed(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
             rows = rows.select("r.*", "_operation", "_sequence")
             if DELETED in schema.fieldNames():
                 rows = rows.withColumn(DELETED, F.when(F.col("_operation") == "d", F.lit(True)).otherwise(F.col(DELETED)))
-            rows.write.mode("overwrite").parquet(f"{out_dir}/{table}/{run}")
+            rows.write.mode("overwrite").parquet(f"{out_dir}/{table}/{run}", compression="zstd")
         bad = stored.filter(~good | F.col("row").isNull())
         if bad.limit(1).count():
             bad.drop("table").write.mode("overwrite").parquet(f"{out_dir}/{REJECTED}/{run}")
@@ -89,6 +91,12 @@ def read_table(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     return rows.join(twice, "_sequence", "left_anti").unionByName(again.select(*rows.columns))
 
 
+def append_log(entries: DataFrame, path: str) -> None:
+    """Append feed entries to the log at ``path``: JSON lines, compressed, as rows of JSON
+    repeat their column names."""
+    entries.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).json(path, compression="gzip")
+
+
 def to_feed(df: DataFrame, source: str, sequence: str, deleted: str = DELETED) -> DataFrame:
     """Rows of a table as feed entries; ``sequence`` is an SQL expression of the log position."""
     row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
