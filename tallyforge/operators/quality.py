@@ -84,7 +84,9 @@ def _fused(model: str, df: DataFrame, specs: Sequence[DataTest],
             val = c.cast("string")
         emits.append(F.when(cond, F.struct(F.lit(i).alias("tid"), (c.cast("long") if native[i] else number).alias("l"),
                                            (text if native[i] else val).alias("v"))))
-    pairs = df.select(F.explode(F.array_compact(F.array(*emits))).alias("e")).select("e.tid", "e.l", "e.v")
+    # empty places are dropped behind the explode, in generated code: a function over the
+    # array would be evaluated row by row
+    pairs = df.select(F.explode(F.array(*emits)).alias("e")).filter("e IS NOT NULL").select("e.tid", "e.l", "e.v")
     # distinct (test, value) with their row counts; partial aggregation per task
     counted = pairs.groupBy("tid", "l", "v").agg(F.count(F.lit(1)).alias("n"))
     linked = [i for i, t in enumerate(specs) if t.kind == "relationships"]
