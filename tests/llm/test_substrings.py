@@ -1,11 +1,13 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm import substrings
+from tallyforge.llm import common, substrings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -85,3 +87,30 @@ def test_automaton_counts_every_window(seed):
     for seq, _ in members:
         bits = automaton.repeated(seq, 4)
         assert [bits >> k & 1 for k in range(len(seq) - 3)] == [int(counts[tuple(seq[k:k + 4])] > 1) for k in range(len(seq) - 3)]
+
+
+@pytest.mark.parametrize("bits", [16, 22, 24])
+def test_bitmap_reaches_the_driver_in_pieces(spark, bits):
+    """262,144 words at most (2 MB); a row for each of them took 115 MB of the driver in a
+    session without Arrow."""
+    keys = spark.range(400_000).select(F.xxhash64("id").alias("key"))
+    hashes = np.array([r.key for r in keys.collect()], np.int64).view(np.uint64)
+    want = np.zeros(1 << bits, bool)
+    want[hashes >> np.uint64(64 - bits)] = True
+    arrow = "spark.sql.execution.arrow.pyspark.enabled"
+    old = spark.conf.get(arrow)
+    spark.conf.set(arrow, "false")
+    tracemalloc.start()
+    try:
+        bitmap = common.hash_bitmap(keys, "key", bits).value
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(arrow, old)
+    assert (np.unpackbits(bitmap.view(np.uint8), bitorder="little").astype(bool) == want).all()
+    assert common.in_bitmap(bitmap, hashes).all()
+    assert peak < 20, peak
+
+
+def test_bitmap_of_no_rows(spark):
+    assert not common.hash_bitmap(spark.range(0).select(F.col("id").alias("key")), "key", 24).value.any()
