@@ -200,3 +200,81 @@ def test_windows_are_built_as_they_are_decoded(monkeypatch):
     finder = pii.Finder(pii.new_tagger())
     monkeypatch.setattr(finder.tagger, "decode", lambda w: (np.zeros(w.shape, np.int64), np.ones(w.shape)))
     assert _peak_mb(lambda: finder.find(["7 words and more " * 45_000])) < 16
+
+
+def test_whatever_passes_a_check_holds_a_cue():
+    """So windows without one cannot add a span."""
+    r, seen = random.Random(2), set()
+    parts = ["a", "jo", "é", "at", "AT", " at ", "(at)", "( at )", "[  at ]", " @ ", "@", ".", "dot", " dot ", "[dot]", "(  dot )", " . ", " ", "\n", "  ",
+             "org", "x-y", "1", "23", "1 . 2", "[.]", "4111 1111 1111 1111", "+1", "(", ")", "[", "]", "-", "_", "/"]
+    for _ in range(8000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(2, 12)))[:28]
+        cues = [m.start() for m in pii._CUE.finditer(text)]
+        for a in range(len(text)):
+            for b in range(a + 4, len(text) + 1):
+                for kind in range(4):
+                    if pii._ADDED_CHECKS[kind](text[a:b]):
+                        seen.add((kind, "@" in text[a:b], bool(re.search("[0-9]", text[a:b]))))
+                        assert any(a <= c < b for c in cues), text[a:b]
+    assert (0, False, False) in seen and {k for k, _, _ in seen} == set(range(4))
+
+
+def _planted(spark, r, make, n=30):
+    """Prose without personal data, a value in each text, and where it lies."""
+    docs = [t.text for t in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    texts, want = [], []
+    for t in [t for t in docs if t and not re.search(pii.TRIGGER, t)][:n]:
+        at, value = t.find(" ", len(t) // 2) + 1, make()
+        texts.append(t[:at] + value + " " + t[at:])
+        want.append(pii.Span(at, 0, at + len(value)))
+    return texts, want
+
+
+def _word(r):
+    return "".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(r.randint(3, 9)))
+
+
+def test_signs_as_words_and_long_addresses_are_found(spark, tagger):
+    """No window with " at " and a plain dot or a wide bracketed "at" was decoded, and none
+    held an address of a hundred characters whole: all three were never found."""
+    r = random.Random(7)
+    long = lambda: ".".join(_word(r) for _ in range(7)) + f" (at) {_word(r)}{_word(r)}{_word(r)} dot {_word(r)}{_word(r)} dot org"
+    for make, least in ((lambda: f"{_word(r)} (  at  ) {_word(r)}.org", 0.7), (lambda: f"{_word(r)} at {_word(r)}.org", 0.3), (long, 0.7)):
+        texts, want = _planted(spark, r, make)
+        found = pii.Finder(tagger).find(texts)
+        assert sum(w in added for (_, added), w in zip(found, want, strict=True)) >= least * len(texts), make()
+
+
+def test_spans_are_those_of_every_window(spark, tagger, monkeypatch):
+    r = random.Random(9)
+    texts = [t.text for t in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    for make in (lambda: f"{_word(r)} at {_word(r)}.org", lambda: f"{_word(r)} (at) {_word(r)} dot com", lambda: ".".join(_word(r) for _ in range(16)) + "é@a.org"):
+        texts += _planted(spark, r, make, 6)[0]
+    own = pii.Finder(tagger).find(texts)
+    monkeypatch.setattr(pii, "_CUE", re.compile("(?s)."))
+    assert pii.Finder(tagger).find(texts) == own
+    assert any(s.end - s.start > pii.WINDOW for _, added in own for s in added)
+
+
+def test_long_spans_from_cut_windows(monkeypatch):
+    """A tagger that marks every run of x and at signs: a span of 300 characters is found whole, a
+    run that no check can pass does not make windows grow, and work follows the text."""
+    finder, widths = pii.Finder(pii.new_tagger()), []
+
+    def decode(windows):
+        widths.append(windows.shape[1])
+        inside = np.isin(windows, pii._classes("x@."))
+        begins = inside & ~np.pad(inside, ((0, 0), (1, 0)))[:, :-1]
+        return np.where(begins, 1, np.where(inside, 2, 0)), np.ones(windows.shape)
+
+    monkeypatch.setattr(finder.tagger, "decode", decode)
+    value = "x" * 150 + "@" + "x" * 150 + ".x"
+    text = "a " * 100 + value + " a" * 100
+    monkeypatch.setattr(pii, "base_spans", lambda text: [])
+    assert finder.find([text]) == [([], [pii.Span(200, 0, 200 + len(value))])]
+    widths.clear()
+    finder.find(["x@" * 20_000])
+    assert max(widths) == pii.WINDOW
+    widths.clear()
+    finder.find(["x" * 20_000 + "@" + "x" * 20_000])
+    assert max(widths) <= 40_001 and sum(widths) < 6 * 40_001 + 100 * pii.WINDOW
